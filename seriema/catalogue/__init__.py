@@ -1,6 +1,15 @@
 """Queries of this package over the test tables and the SQL that checks them."""
 
-from . import windows  # noqa: F401
+from . import (  # noqa: F401
+    aggregates,
+    calendar,
+    cleaning,
+    plans,
+    quality,
+    scalars,
+    sources,
+    windows,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -70,3 +70,28 @@ daily AS (SELECT k, date, CASE WHEN day(date) <> 7 THEN v END AS value FROM day_
 MONTHLY_SQL = f"""{OBSERVATIONS_SQL},
 monthly AS (SELECT k, max(date) AS date, avg(value) AS value FROM obs
             GROUP BY k, strftime(date, '%Y-%m'))"""
+
+# Priorities played as indicators.
+INDICATOR_OF = {
+    "1-URGENT": "ipca", "2-HIGH": "selic", "3-MEDIUM": "pib", "4-NOT SPECIFIED": "cambio",
+    "5-LOW": "desemprego",
+}
+
+_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in INDICATOR_OF.items())
+INDICATOR_SQL = f"CASE k {_CASES} END"
+
+
+def indicator_name(k):
+    name = F.lit(None).cast("string")
+    for priority, indicator in INDICATOR_OF.items():
+        name = F.when(k == priority, indicator).otherwise(name)
+    return name
+
+
+def bronze(spark: SparkSession, path: str) -> DataFrame:
+    """Orders as landed bronze rows: text dates and text values, one place per customer order."""
+    return observations(spark, path).select(
+        F.lit("bcb").alias("source"), F.date_format("date", "dd/MM/yyyy").alias("data"),
+        F.col("value").cast("string").alias("valor"), "t",
+        indicator_name(F.col("k")).alias("indicator"),
+    )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .session import constant_frame
+
 GRAINS = ("D", "W", "M", "Q", "Y")
 
 
@@ -115,8 +117,5 @@ SILVER_METADATA = {
 
 def registry_frame(spark: SparkSession) -> DataFrame:
     """The registry as a lookup table; its size is the length of ``REGISTRY``."""
-    return spark.createDataFrame(
-        list(REGISTRY),
-        "source STRING, indicator STRING, code STRING, indicator_name STRING, unit STRING, "
-        "frequency STRING",
-    )
+    names = ("source", "indicator", "code", "indicator_name", "unit", "frequency")
+    return constant_frame(spark, names, REGISTRY)

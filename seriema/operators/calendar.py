@@ -67,10 +67,11 @@ def resample(df: DataFrame, series: Series, freq: str = "M", how: str = "mean")
         .groupBy(*series.keys, period_start(F.col(series.date), freq).alias(start))
         .agg(aggregate(value, series.rank_key()).alias("_value"))
     )
-    following = F.lead(start).over(_by_start(series, start))
-    step = period_step(freq)
-    until = F.coalesce(_previous(following, freq), F.col(start))
-    spread = periods.withColumn("_period", F.explode(F.sequence(F.col(start), until, step)))
+    until = F.coalesce(_previous(F.col("_next"), freq), F.col(start))
+    filled = F.sequence(F.col(start), until, period_step(freq))
+    spread = periods.withColumn("_next", F.lead(start).over(_by_start(series, start))).withColumn(
+        "_period", F.explode(filled)
+    )
     empty = F.lit(0.0) if how == "sum" else F.lit(None).cast("double")
     return spread.select(
         *series.keys,

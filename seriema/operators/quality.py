@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import null_if_nan
+from ..session import constant_frame
 
 CHECK_SCHEMA = "check STRING, column STRING, metric DOUBLE, passed BOOLEAN"
 
@@ -176,9 +177,8 @@ def check_contract(df: DataFrame, table: str) -> DataFrame:
     enough = F.when(F.col("check") == "rows", F.col("metric") >= 3).otherwise(F.col("passed"))
     out = checks.withColumn("passed", enough).withColumn("severity", severity)
     if table == "macro_dashboard" and "indicator" in df.columns:
-        wanted = df.sparkSession.createDataFrame(
-            [(i,) for i in EXPECTED_INDICATORS], "column STRING"
-        )
+        names = [(i,) for i in EXPECTED_INDICATORS]
+        wanted = constant_frame(df.sparkSession, ["column"], names)
         seen = df.select(F.col("indicator").alias("column"), F.lit(1.0).alias("metric")).distinct()
         found = wanted.join(seen, "column", "left").select(
             F.lit("expected_indicator").alias("check"), "column",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..model import Series
 from ..operators.joins import append
 from ..operators.quality import validate
 from ..operators.spread import bounded_grain
+from ..session import constant_frame
 from ..sources.files import discover_indicators, read_latest, read_layer
 from ..sources.sinks import snapshot_id, write_snapshot
 from . import gold
@@ -62,12 +64,13 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: date
 def run_report(spark: SparkSession, silver: str | None, run_ts: datetime,
                indicators: Sequence[str], problems: Mapping[str, str]) -> DataFrame:
     """What a run wrote, counted on the written snapshot, next to what it was asked for."""
-    asked = spark.createDataFrame(
-        [(i, problems.get(i)) for i in indicators], "indicator STRING, problem STRING"
+    asked = constant_frame(
+        spark, ("indicator", "problem"), [(i, problems.get(i)) for i in indicators]
     )
     if silver is None:
-        written = spark.createDataFrame(
-            [], "indicator STRING, source STRING, rows BIGINT, missing DOUBLE"
+        written = constant_frame(
+            spark, ("indicator", "source", "rows", "missing"), [],
+            (pa.string(), pa.string(), pa.int64(), pa.float64()),
         )
     else:
         rows = F.count(F.lit(1))
@@ -115,7 +118,7 @@ def silver_to_gold(spark: SparkSession, silver: str, root: str, run_ts: datetime
         "macro_dashboard": gold.macro_dashboard(frames, spark, run_ts.date(), run_ts),
     }
     done = [(name, save_dashboard(df, root, name, run_ts)) for name, df in dashboards.items()]
-    return spark.createDataFrame(done, "dashboard STRING, success BOOLEAN")
+    return constant_frame(spark, ("dashboard", "success"), done, (pa.string(), pa.bool_()))
 
 
 def save_dashboard(df: DataFrame, root: str, name: str, run_ts: datetime) -> bool:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,3 +41,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def constant_frame(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple],
+                   types: Sequence[pa.DataType] | None = None) -> DataFrame:
+    """A small frame of values known to the program; text columns unless typed.
+
+    From Arrow it becomes a local relation: no job to build it, and Spark knows its size.
+    """
+    types = types or [pa.string()] * len(columns)
+    data = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+    return spark.createDataFrame(pa.table(data, names=list(columns)))
