@@ -75,9 +75,9 @@ def rounding(spark, path):
 @query("h07_clamp", f"""
 WITH {DAILY_SQL}
 SELECT k, date, CASE WHEN value IS NOT NULL THEN
-       round(least(greatest(value / 1000 - 200, 0), 100), 8) END AS score FROM daily""")
+       round(least(greatest(value / 7 - 30000, 0), 100), 8) END AS score FROM daily""")
 def clamped(spark, path):
-    score = clamp(F.col("value") / 1000 - 200, 0, 100)
+    score = clamp(F.col("value") / 7 - 30000, 0, 100)
     return daily(spark, path).select("k", "date", F.round(score, 8).alias("score"))
 
 

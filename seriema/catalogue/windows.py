@@ -69,12 +69,12 @@ def pct_change_raw_rows(spark, path):
 
 @query("g02_difference", f"""
 WITH {DAILY_SQL}
-SELECT k, date, round((value - lag(value, 1) OVER w) * 100, 4) AS change_bps,
-       round(value - lag(value, 4) OVER w, 4) AS diff_4
+SELECT k, date, round((value - lag(value, 1) OVER w) * 100, 6) AS change_bps,
+       round(value - lag(value, 4) OVER w, 6) AS diff_4
 FROM daily WINDOW w AS (PARTITION BY k ORDER BY date)""")
 def difference(spark, path):
     out = measure(daily(spark, path), DAILY, w.difference(1, "change_bps", 100), w.difference(4))
-    return show(out, "change_bps", "diff_4", digits=4)
+    return show(out, "change_bps", "diff_4")
 
 
 @query("g02_difference_raw_rows", """
@@ -138,11 +138,11 @@ def moving_average_raw_rows(spark, path):
 
 @query("g06_moving_average_partial", f"""
 WITH {DAILY_SQL}
-SELECT k, date, round(avg(value) OVER (PARTITION BY k ORDER BY date ROWS 5 PRECEDING), 5) AS ma_6
+SELECT k, date, round(avg(value) OVER (PARTITION BY k ORDER BY date ROWS 5 PRECEDING), 6) AS ma_6
 FROM daily""")
 def moving_average_partial(spark, path):
     out = measure(daily(spark, path), DAILY, w.moving_average(6, "ma_6", min_periods=1))
-    return show(out, "ma_6", digits=5)
+    return show(out, "ma_6")
 
 
 @query("g07_moving_sum", f"""

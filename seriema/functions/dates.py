@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -25,9 +26,39 @@ _STEPS = {
 }
 
 
+# What each field of a format may look like.
+_FIELDS = {
+    "yyyy": r"\d{4}", "MM": r"(?:0[1-9]|1[0-2])", "dd": r"\d{2}", "HH": r"(?:[01]\d|2[0-3])",
+    "mm": r"[0-5]\d", "ss": r"[0-5]\d",
+}
+_TOKEN = re.compile(r"'([^']*)'|(" + "|".join(_FIELDS) + r")|(.)")
+
+
+def _parse_one(text: Column, form: str) -> Column:
+    """Cut the fields out of their fixed places and cast the ISO text.
+
+    The cast returns NULL for an impossible day at no cost, where a formatter would raise and
+    catch an exception for every value that does not fit, most of them in a mixed column.
+    """
+    shape, at, places = "", 1, {}
+    for quoted, field, other in _TOKEN.findall(form):
+        if other.isalpha():  # a letter with a meaning of its own
+            return F.try_to_timestamp(text, F.lit(form)).cast("date")
+        shape += _FIELDS[field] if field else re.escape(quoted or other)
+        if field:
+            places[field] = at
+        at += len(field or quoted or other)
+    if not {"yyyy", "MM"} <= places.keys():
+        return F.try_to_timestamp(text, F.lit(form)).cast("date")
+    day = F.substring(text, places["dd"], 2) if "dd" in places else F.lit("01")
+    iso = F.concat_ws("-", F.substring(text, places["yyyy"], 4),
+                      F.substring(text, places["MM"], 2), day)
+    return F.when(text.rlike(f"^{shape}$"), iso.try_cast("date"))
+
+
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that fits gives the date, otherwise NULL."""
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats)).cast("date")
+    return F.coalesce(*(_parse_one(text, f) for f in formats))
 
 
 def year_quarter(date: Column) -> Column:
@@ -58,17 +89,16 @@ def period_step(freq: str) -> Column:
 def period_to_date(period: Column, frequency: Column | str) -> Column:
     """First day of a period written YYYYMM, YYYYQn, YYYY0n, YYYYn or YYYY."""
     frequency = F.lit(frequency) if isinstance(frequency, str) else frequency
-    year = F.substring(period, 1, 4).try_cast("int")
-    month = F.regexp_extract(period, r"^\d{4}(0[1-9]|1[0-2])$", 1).try_cast("int")
-    quarter = F.regexp_extract(period, r"^\d{4}[Q0]?([1-4])$", 1).try_cast("int")
-    first_month = (
-        F.when(frequency == "monthly", month)
-        .when(frequency == "quarterly", (quarter - 1) * 3 + 1)
-        .otherwise(F.when(period.rlike(r"^\d{4}$"), F.lit(1)))
+    quarter = F.right(period, F.lit(1)).try_cast("int")
+    month = (
+        F.when((frequency == "monthly") & period.rlike(r"^\d{4}(0[1-9]|1[0-2])$"),
+               F.right(period, F.lit(2)))
+        .when((frequency == "quarterly") & period.rlike(r"^\d{4}[Q0]?[1-4]$"),
+              F.lpad(((quarter - 1) * 3 + 1).cast("string"), 2, "0"))
+        .when(~frequency.isin("monthly", "quarterly") & period.rlike(r"^\d{4}$"), "01")
     )
-    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"),
-                       F.lpad(first_month.cast("string"), 2, "0"), F.lit("01"))
-    return F.when(year.isNotNull() & first_month.isNotNull(), text.try_cast("date"))
+    # concat is NULL without a month
+    return F.concat(F.left(period, F.lit(4)), F.lit("-"), month, F.lit("-01")).try_cast("date")
 
 
 def date_to_period(date: Column, frequency: str) -> Column:

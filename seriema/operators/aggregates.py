@@ -4,34 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import null_if_nan, period_start
+from ..functions import null_if_nan, period_start, year_quarter
 from ..model import Series
-from .spread import running_total
+from .spread import CHUNK, cut
 
 
-def period_label(date: str, freq: str):
-    """The column a period table is grouped by, with its display name."""
-    d = F.col(date)
-    if freq == "M":
-        return F.date_format(d, "yyyy-MM").alias("year_month")
-    if freq == "Q":
-        return F.concat(F.year(d), F.lit("Q"), F.quarter(d)).alias("year_quarter")
-    if freq == "Y":
-        return F.year(d).alias("year")
-    return period_start(d, freq).alias("period")
+def _labelled(periods: DataFrame, freq: str, keys: Sequence[str]) -> DataFrame:
+    """Name the period. Rows are grouped by its first day, which is cheaper than by a text."""
+    start = F.col("_start")
+    name, label = {
+        "M": ("year_month", F.date_format(start, "yyyy-MM")),
+        "Q": ("year_quarter", year_quarter(start)),
+        "Y": ("year", F.year(start)),
+    }.get(freq, ("period", start))
+    measures = [c for c in periods.columns if c not in (*keys, "_start")]
+    return periods.select(*keys, label.alias(name), *measures)
+
+
+def _periods(df: DataFrame, series: Series, freq: str):
+    start = period_start(F.col(series.date), freq).alias("_start")
+    return df.filter(F.col(series.date).isNotNull()).groupBy(*series.keys, start)
 
 
 def period_mean(df: DataFrame, series: Series, freq: str = "M") -> DataFrame:
     """Mean per period; the row is dated by the latest observation of the period."""
-    return (
-        df.filter(F.col(series.date).isNotNull())
-        .groupBy(*series.keys, period_label(series.date, freq))
-        .agg(F.max(series.date).alias(series.date), F.avg(series.value).alias(series.value))
+    means = _periods(df, series, freq).agg(
+        F.max(series.date).alias(series.date), F.avg(series.value).alias(series.value)
     )
+    return _labelled(means, freq, series.keys)
 
 
 def period_ohlc(df: DataFrame, series: Series, freq: str = "M",
@@ -44,19 +48,16 @@ def period_ohlc(df: DataFrame, series: Series, freq: str = "M",
     deviation = F.when(F.count(F.lit(1)) > 1, F.stddev_samp(value)).otherwise(
         F.lit(lone_volatility).cast("double")
     )
-    return (
-        df.filter(F.col(series.date).isNotNull())
-        .groupBy(*series.keys, period_label(series.date, freq))
-        .agg(
-            F.max(series.date).alias(series.date),
-            F.min_by(value, when).alias("open"),
-            F.max_by(value, when).alias("close"),
-            F.max(value).alias("high"),
-            F.min(value).alias("low"),
-            F.avg(value).alias("avg"),
-            deviation.alias("volatility"),
-        )
+    bars = _periods(df, series, freq).agg(
+        F.max(series.date).alias(series.date),
+        F.min_by(value, when).alias("open"),
+        F.max_by(value, when).alias("close"),
+        F.max(value).alias("high"),
+        F.min(value).alias("low"),
+        F.avg(value).alias("avg"),
+        deviation.alias("volatility"),
     )
+    return _labelled(bars, freq, series.keys)
 
 
 def series_stats(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
@@ -85,29 +86,45 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
                     chunks: int | None = None) -> DataFrame:
     """Interpolated quantiles, exact at any size: (column, probability, quantile).
 
-    Equal values are counted before they are sorted, so no value is hot. The running count over
-    the distinct values then tells which of them holds a wanted rank; ``percentile`` would
-    instead collect all distinct values of a column in one task.
+    Equal values are counted before they are sorted, so no value is hot. The counts are cut into
+    ordered chunks; the chunk totals tell which chunks hold the wanted ranks, and only those are
+    ranked. ``percentile`` would instead collect all distinct values of a column in one task.
     """
-    cells = _long(df, columns).filter(F.col("value").isNotNull())
-    counts = cells.groupBy("column", "value").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    ranked = running_total(
-        counts, Series(keys=("column",), date="value", value="n"), column="upto", chunks=chunks
+    counts = (
+        _long(df, columns).filter(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    total = cells.groupBy("column").agg(F.count(F.lit(1)).alias("total"))
-    wanted = total.withColumn(
-        "probability", F.explode(F.array(*(F.lit(float(p)) for p in probabilities)))
-    ).withColumn("position", (F.col("total") - 1) * F.col("probability"))
-    # `wanted` has columns x probabilities rows, both fixed by the call.
-    held = ranked.join(F.broadcast(wanted), "column").withColumns({
-        "low": F.floor("position"), "high": F.ceil("position"), "from": F.col("upto") - F.col("n"),
+    base = cut(counts, Series(keys=("column",), date="value", value="n"), chunks)
+    by_column = Window.partitionBy("column")
+    before = by_column.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per column and chunk.
+    totals = base.groupBy("column", CHUNK).agg(F.sum("n").alias("rows")).withColumns({
+        "before": F.coalesce(F.sum("rows").over(before), F.lit(0)),
+        "total": F.sum("rows").over(by_column),
     })
+    position = (F.col("total") - 1) * F.col("probability")
+    wanted = totals.withColumn(
+        "probability", F.explode(F.array(*(F.lit(float(p)) for p in probabilities)))
+    ).withColumns({"position": position, "low": F.floor(position), "high": F.ceil(position)})
+
+    def inside(rank: str, start, end):
+        return (F.col(rank) >= start) & (F.col(rank) < end)
+
+    chunk = (F.col("before"), F.col("before") + F.col("rows"))
+    wanted = wanted.filter(inside("low", *chunk) | inside("high", *chunk)).drop("rows", "total")
+    # At most two chunks per column and probability are wanted, both fixed by the call.
+    held = base.join(F.broadcast(wanted), ["column", CHUNK])
+    so_far = Window.partitionBy("column", CHUNK, "probability").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    ranked = held.withColumn("upto", F.col("before") + F.sum("n").over(so_far))
 
     def at(rank: str):
-        inside = (F.col(rank) >= F.col("from")) & (F.col(rank) < F.col("upto"))
-        return F.max(F.when(inside, F.col("value")))
+        return F.max(F.when(
+            inside(rank, F.col("upto") - F.col("n"), F.col("upto")), F.col("value")
+        ))
 
-    return held.groupBy("column", "probability", "position").agg(
+    return ranked.groupBy("column", "probability", "position").agg(
         at("low").alias("a"), at("high").alias("b")
     ).select(
         "column", "probability",
@@ -116,14 +133,23 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     )
 
 
+_MOMENTS = {
+    "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+}
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              chunks: int | None = None) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles, one row per numeric column."""
     columns = list(columns or numeric_columns(df))
-    moments = _long(df, columns).groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    wide = df.agg(*(
+        F.struct(F.lit(c).alias("column"), *(
+            f(null_if_nan(F.col(c).cast("double"))).alias(name) for name, f in _MOMENTS.items()
+        )).alias(f"_{i}")
+        for i, c in enumerate(columns)
+    ))
+    moments = wide.select(
+        F.inline(F.array(*(F.col(f"_{i}") for i in range(len(columns)))))
     )
     p = F.col("probability")
     quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75), chunks).groupBy("column").agg(

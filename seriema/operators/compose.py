@@ -17,13 +17,14 @@ def ratio_to_mean(value: Column, mean: Column) -> Column:
     return F.when(mean > 0, F.try_divide(value, mean)).otherwise(F.lit(1.0))
 
 
-def weighted_mean(value: Column, weight: Column) -> Column:
-    """Aggregate with the weights of the present rows scaled to one.
+def weighted_mean(value: Column, weight: Column, counted: Column | None = None) -> Column:
+    """Aggregate with the weights of the counted rows (default all) scaled to one.
 
-    A row without a value makes the score unknown; a row that is not there has no weight.
+    A counted row without a value makes the score unknown; a row that is not there has no weight.
     """
     total = F.try_divide(F.sum(value * weight), F.sum(weight))
-    return F.when(F.count(value) == F.count(F.lit(1)), total)
+    rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
+    return F.when(F.count(value) == rows, total)
 
 
 def linear_combination(*terms: tuple[float, Column]) -> Column:

@@ -100,7 +100,7 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
         return df.withColumns({m.column: m.build(frame) for m in measures})
     reach = max(1, *(m.lookback for m in measures))
     carries = any(m.carries for m in measures)
-    base = _cut(df, series, chunks)
+    base = cut(df, series, chunks)
     halo = _halos(base, series, reach, carries)
     own = base.withColumns({
         FILLED: F.lit(None).cast("double"), TOTAL: F.lit(None).cast("double"), HALO: F.lit(False),
@@ -113,7 +113,8 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
     return built.filter(~F.col(HALO)).drop(CHUNK, HALO, FILLED, TOTAL)
 
 
-def _cut(df: DataFrame, series: Series, chunks: int | None) -> DataFrame:
+def cut(df: DataFrame, series: Series, chunks: int | None = None) -> DataFrame:
+    """The frame staged in ordered chunks of similar size, numbered in ``CHUNK``."""
     order = [*(F.col(k).asc() for k in series.keys), *series.order()]
     ranged = df.repartitionByRange(chunks, *order) if chunks else df.repartitionByRange(*order)
     # Sorted rows compress well and give each file narrow min/max statistics.
@@ -205,14 +206,3 @@ def running_total(df: DataFrame, series: Series, column: str = "cumulative_value
     """Running sum of a series; see :meth:`Frame.running_sum`."""
     total = Measure(column, lambda frame: frame.running_sum(over_gaps), carries=True)
     return measure(df, series, total, chunks=chunks)
-
-
-def bounded_grain(df: DataFrame, series: Series, grain: str, limit: int = 1_000_000) -> str | None:
-    """``grain`` if no series has more than ``limit`` rows, else None.
-
-    For frames that should have one row per series and period but come from outside. Counts rows
-    per key (a partial aggregate over the key columns only) and brings one number to the driver.
-    """
-    sizes = df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("rows"))
-    largest = sizes.agg(F.max("rows")).first()[0] or 0
-    return grain if largest <= limit else None

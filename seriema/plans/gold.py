@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,7 +22,7 @@ from ..operators.compose import (
     ratio_to_mean,
     weighted_mean,
 )
-from ..operators.joins import append, attach_scalars, full_outer, left_by_quarter
+from ..operators.joins import append, full_outer, left_by_quarter
 from ..operators.spread import measure
 from ..operators.windows import (
     latest_rows,
@@ -152,18 +152,19 @@ def _long(indicators: Mapping[str, DataFrame]) -> DataFrame | None:
 
 
 def _latest(long: DataFrame) -> DataFrame:
-    """One line per indicator: latest value, annual change and trend.
+    """One line per indicator: latest value, mean, annual change and trend, in one pass.
 
     The exchange rate has no annual change of its own; it is taken over 12 rows.
     """
     nth, value = F.col("_nth"), F.col("value")
+    series = Series(keys=("indicator",), grain="M")
+    rows = long.withColumn("_mean", F.avg(value).over(Window.partitionBy("indicator")))
 
     def at(column, n: int = 1):
         return F.max(F.when(nth == n, column))
 
     base = F.when(at(value, 13) > 0, at(value, 13))
-    rows = latest_rows(long, Series(keys=("indicator",), grain="M"), 13)
-    return rows.groupBy("indicator").agg(
+    return latest_rows(rows, series, 13).groupBy("indicator").agg(
         default_text(at(F.col("indicator_name")), F.upper("indicator")).alias("indicator_name"),
         at(value).alias("last_value"),
         at(F.col("date")).alias("last_date"),
@@ -171,40 +172,52 @@ def _latest(long: DataFrame) -> DataFrame:
         F.when(F.col("indicator") == "cambio", (F.try_divide(at(value), base) - 1) * 100)
         .otherwise(at(F.col("measured_change"))).alias("annual_change"),
         trend_label(F.count(F.lit(1)), at(value), at(value, 3)).alias("trend"),
+        F.max("_mean").alias("mean"),
     )
 
 
-def health_index(latest: DataFrame, means: DataFrame, as_of) -> DataFrame:
-    """The summary line: weighted ratio of latest values to their means, 50 being average.
+_LINE = ("indicator", "indicator_name", "last_value", "last_date", "unit", "annual_change",
+         "trend", "situation")
 
-    Needs two of the three inputs; otherwise no line.
+
+def health_index(latest: DataFrame) -> DataFrame:
+    """One row (score, inputs, lines): the index, how many inputs it has, all lines gathered.
+
+    The score is the weighted ratio of latest values to their means, 50 being average. There are
+    as many lines as known indicators.
     """
     weights = F.lit(None).cast("double")
     for name, weight in HEALTH_WEIGHTS.items():
         weights = F.when(F.col("indicator") == name, F.lit(weight)).otherwise(weights)
-    inputs = latest.join(means, "indicator").filter(F.col("indicator").isin(*HEALTH_WEIGHTS))
+    lines = latest.withColumns({"situation": F.lit(None).cast("string"), "_weight": weights})
+    counted = F.col("_weight").isNotNull()
     ratio = ratio_to_mean(F.col("last_value"), F.col("mean"))
-    score = inputs.agg(
-        clamp(50 * weighted_mean(ratio, weights), 0, 100).alias("score"),
-        F.count(F.lit(1)).alias("inputs"),
-    ).filter(F.col("inputs") >= 2)
-    return score.select(
-        F.lit("economic_health").alias("indicator"),
-        F.lit("Índice de Saúde Econômica").alias("indicator_name"),
-        F.round("score", 1).alias("last_value"), F.lit(as_of).cast("date").alias("last_date"),
-        F.lit("pontos").alias("unit"), label_below(F.col("score")).alias("situation"),
+    return lines.agg(
+        clamp(
+            50 * weighted_mean(F.when(counted, ratio), F.col("_weight"), counted), 0, 100
+        ).alias("score"),
+        F.count_if(counted).alias("inputs"),
+        F.collect_list(F.struct(*_LINE)).alias("lines"),
     )
 
 
 def macro_dashboard(indicators: Mapping[str, DataFrame], spark: SparkSession, as_of=None,
                     run_ts=None) -> DataFrame:
-    """Latest state of every indicator and the health index; empty below two indicators."""
+    """Latest state of every indicator and the health index.
+
+    Empty below two indicators; without a health line below two of its inputs.
+    """
     long = _long(indicators)
     if long is None:
         return _empty(spark, MACRO_SCHEMA)
-    latest = _latest(long)
-    means = long.groupBy("indicator").agg(F.avg("value").alias("mean"))
-    enough = latest.agg(F.count(F.lit(1)).alias("_available"))
-    lines = append(latest, health_index(latest, means, as_of))
-    out = attach_scalars(lines, enough).filter(F.col("_available") >= 2)
-    return _finish(out, MACRO_SCHEMA, run_ts)
+    summary = F.struct(
+        F.lit("economic_health").alias("indicator"),
+        F.lit("Índice de Saúde Econômica").alias("indicator_name"),
+        F.round("score", 1).alias("last_value"), F.lit(as_of).cast("date").alias("last_date"),
+        F.lit("pontos").alias("unit"), F.lit(None).cast("double").alias("annual_change"),
+        F.lit(None).cast("string").alias("trend"), label_below(F.col("score")).alias("situation"),
+    )
+    lines = F.col("lines")
+    gathered = health_index(_latest(long)).filter(F.size(lines) >= 2)
+    every = F.when(F.col("inputs") >= 2, F.concat(lines, F.array(summary))).otherwise(lines)
+    return _finish(gathered.select(F.inline(every)), MACRO_SCHEMA, run_ts)

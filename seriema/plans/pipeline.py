@@ -10,10 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import Series
 from ..operators.joins import append
 from ..operators.quality import validate
-from ..operators.spread import bounded_grain
 from ..session import constant_frame
 from ..sources.files import discover_indicators, read_latest, read_layer
 from ..sources.sinks import snapshot_id, write_snapshot
@@ -23,7 +21,10 @@ from .silver import STANDARD, TRANSFORMS, Style
 REPORT_SCHEMA = "source STRING, indicator STRING, rows BIGINT, success BOOLEAN, message STRING"
 # Share of missing values in percent above which the report warns.
 NULL_WARNING = 10.0
-_ROW_PER_PERIOD = {"ipca": "M", "ipca15": "M", "pib": "Q", "desemprego": "Q", "pnad": "Q"}
+# Bronze has one row per series and period for these; a series is ordered in one task up to so
+# many rows, and in chunks beyond.
+_ROW_PER_PERIOD = {"ipca", "ipca15", "pib", "desemprego", "pnad"}
+ROWS_PER_TASK = 1_000_000
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: datetime,
@@ -38,21 +39,19 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: date
     (source, indicator, rows, success, message).
     """
     layer = read_latest(spark, bronze, indicators)
+    longest = series_lengths(layer, keys)
     if indicators is None:
-        # Distinct folder names; the plan is built per indicator, so the driver must know them.
-        indicators = sorted(r[0] for r in discover_indicators(layer).collect())
+        indicators = sorted(longest)
     parts, problems = [], {}
     for name in indicators:
         if name not in transforms:
             problems[name] = "no transform"
             continue
-        rows = layer.filter(F.col("indicator") == name)
         options = {"keys": keys, "style": style, "run_ts": run_ts, "value": value}
+        if name in _ROW_PER_PERIOD and longest.get(name, 0) > ROWS_PER_TASK:
+            options["grain"] = None  # not the one row per period it should be: spread it
         try:
-            if name in _ROW_PER_PERIOD and transforms is TRANSFORMS:
-                options["grain"] = bounded_grain(
-                    rows, Series(keys=keys), _ROW_PER_PERIOD[name]
-                )
+            rows = layer.filter(F.col("indicator") == name)
             parts.append(transforms[name](rows, **options).drop("snapshot_ts", "valor", "data"))
         except AnalysisException as error:
             problems[name] = str(error).splitlines()[0]
@@ -61,6 +60,17 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: date
     return run_report(spark, silver if parts else None, run_ts, indicators, problems)
 
 
+def series_lengths(layer: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """Rows of the longest series of every indicator.
+
+    A partial aggregate over the key columns; one line per indicator folder reaches the driver,
+    which needs the names anyway to build the plan.
+    """
+    sizes = layer.groupBy("indicator", *keys).agg(F.count(F.lit(1)).alias("rows"))
+    longest = sizes.groupBy("indicator").agg(F.max("rows").alias("rows"))
+    return {r["indicator"]: r["rows"] for r in longest.collect()}
+
+
 def run_report(spark: SparkSession, silver: str | None, run_ts: datetime,
                indicators: Sequence[str], problems: Mapping[str, str]) -> DataFrame:
     """What a run wrote, counted on the written snapshot, next to what it was asked for."""
@@ -122,11 +132,19 @@ def silver_to_gold(spark: SparkSession, silver: str, root: str, run_ts: datetime
 
 
 def save_dashboard(df: DataFrame, root: str, name: str, run_ts: datetime) -> bool:
-    """One snapshot folder per dashboard and run."""
-    if df.isEmpty():
-        return False
-    df.write.mode("errorifexists").parquet(f"{root}/{name}/snapshot_ts={snapshot_id(run_ts)}")
-    return True
+    """One snapshot folder per dashboard and run.
+
+    A dashboard has a row per month, quarter or indicator; it is kept between the emptiness check
+    and the write so that it is computed once.
+    """
+    df = df.persist()
+    try:
+        if df.isEmpty():
+            return False
+        df.write.mode("errorifexists").parquet(f"{root}/{name}/snapshot_ts={snapshot_id(run_ts)}")
+        return True
+    finally:
+        df.unpersist()
 
 
 def process_validation(silver: DataFrame) -> DataFrame:

@@ -65,13 +65,14 @@ def parse_pnad(df: DataFrame, payload: str = "payload", period: str = "period_id
     matching = F.filter(
         F.from_json(payload, _PNAD), lambda i: F.lower(i["nome"]).contains("desocupa")
     )
-    found = F.get(matching, F.lit(0))
-    rate = F.get(found["valoresDeReferencia"], F.lit(0))["valor"]
-    return df.select(
-        *keep, period_to_date(F.col(period), "quarterly").alias("data"),
-        to_number(rate).alias("pnad"), F.col(period).alias("period_id"),
-        found.isNotNull().alias("_found"),
-    ).filter("_found").drop("_found")
+    # Exploding at most one element drops periods without the indicator and parses each text once.
+    found = df.select(*keep, F.col(period).alias("period_id"),
+                      F.explode(F.slice(matching, 1, 1)).alias("found"))
+    rate = F.get(F.col("found.valoresDeReferencia"), F.lit(0))["valor"]
+    return found.select(
+        *keep, period_to_date(F.col("period_id"), "quarterly").alias("data"),
+        to_number(rate).alias("pnad"), "period_id",
+    )
 
 
 def periods_between(df: DataFrame, start, end, period: str = "period_id") -> DataFrame:
