@@ -29,7 +29,10 @@ def read_layer(spark: SparkSession, root: str, schema: StructType | str | None =
 
 def latest_snapshots(layer: DataFrame, by: Sequence[str] = ("indicator",)) -> DataFrame:
     """The newest ``snapshot_ts`` per indicator, from partition values alone."""
-    return layer.groupBy(*by).agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    newest = layer.groupBy(*by).agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    # Besides dropping folders without a stamp, a condition here is what makes Spark prune the
+    # layer by this side at run time.
+    return newest.filter(F.col("snapshot_ts") > "")
 
 
 def read_latest(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
