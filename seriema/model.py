@@ -52,7 +52,7 @@ class Series:
 
 _TYPES = {
     "STRING": T.StringType(), "DOUBLE": T.DoubleType(), "DATE": T.DateType(),
-    "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP": T.TimestampType(), "INT": T.IntegerType(),
 }
 
 
@@ -68,6 +68,21 @@ BRONZE_SCHEMA = _struct(
     "indicator STRING, snapshot_ts STRING"
 )
 
+# Every column a silver transform may write. Reading with it needs no look at the files, and
+# columns that a snapshot lacks are NULL.
+SILVER_SCHEMA = _struct(
+    "source STRING, indicator_name STRING, unit STRING, frequency STRING, date DATE, "
+    "value DOUBLE, year INT, month INT, quarter INT, year_month STRING, year_quarter STRING, "
+    "monthly_change_pct DOUBLE, year_over_year_pct DOUBLE, year_to_date_pct DOUBLE, "
+    "ytd_accumulated DOUBLE, moving_avg_3m DOUBLE, change_bps DOUBLE, real_interest_rate DOUBLE, "
+    "quarterly_change_pct DOUBLE, annual_change_pct DOUBLE, accumulated_value DOUBLE, "
+    "open DOUBLE, close DOUBLE, high DOUBLE, low DOUBLE, avg DOUBLE, volatility DOUBLE, "
+    "monthly_amplitude_pct DOUBLE, ma_3m DOUBLE, ma_6m DOUBLE, return_pct DOUBLE, "
+    "volatility_20 DOUBLE, amplitude_pct DOUBLE, ma_20 DOUBLE, ma_50 DOUBLE, "
+    "ma_cross_signal INT, quarterly_change_pp DOUBLE, annual_change_pp DOUBLE, "
+    "moving_avg_3q DOUBLE, processed_at TIMESTAMP, indicator STRING, snapshot_ts STRING"
+)
+
 MONTHLY_SCHEMA = _struct(
     "date DATE, year_month STRING, ipca DOUBLE, ipca_monthly_change DOUBLE, "
     "ipca_annual_change DOUBLE, selic DOUBLE, selic_moving_avg DOUBLE, cambio DOUBLE, "

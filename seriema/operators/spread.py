@@ -132,6 +132,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     return left.join(renamed, condition, how).drop(*(f"_r_{c}" for c in on))
 
 
+def join_back(df: DataFrame, stats: DataFrame, on: Sequence[str],
+              staged: bool = True) -> DataFrame:
+    """Put the statistics of each group on its rows.
+
+    Staged statistics have a size that Spark reads off the files: small ones are broadcast and the
+    rows stay where they are, larger ones get a sort-merge join whose hot keys adaptive execution
+    splits. From an unfinished aggregate Spark would guess its input's size and shuffle all rows.
+    """
+    return null_safe_join(df, stage(stats, "stats") if staged else stats, on, "left")
+
+
 def _halos(base: DataFrame, series: Series, reach: int, carries: bool) -> DataFrame:
     """The last ``reach`` rows before every chunk border inside a series.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import percent_of, rounded
 from ..model import Series
-from .spread import Measure, measure, null_safe_join, running_total
+from .spread import Measure, join_back, measure, running_total
 
 # ---- measures --------------------------------------------------------------------------------
 
@@ -132,7 +132,7 @@ def year_to_date_percent(df: DataFrame, series: Series, column: str = "year_to_d
     firsts = df.filter(dated).groupBy(*series.keys, year).agg(
         F.min_by(F.struct(value.alias("v")), series.rank_key())["v"].alias("_first")
     )
-    joined = null_safe_join(df, firsts, [*series.keys, year], "left")
+    joined = join_back(df, firsts, [*series.keys, year])
     return joined.withColumn(
         column, F.when(dated, (F.try_divide(value, F.col("_first")) - 1) * 100)
     ).drop("_first")
@@ -151,22 +151,20 @@ def year_to_date_sum(df: DataFrame, series: Series, column: str = "ytd_accumulat
     dates = df.groupBy(*at).agg(F.sum(series.value).alias("_sum"))
     yearly = series.but(keys=(*series.keys, year), tie=(), value="_sum")
     totals = running_total(dates, yearly, column, over_gaps=True, chunks=chunks).drop("_sum")
-    return null_safe_join(df, totals, at, "left")
+    return join_back(df, totals, at)
 
 
 # ---- dispersion ------------------------------------------------------------------------------
 
-def group_std(df: DataFrame, value: str, group: Sequence[str],
-              column: str = "volatility") -> DataFrame:
+def group_std(df: DataFrame, value: str, group: Sequence[str], column: str = "volatility",
+              staged: bool = True) -> DataFrame:
     """Every row gets the sample deviation of its group; rows without a group get NULL.
 
     The deviations are aggregated (partially, in every task) and joined back, so a hot group is
     never gathered in one window task.
     """
     stats = df.groupBy(*group).agg(F.stddev_samp(value).alias(column)).dropna(subset=list(group))
-    return df.drop(column).join(stats, list(group), "left").select(
-        *(c for c in df.columns if c != column), column
-    )
+    return join_back(df.drop(column), stats, group, staged)
 
 
 def overall_std(df: DataFrame, series: Series, column: str = "volatility") -> DataFrame:
@@ -174,7 +172,7 @@ def overall_std(df: DataFrame, series: Series, column: str = "volatility") -> Da
     stats = df.groupBy(*series.keys).agg(F.stddev_samp(series.value).alias(column))
     if not series.keys:
         return df.crossJoin(F.broadcast(stats))  # one row
-    return null_safe_join(df, stats, series.keys, "left")
+    return join_back(df, stats, series.keys, series.grain is None)
 
 
 def volatility(df: DataFrame, series: Series, group: Sequence[str] = (), window: int | None = None,
@@ -182,7 +180,9 @@ def volatility(df: DataFrame, series: Series, group: Sequence[str] = (), window:
     """Group deviation if the group exists, else rolling if there is a window, else overall."""
     present = [g for g in group if g in df.columns]
     if present:
-        return group_std(df, series.value, [*series.keys, *present], column)
+        return group_std(
+            df, series.value, [*series.keys, *present], column, series.grain is None
+        )
     if window:
         return measure(df, series, moving_std(window, column), chunks=chunks)
     return overall_std(df, series, column)
@@ -268,7 +268,7 @@ def min_max_scale(df: DataFrame, value: str, keys: Sequence[str] = (),
                   column: str | None = None, scale: float = 100.0) -> DataFrame:
     """Scale to 0..``scale`` over all rows (or per key); unchanged where all values are equal."""
     ends = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    joined = null_safe_join(df, ends, keys, "left") if keys else df.crossJoin(F.broadcast(ends))
+    joined = join_back(df, ends, keys) if keys else df.crossJoin(F.broadcast(ends))
     v, low, high = F.col(value), F.col("_low"), F.col("_high")
     return joined.withColumn(
         column or value,

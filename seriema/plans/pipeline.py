@@ -10,10 +10,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..model import SILVER_SCHEMA
 from ..operators.joins import append
 from ..operators.quality import validate
 from ..session import constant_frame
-from ..sources.files import discover_indicators, read_latest, read_layer
+from ..sources.files import keep_latest, latest_snapshots, read_latest, read_layer
 from ..sources.sinks import snapshot_id, write_snapshot
 from . import gold
 from .silver import STANDARD, TRANSFORMS, Style
@@ -86,7 +87,7 @@ def run_report(spark: SparkSession, silver: str | None, run_ts: datetime,
         rows = F.count(F.lit(1))
         gap = F.col("date").isNull() | F.col("value").isNull()
         written = (
-            read_layer(spark, silver, merge_schema=True)
+            read_layer(spark, silver, SILVER_SCHEMA)
             .filter(F.col("snapshot_ts") == snapshot_id(run_ts))
             .groupBy("indicator")
             .agg(
@@ -110,9 +111,9 @@ def run_report(spark: SparkSession, silver: str | None, run_ts: datetime,
 def load_latest_silver(spark: SparkSession, silver: str,
                        indicators: Sequence[str] = gold.INDICATORS) -> dict[str, DataFrame]:
     """The newest silver snapshot per indicator; indicators without one are left out."""
-    layer = read_latest(spark, silver, indicators, merge_schema=True)
-    present = {r[0] for r in discover_indicators(layer).collect()}  # at most the asked names
-    return gold.split_indicators(layer, [i for i in indicators if i in present])
+    layer = read_layer(spark, silver, SILVER_SCHEMA).filter(F.col("indicator").isin(*indicators))
+    newest, present = keep_latest(layer, latest_snapshots(layer))
+    return gold.split_indicators(newest, [i for i in indicators if present is None or i in present])
 
 
 def silver_to_gold(spark: SparkSession, silver: str, root: str, run_ts: datetime,

@@ -16,8 +16,8 @@ from ..functions import parse_date, to_number
 from ..operators.cleaning import between_dates, drop_incomplete, rename_present
 
 PARTITIONS = ("indicator", "snapshot_ts")
-# Snapshot lists up to this many rows are broadcast, which lets Spark prune partitions by them.
-BROADCAST_ROWS = 100_000
+# Up to so many snapshots are named in the filter of a read.
+NAMED_SNAPSHOTS = 1_000
 
 
 def read_layer(spark: SparkSession, root: str, schema: StructType | str | None = None,
@@ -27,28 +27,38 @@ def read_layer(spark: SparkSession, root: str, schema: StructType | str | None =
     return (reader.schema(schema) if schema is not None else reader).parquet(root)
 
 
-def latest_snapshots(layer: DataFrame, by: Sequence[str] = ("indicator",)) -> DataFrame:
+def latest_snapshots(layer: DataFrame) -> DataFrame:
     """The newest ``snapshot_ts`` per indicator, from partition values alone."""
-    newest = layer.groupBy(*by).agg(F.max("snapshot_ts").alias("snapshot_ts"))
-    # Besides dropping folders without a stamp, a condition here is what makes Spark prune the
-    # layer by this side at run time.
-    return newest.filter(F.col("snapshot_ts") > "")
+    named = layer.filter(F.col("indicator").isNotNull())
+    return named.groupBy("indicator").agg(F.max("snapshot_ts").alias("snapshot_ts"))
 
 
-def read_latest(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
-                schema: StructType | str | None = None, merge_schema: bool = False) -> DataFrame:
-    """The newest snapshot of every indicator (of the asked ones); absent ones are just absent.
+def keep_latest(layer: DataFrame, latest: DataFrame) -> tuple[DataFrame, list[str] | None]:
+    """The rows of the newest snapshots, and the indicators that have one.
 
-    The list of newest snapshots is counted first. A short one is broadcast, so that dynamic
-    pruning opens only the folders it names; a longer one is joined as Spark sees fit.
+    A short list is brought to the driver, where file listings live anyway, and named in the
+    filter: Spark then plans only those folders. A longer list is joined (and its names are not
+    returned); Spark picks the join by its size.
     """
+    found = latest.limit(NAMED_SNAPSHOTS + 1).collect()
+    if len(found) > NAMED_SNAPSHOTS:
+        return layer.join(latest, list(PARTITIONS)).select(*layer.columns), None
+    by_stamp: dict[str, list[str]] = {}
+    for row in found:
+        by_stamp.setdefault(row["snapshot_ts"], []).append(row["indicator"])
+    wanted = F.lit(False)
+    for stamp, names in by_stamp.items():
+        wanted = wanted | ((F.col("snapshot_ts") == stamp) & F.col("indicator").isin(*names))
+    return layer.filter(wanted), sorted(r["indicator"] for r in found)
+
+
+def read_latest(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
+                schema: StructType | str | None = None, merge_schema: bool = False) -> DataFrame:
+    """The newest snapshot of every indicator (of the asked ones); absent ones are just absent."""
     layer = read_layer(spark, root, schema, merge_schema)
     if indicators is not None:
         layer = layer.filter(F.col("indicator").isin(*indicators))
-    latest = latest_snapshots(layer)
-    if latest.count() <= BROADCAST_ROWS:
-        latest = F.broadcast(latest)
-    return layer.join(latest, list(PARTITIONS)).select(*layer.columns)
+    return keep_latest(layer, latest_snapshots(layer))[0]
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -80,12 +80,17 @@ def test_latest_snapshot_matches_names_exactly(spark):
     assert sorted(r[0] for r in files.discover_indicators(files.read_layer(spark, root)).collect()) == ["pib", "pib_ibge"]
 
 
-def test_latest_snapshot_prunes_folders(spark):
+def test_latest_snapshot_reads_only_its_folders(spark, monkeypatch):
     root = scratch_path(spark, "bronze")
     for s in range(3):
-        sinks.write_snapshot(layer_rows(spark, ("a", 1.0)), root, RUN + dt.timedelta(seconds=s))
-    plan = files.read_latest(spark, root)._jdf.queryExecution().toString()
-    assert "dynamicpruning" in plan.lower()
+        sinks.write_snapshot(layer_rows(spark, ("a", float(s)), ("b", 0.0)), root, RUN + dt.timedelta(seconds=s))
+    named = files.read_latest(spark, root)
+    assert {f.split("snapshot_ts=")[1][:15] for f in named.inputFiles()} >= {"20240102_030407"}
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(snapshot_ts" in plan and "20240102_030407" in plan
+    monkeypatch.setattr(files, "NAMED_SNAPSHOTS", 1)
+    joined = files.read_latest(spark, root)
+    assert sorted(rows(joined)) == sorted(rows(named))
 
 
 def test_empty_snapshot_is_refused(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seriema.model import Series
 from seriema.operators import windows as w
 from seriema.operators.aggregates import describe, exact_quantiles
-from seriema.operators.spread import measure, running_total
+from seriema.operators.spread import CHUNK, cut, measure, running_total
 from tests.conftest import near, rows
 
 
@@ -98,3 +98,20 @@ def test_quantiles_match_brute_force(spark):
         assert abs(got["b", p] - np.quantile([2 * v for v in values[::4]], p)) < 1e-12
     line = [r for r in describe(df, ["a"], chunks=3).collect()][0]
     assert line["count"] == 101 and line["q50"] == np.quantile(values, 0.5)
+
+
+def test_chunks_have_similar_size_under_a_hot_key(spark):
+    df = frame(spark, observations(9, n=4000))
+    base = cut(df, Series(keys=("k",), tie=("t",)), 8)
+    sizes = [r["count"] for r in base.groupBy(CHUNK).count().collect()]
+    assert len(sizes) >= 7 and max(sizes) < 2 * 4000 / 8
+    hot = base.filter("k = 'hot'").select(CHUNK).distinct().count()
+    assert hot >= 5  # two thirds of the rows
+
+
+def test_hot_order_values_are_split_by_the_tie_breaker(spark):
+    """A third of the rows without a date must not end up in one chunk."""
+    data = [("a", None if i % 3 == 0 else f"2023-01-{i % 28 + 1:02d}", i, 1.0, "") for i in range(3000)]
+    base = cut(frame(spark, data), Series(keys=("k",), tie=("t",)), 9)
+    undated = base.filter("date is null").groupBy(CHUNK).count().collect()
+    assert len(undated) >= 3
