@@ -55,8 +55,13 @@ def left_by_quarter(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
 
 
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Put the one row of a keyless aggregate on every row; the other side is always one row."""
-    return df.crossJoin(F.broadcast(scalars))
+    """Put the one row of a keyless aggregate on every row.
+
+    As a scalar subquery it is a constant to the scan of ``df``: nothing is joined or moved.
+    """
+    row = scalars.select(F.struct(*scalars.columns)).scalar()
+    held = df.withColumn("_row", row)
+    return held.select(*df.columns, *(F.col("_row")[c].alias(c) for c in scalars.columns))
 
 
 def append(*frames: DataFrame) -> DataFrame:

@@ -7,15 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import null_if_nan
 from ..session import constant_frame
 
-CHECK_SCHEMA = "check STRING, column STRING, metric DOUBLE, passed BOOLEAN"
-
 _TYPE_FAMILIES = {
     "numeric": (T.NumericType,),
     "datetime": (T.DateType, T.TimestampType, T.TimestampNTZType),
@@ -24,25 +22,22 @@ _TYPE_FAMILIES = {
 }
 
 
-def _result(check: str, column: str | None, metric: Column, passed: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"),
-        metric.cast("double").alias("metric"), passed.cast("boolean").alias("passed"),
-    )
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-def _lines(df: DataFrame, results: Sequence[Column]) -> DataFrame:
-    """One row per struct. The array is written inside the generator, which tells Spark that it is
-    not empty: from a named array it would infer a filter over all checks, and then spend
-    exponential time on the constraints that follow from it."""
-    return df.select(F.inline(F.array(*results)))
+def _missing(df: DataFrame, column: str) -> str:
+    """SQL condition; NaN is missing."""
+    missing = f"{_name(column)} IS NULL"
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        missing += f" OR isnan({_name(column)})"
+    return missing
 
 
-def _missing(df: DataFrame, column: str) -> Column:
-    c = F.col(column)
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        c = null_if_nan(c)
-    return c.isNull()
+def _array(expressions: Sequence[str], dtype: str) -> Column:
+    """One SQL text for any number of aggregates: a wide frame would otherwise spend its time in
+    building columns one call at a time."""
+    return F.expr("array(" + ", ".join(f"CAST({e} AS {dtype})" for e in expressions) + ")")
 
 
 def _type_matches(df: DataFrame, column: str, expected: str) -> bool:
@@ -59,47 +54,46 @@ def _column_checks(df: DataFrame, required: Sequence[str], types: Mapping[str, s
 
     An empty frame fails every check except duplicates.
     """
-    rows = F.count(F.lit(1))
-    aggregates = {"rows": rows}
-    ranged = [
-        c for c in ranges
-        if c in df.columns and isinstance(df.schema[c].dataType, T.NumericType)
-    ]
-    for i, name in enumerate(ranged):
-        low, high = ranges[name]
-        outside = (F.col(name) < F.lit(low)) | (F.col(name) > F.lit(high))
-        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            outside = outside & ~F.isnan(name)
-        aggregates[f"range_{i}"] = F.count_if(outside)
-    nulls = df.columns if null_threshold is not None else []
-    for i, name in enumerate(nulls):
-        aggregates[f"null_{i}"] = F.try_divide(F.count_if(_missing(df, name)) * 100.0, rows)
-
-    filled = F.col("rows") > 0
-    results = []
+    lines: list[tuple[str, str | None, str]] = []  # check, column, metric in SQL
     for name in required:
         found = name in df.columns
-        results.append(_result(
-            "presence", name, F.when(filled & F.lit(found), 1.0).otherwise(0.0),
-            filled & F.lit(found),
-        ))
+        lines.append(("presence", name, f"count_if({str(found).lower()}) > 0"))
     for name, expected in types.items():
         if name in df.columns:
-            good = _type_matches(df, name, expected)
-            results.append(_result(
-                "type", name, F.lit(1.0 if good else 0.0), filled & F.lit(good)
-            ))
-    for i, name in enumerate(ranged):
-        count = F.col(f"range_{i}")
-        results.append(_result("range", name, count, filled & (count == 0)))
-    for i, name in enumerate(nulls):
-        share = F.col(f"null_{i}")
-        results.append(_result(
-            "null_share", name, share, filled & (F.coalesce(share, F.lit(0.0)) <= null_threshold)
-        ))
-    one_row = df.agg(*(v.alias(k) for k, v in aggregates.items()))
-    results.append(_result("rows", None, F.col("rows"), filled))
-    return _lines(one_row, results)
+            lines.append(("type", name, str(_type_matches(df, name, expected)).lower()))
+    for name, (low, high) in ranges.items():
+        dtype = df.schema[name].dataType if name in df.columns else None
+        if isinstance(dtype, T.NumericType):
+            c = _name(name)
+            outside = f"({c} < {float(low)!r}D OR {c} > {float(high)!r}D)"
+            if isinstance(dtype, (T.DoubleType, T.FloatType)):
+                outside += f" AND NOT isnan({c})"
+            lines.append(("range", name, f"count_if({outside})"))
+    for name in df.columns if null_threshold is not None else ():
+        share = f"try_divide(count_if({_missing(df, name)}) * 100.0D, count(1))"
+        lines.append(("null_share", name, share))
+    lines.append(("rows", None, "count(1)"))
+
+    one_row = df.agg(
+        F.count(F.lit(1)).alias("rows"), _array([m for *_, m in lines], "DOUBLE").alias("metrics")
+    )
+    names = constant_frame(
+        df.sparkSession, ("position", "check", "column"),
+        [(i, check, column) for i, (check, column, _) in enumerate(lines)],
+        (pa.int32(), pa.string(), pa.string()),
+    )
+    metric, check = F.col("metric"), F.col("check")
+    fine = (
+        F.when(check.isin("presence", "type"), metric == 1)
+        .when(check == "range", metric == 0)
+        .when(check == "null_share", F.coalesce(metric, F.lit(0.0)) <= (null_threshold or 0.0))
+        .otherwise(True)
+    )
+    return (
+        one_row.select("rows", F.posexplode("metrics").alias("position", "metric"))
+        .join(names, "position")
+        .select("check", "column", "metric", ((F.col("rows") > 0) & fine).alias("passed"))
+    )
 
 
 def check_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -134,8 +128,9 @@ def check_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> Data
     groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n"))
     extra = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"))
     return extra.select(
-        _result("duplicates", None, F.col("extra"), F.col("extra") == 0).alias("r")
-    ).select("r.*")
+        F.lit("duplicates").alias("check"), F.lit(None).cast("string").alias("column"),
+        F.col("extra").cast("double").alias("metric"), (F.col("extra") == 0).alias("passed"),
+    )
 
 
 def validate(df: DataFrame, required: Sequence[str] = (), types: Mapping[str, str] | None = None,
@@ -145,14 +140,16 @@ def validate(df: DataFrame, required: Sequence[str] = (), types: Mapping[str, st
     checks = _column_checks(df, required, types or {}, ranges or {}, null_threshold)
     if duplicates:
         checks = checks.unionByName(check_duplicates(df, subset))
-    # The verdict is an aggregate over the handful of check rows.
-    total = F.count_if(~F.col("passed"))
-    verdict = [_result("dataset", None, F.col("failed"), F.col("failed") == 0)]
+    # The verdict is taken over the check rows, of which there are a few per column.
+    failed = F.count_if(~F.col("passed"))
     gathered = checks.agg(
         F.collect_list(F.struct("check", "column", "metric", "passed")).alias("all"),
-        total.alias("failed"),
+        F.struct(
+            F.lit("dataset").alias("check"), F.lit(None).cast("string").alias("column"),
+            failed.cast("double").alias("metric"), (failed == 0).alias("passed"),
+        ).alias("verdict"),
     )
-    return gathered.select(F.inline(F.concat("all", F.array(*verdict))))
+    return gathered.select(F.inline(F.concat("all", F.array("verdict"))))
 
 
 # ---- layer contracts -------------------------------------------------------------------------
@@ -196,23 +193,19 @@ def check_contract(df: DataFrame, table: str) -> DataFrame:
 
 def profile(df: DataFrame) -> DataFrame:
     """(column, dtype, rows, nulls, null_pct) per column and a total line, from one pass."""
-    rows = F.count(F.lit(1)).alias("rows")
-    nulls = [F.count_if(_missing(df, c)).alias(f"null_{i}") for i, c in enumerate(df.columns)]
-    one = df.agg(rows, *nulls)
-
-    def line(name: str, dtype: str | None, count: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("column"), F.lit(dtype).cast("string").alias("dtype"),
-            F.col("rows").alias("rows"), count.alias("nulls"),
-        )
-
-    lines = [
-        line(f.name, f.dataType.simpleString(), F.col(f"null_{i}"))
-        for i, f in enumerate(df.schema.fields)
-    ]
-    total = sum((F.col(f"null_{i}") for i in range(1, len(df.columns))), F.col("null_0"))
-    lines.append(line("*", None, total))
-    return _lines(one, lines).withColumn(
-        "null_pct",
-        F.when(F.col("column") != "*", F.try_divide(F.col("nulls") * 100.0, F.col("rows"))),
+    nulls = _array([f"count_if({_missing(df, c)})" for c in df.columns], "BIGINT")
+    one = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"))
+    total = F.aggregate("nulls", F.lit(0).cast("long"), lambda a, n: a + n)
+    fields = [*((f.name, f.dataType.simpleString()) for f in df.schema.fields), ("*", None)]
+    names = constant_frame(
+        df.sparkSession, ("position", "column", "dtype"),
+        [(i, *field) for i, field in enumerate(fields)], (pa.int32(), pa.string(), pa.string()),
+    )
+    lines = one.select(
+        "rows", F.posexplode(F.concat("nulls", F.array(total))).alias("position", "nulls")
+    )
+    share = F.try_divide(F.col("nulls") * 100.0, F.col("rows"))
+    return lines.join(names, "position").select(
+        "column", "dtype", "rows", "nulls",
+        F.when(F.col("column") != "*", share).alias("null_pct"),
     )

@@ -152,6 +152,7 @@ def _halos(base: DataFrame, series: Series, reach: int, carries: bool) -> DataFr
     keys, value = list(series.keys), series.value
     at = [*keys, CHUNK]
     order = [series.date, *series.tie]
+    number = F.col(value).cast("double")
     by_series = Window.partitionBy(*(keys or [F.lit(0)]))
     up_to_here = by_series.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -163,20 +164,20 @@ def _halos(base: DataFrame, series: Series, reach: int, carries: bool) -> DataFr
     # Two neighbouring chunks share at most one series, so this side has fewer rows than twice the
     # number of chunks, however many series there are.
     near = null_safe_join(
-        base.select(*at, *order, F.col(value).cast("double").alias(value)),
+        base.select(*at, *order, value),
         F.broadcast(crossing.select(*at, "rows")), at,
     )
     back = F.row_number().over(Window.partitionBy(*at).orderBy(*series.reverse_order()))
     ranked = near.withColumn("back", back)
     tails = ranked.filter(F.col("back") <= reach).select(
         *at, *order, value, "back", F.lit(1).cast("long").alias("rows"),
-        F.col(value).alias("last"), F.col(value).alias("sum"),
+        number.alias("last"), number.alias("sum"),
     )
     if carries:
         bodies = ranked.filter(F.col("back") > reach).groupBy(*at).agg(
             F.count(F.lit(1)).alias("rows"),
-            F.min_by(value, F.when(F.col(value).isNotNull(), F.col("back"))).alias("last"),
-            F.sum(value).alias("sum"),
+            F.min_by(number, F.when(number.isNotNull(), F.col("back"))).alias("last"),
+            F.sum(number).alias("sum"),
         )
     else:
         bodies = crossing.filter(F.col("rows") > reach).select(

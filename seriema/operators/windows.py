@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import percent_of, rounded
 from ..model import Series
+from .joins import attach_scalars
 from .spread import Measure, join_back, measure, running_total
 
 # ---- measures --------------------------------------------------------------------------------
@@ -171,7 +172,7 @@ def overall_std(df: DataFrame, series: Series, column: str = "volatility") -> Da
     """Every row gets the sample deviation of its series."""
     stats = df.groupBy(*series.keys).agg(F.stddev_samp(series.value).alias(column))
     if not series.keys:
-        return df.crossJoin(F.broadcast(stats))  # one row
+        return attach_scalars(df, stats)
     return join_back(df, stats, series.keys, series.grain is None)
 
 
@@ -268,7 +269,7 @@ def min_max_scale(df: DataFrame, value: str, keys: Sequence[str] = (),
                   column: str | None = None, scale: float = 100.0) -> DataFrame:
     """Scale to 0..``scale`` over all rows (or per key); unchanged where all values are equal."""
     ends = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    joined = join_back(df, ends, keys) if keys else df.crossJoin(F.broadcast(ends))
+    joined = join_back(df, ends, keys) if keys else attach_scalars(df, ends)
     v, low, high = F.col(value), F.col("_low"), F.col("_high")
     return joined.withColumn(
         column or value,

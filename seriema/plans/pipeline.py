@@ -29,17 +29,20 @@ ROWS_PER_TASK = 1_000_000
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: datetime,
-                     indicators: Sequence[str] | None = None, keys: Sequence[str] = ("source",),
+                     indicators: Sequence[str] | None = None,
+                     keys: Sequence[str] = ("source", "localidade"),
                      style: Style = STANDARD,
                      transforms: Mapping[str, Callable[..., DataFrame]] = TRANSFORMS,
                      value: str = "valor") -> DataFrame:
     """Transform the newest snapshot of every indicator and append a silver snapshot.
 
     All indicators are written by one job; each reads only its own bronze folders. An indicator
-    that has no transform, no data or columns that do not fit fails alone. Returns the report
-    (source, indicator, rows, success, message).
+    that has no transform, no data or columns that do not fit fails alone. Of ``keys`` those that
+    the layer has tell the series of an indicator apart. Returns the report (source, indicator,
+    rows, success, message).
     """
     layer = read_latest(spark, bronze, indicators)
+    keys = [k for k in keys if k in layer.columns]
     longest = series_lengths(layer, keys)
     if indicators is None:
         indicators = sorted(longest)

@@ -81,3 +81,15 @@ def test_long_series_are_spread(spark, monkeypatch):
     target = scratch_path(spark, "silver")
     report = pipeline.bronze_to_silver(spark, landed(spark), target, RUN, ["ipca"]).first()
     assert report.success and report.rows == 12
+
+
+def test_places_are_series_in_a_run(spark):
+    one = fx.bronze(spark, "ipca", fx.IPCA).select(
+        F.lit("ibge").alias("source"), F.col("data").cast("string").alias("data"),
+        F.col("ipca").cast("string").alias("valor"), "indicator")
+    both = one.withColumn("localidade", F.lit("A")).unionByName(one.withColumn("localidade", F.lit("B")))
+    bronze, target = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    sinks.write_snapshot(both, bronze, RUN)
+    assert pipeline.bronze_to_silver(spark, bronze, target, RUN).first().rows == 24
+    firsts = spark.read.parquet(target).filter("month(date) = 1")
+    assert [r.monthly_change_pct for r in firsts.collect()] == [None, None]

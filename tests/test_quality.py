@@ -64,3 +64,11 @@ def test_profile(data):
     got = {r["column"]: r for r in q.profile(data).collect()}
     assert got["*"]["nulls"] == 4 and got["value"]["nulls"] == 1
     assert got["indicator"]["null_pct"] == 50.0 and got["date"]["dtype"] == "date"
+
+
+def test_wide_frames_are_planned_in_no_time(spark):
+    df = spark.range(5).select(*((F.col("id") + i).alias(f"c{i}") for i in range(120)))
+    ranges = {f"c{i}": (0, 50) for i in range(120)}
+    got = results(q.validate(df.filter("c0 >= 0"), df.columns, {}, ranges))
+    assert got["range", "c10"] == (0.0, True) and got["range", "c119"] == (5.0, False)
+    assert q.profile(df).count() == 121

@@ -115,3 +115,10 @@ def test_hot_order_values_are_split_by_the_tie_breaker(spark):
     base = cut(frame(spark, data), Series(keys=("k",), tie=("t",)), 9)
     undated = base.filter("date is null").groupBy(CHUNK).count().collect()
     assert len(undated) >= 3
+
+
+def test_value_keeps_its_type(spark):
+    df = frame(spark, observations(10)).withColumn("value", F.col("value").cast("int"))
+    series = Series(keys=("k",), tie=("t",))
+    out = measure(df, series, w.percent_change(1, "p"), w.shift(1, "s"), chunks=3)
+    assert dict(out.dtypes)["value"] == "int" and dict(out.dtypes)["s"] == "int"
