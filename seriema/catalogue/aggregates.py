@@ -22,7 +22,7 @@ from .inputs import (
     observations,
     table,
 )
-from .cleaning import _REGISTRY_SQL
+from .cleaning import REGISTRY_SQL
 from .registry import query
 
 SHIPPED = Series(keys=("l_returnflag",), date="l_shipdate", value="l_extendedprice")
@@ -113,7 +113,7 @@ def scalar_join(spark, path):
 
 
 @query("e04_registry_lookup", f"""
-WITH {OBSERVATIONS_SQL}, {_REGISTRY_SQL},
+WITH {OBSERVATIONS_SQL}, {REGISTRY_SQL},
 b AS (SELECT 'bcb' AS source, {INDICATOR_SQL} AS indicator, value FROM obs)
 SELECT b.indicator, any_value(frequency) AS frequency, any_value(unit) AS unit, count(*) AS n
 FROM b LEFT JOIN registry r ON r.source = b.source AND r.indicator = b.indicator GROUP BY 1""")

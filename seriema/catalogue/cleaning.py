@@ -192,13 +192,13 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_REGISTRY_SQL = "registry(source, indicator, indicator_name, unit, frequency) AS (VALUES " + ", ".join(
+REGISTRY_SQL = "registry(source, indicator, indicator_name, unit, frequency) AS (VALUES " + ", ".join(
     "(" + ", ".join(map(_quoted, (s, i, n, u, f))) + ")" for s, i, _, n, u, f in REGISTRY
 ) + ")"
 
 
 @query("c10_attach_registry", f"""
-WITH {OBSERVATIONS_SQL}, {_REGISTRY_SQL},
+WITH {OBSERVATIONS_SQL}, {REGISTRY_SQL},
 b AS (SELECT CASE WHEN t % 3 = 0 THEN 'ibge' ELSE 'bcb' END AS source,
              {INDICATOR_SQL} AS indicator, t FROM obs)
 SELECT b.source, b.indicator, t, indicator_name, unit, frequency FROM b

@@ -32,14 +32,15 @@ def left_by_quarter(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
                     per_quarter: str = "last", date: str = "date") -> DataFrame:
     """Left join on the quarter of the date.
 
-    ``per_quarter='last'`` takes the latest right row of a quarter, so that a monthly right side
-    does not repeat left rows; ``'all'`` pairs every row.
+    ``per_quarter='last'`` takes the latest right row of a quarter (of equal dates the one with the
+    larger values), so that a monthly right side does not repeat left rows; ``'all'`` pairs every
+    row.
     """
     values = [c for c in right.columns if c not in (*keys, date)]
     dated = right.filter(F.col(date).isNotNull()).withColumn("_quarter", quarter_key(F.col(date)))
     if per_quarter == "last":
         dated = dated.groupBy(*keys, "_quarter").agg(
-            F.max_by(F.struct(*values), F.col(date)).alias("_row")
+            F.max_by(F.struct(*values), F.struct(date, *values)).alias("_row")
         ).select(*keys, "_quarter", "_row.*")
     elif per_quarter == "all":
         dated = dated.drop(date)

@@ -157,7 +157,7 @@ def _latest(long: DataFrame) -> DataFrame:
     The exchange rate has no annual change of its own; it is taken over 12 rows.
     """
     nth, value = F.col("_nth"), F.col("value")
-    series = Series(keys=("indicator",), grain="M")
+    series = Series(keys=("indicator",), tie=("value",), grain="M")
     rows = long.withColumn("_mean", F.avg(value).over(Window.partitionBy("indicator")))
 
     def at(column, n: int = 1):

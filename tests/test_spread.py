@@ -122,3 +122,27 @@ def test_value_keeps_its_type(spark):
     series = Series(keys=("k",), tie=("t",))
     out = measure(df, series, w.percent_change(1, "p"), w.shift(1, "s"), chunks=3)
     assert dict(out.dtypes)["value"] == "int" and dict(out.dtypes)["s"] == "int"
+
+
+def test_chunks_as_adaptive_execution_sizes_them(spark):
+    """Without a number of chunks, partitions may be merged after the shuffle; order must hold."""
+    df = frame(spark, observations(11, n=600))
+    whole = Series(keys=("k",), tie=("t",), grain="D")
+    expected = rows(measure(df, whole, *MEASURES), "t")
+    settings = {"spark.sql.shuffle.partitions": "30",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "3KB",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+                "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        base = cut(df, whole)
+        assert 2 < base.select(CHUNK).distinct().count() < 30
+        got = rows(measure(df, whole.but(grain=None), *MEASURES), "t")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for a, b in zip(expected, got, strict=True):
+        assert a[:5] == b[:5]
+        near(b[5:], a[5:])
