@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import resample
 from ..operators.joins import append
+from ..operators.spread import measure
+from ..operators.windows import difference, percent_change, year_to_date_percent
 from ..plans import gold, pipeline, silver
 from ..session import scratch_path
 from ..sources import files, sinks
 from .inputs import (
     AS_OF,
+    MONTHLY,
     MONTHLY_SQL,
     OBSERVATIONS_SQL,
     RAW,
@@ -450,6 +453,30 @@ def load_latest_silver(spark, path):
     ))
 
 
+@query("l01_group_wise_expression", f"""
+WITH {MONTHLY_SQL}
+SELECT k, date, round((value / first_value(value) OVER w - 1) * 100, 6) AS year_to_date_pct
+FROM monthly WINDOW w AS (PARTITION BY k, year(date) ORDER BY date)""")
+def group_wise_expression(spark, path):
+    """What a function per group would do is a window expression."""
+    out = year_to_date_percent(monthly(spark, path), MONTHLY)
+    return _rounded(out, {"year_to_date_pct": 6}, "k", "date")
+
+
+@query("l02_row_expression", f"""
+WITH {MONTHLY_SQL},
+c AS (SELECT k, date, (value / lag(value, 1) OVER w - 1) * 100 AS change,
+             value - lag(value, 2) OVER w AS growth FROM monthly
+      WINDOW w AS (PARTITION BY k ORDER BY date))
+SELECT k, date, round(-change / nullif(growth, 0), 8) AS elasticity FROM c""")
+def row_expression(spark, path):
+    """What a function per row would do is a column expression."""
+    out = measure(monthly(spark, path), MONTHLY, percent_change(1, "change", 100),
+                  difference(2, "growth"))
+    elasticity = F.round(F.try_divide(-F.col("change"), F.col("growth")), 8)
+    return out.select("k", "date", elasticity.alias("elasticity"))
+
+
 @query("l03_aggregate_by_name", f"""
 WITH {OBSERVATIONS_SQL}
 SELECT k, CAST(date_trunc('year', date) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS date,
