@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, rules
+from . import mixing, quality, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,22 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~rules.passes("base")).alias("base_failed"), rules.passes().alias("kept"),
     )
+
+
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, by a network that never sees the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    params = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, params).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, and whether it is toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "toxic")
