@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, rules, toxicity
+from . import mixing, packing, quality, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "toxic")
+
+
+@query()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in the training sequences."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
