@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, rules, toxicity
+from . import minhash, mixing, packing, quality, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in the training sequences."""
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+SHINGLES_SQL = """
+WITH cut AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM cut
+)"""
+
+
+@query()
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links between sets of two-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
