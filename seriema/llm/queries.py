@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, rules, toxicity
+from . import minhash, mixing, packing, quality, recompression, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,30 @@ WITH cut AS (
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links between sets of two-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+WINDOWS_SQL = f"""
+WITH cut AS (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS_SQL} AS w FROM documents
+), windows AS (
+  SELECT rid, doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS h
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM cut WHERE len(w) >= 13)
+), firsts AS (
+  SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h
+), gone AS (
+  SELECT rid, list(DISTINCT j) AS places FROM (
+    SELECT rid, unnest(range(i, i + 13)) AS j FROM windows JOIN firsts USING (h) WHERE first_id < doc_id
+  ) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN w ELSE
+         list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(places, z[2])), lambda z: z[1])
+         END, ' ')) AS kept_sha256
+FROM cut LEFT JOIN gone USING (rid)
+"""
+
+
+@query()
+def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay when windows of 13 words found in earlier documents go."""
+    return recompression.digests(table(spark, sf_dir, "documents"))
