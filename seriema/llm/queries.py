@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, recompression, rules, toxicity
+from . import minhash, mixing, packing, quality, recompression, rules, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +189,9 @@ FROM cut LEFT JOIN gone USING (rid)
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stay when windows of 13 words found in earlier documents go."""
     return recompression.digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that stay when strings of 50 bytes found in earlier documents go."""
+    return suffixes.spans(table(spark, sf_dir, "documents"))
