@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, recompression, rules, suffixes, toxicity
+from ..session import scratch_path, stage
+from . import minhash, mixing, packing, quality, recompression, rules, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,7 +186,7 @@ FROM cut LEFT JOIN gone USING (rid)
 """
 
 
-@query()
+@query(WINDOWS_SQL)
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stay when windows of 13 words found in earlier documents go."""
     return recompression.digests(table(spark, sf_dir, "documents"))
@@ -195,3 +196,26 @@ def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that stay when strings of 50 bytes found in earlier documents go."""
     return suffixes.spans(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM digests
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
+@query(WARC_SQL)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to an archive and read back from it."""
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.catalogued(stage(warc.read(spark, path), "warc-records"))
