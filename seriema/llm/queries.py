@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, stage
-from . import minhash, mixing, packing, quality, recompression, rules, suffixes, toxicity, warc
+from . import minhash, mixing, packing, quality, recompression, rules, suffixes, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -219,3 +219,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
     return warc.catalogued(stage(warc.read(spark, path), "warc-records"))
+
+
+@query()
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
