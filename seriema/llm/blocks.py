@@ -111,8 +111,8 @@ def blocks(docs: DataFrame, text: str = "text") -> Blocks:
 
         def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(rows)
-            number = table.column("_task")[0].as_py() * PER_TASK + nth
-            body = packed(table.drop_columns("_task").combine_chunks())
+            number = table.column("_blocks_task")[0].as_py() * PER_TASK + nth
+            body = packed(table.drop_columns("_blocks_task").combine_chunks())
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([body], pa.binary())], names=["block", "body"])
 
         for batch in batches:
@@ -129,7 +129,7 @@ def blocks(docs: DataFrame, text: str = "text") -> Blocks:
         if part:
             yield block(part)
 
-    table = docs.withColumn("_task", F.spark_partition_id()).mapInArrow(pack, "block long, body binary")
+    table = docs.withColumn("_blocks_task", F.spark_partition_id()).mapInArrow(pack, "block long, body binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"blocks_{uuid.uuid4().hex}"
     table.write.bucketBy(parts, "block").option("path", scratch_path(spark, "blocks")).option("compression", "none").saveAsTable(name)

@@ -7,7 +7,7 @@ their mean and their maximum over the text, and a small hidden layer turns them
 Training uses at most ``SAMPLE`` labelled documents of at most ``TRAIN_BYTES`` bytes, those with the smallest
 hash of their id; scoring takes every text whole, whatever its length.
 
-Defined cases: a NULL or empty text is scored like a chunk of padding; repeated rows get equal scores;
+Defined cases: a NULL or empty text is scored like a chunk of padding; repeated rows get scores equal but for rounding;
 NULL ids are scored, never learned from, and not held out; labels that are NULL or contradict each other
 are not learned from; without labels of both kinds every score is the share of label 1 (one half if there
 are none); an empty table gives an empty result. Columns of ``docs`` are kept; ``score`` is added and
@@ -62,8 +62,13 @@ def forward(p: Params, buffer: np.ndarray, hops: np.ndarray) -> tuple[np.ndarray
     """Probabilities of the texts laid out in ``buffer``, and what the gradient needs."""
     groups = p["embed"][buffer].reshape(-1, STEP * EMBED)
     # A filter over 8 bytes is one over the first four plus one over the next four.
+    # Behind the last four bytes of a text there is padding, not the next text.
+    stops = np.cumsum(hops) * (HOP // STEP) - 1
+    after = np.empty_like(groups)
+    after[:-1] = groups[1:]
+    after[stops] = np.tile(p["embed"][0], STEP)
     y = groups @ p["near"]
-    y[:-1] += groups[1:] @ p["far"]
+    y += after @ p["far"]
     y += p["bias"]
     y = y.reshape(len(buffer) // HOP, HOP // STEP, FILTERS)
     pooled = y.max(1)
@@ -79,7 +84,7 @@ def forward(p: Params, buffer: np.ndarray, hops: np.ndarray) -> tuple[np.ndarray
     feats = np.concatenate([mean, top], axis=1)
     hidden = np.tanh(feats @ p["w1"] + p["b1"])
     out = 1 / (1 + np.exp(-np.clip(hidden @ p["w2"] + p["b2"][0], -30, 30)))
-    return out, {"groups": groups, "y": y, "pooled": pooled, "left": left, "chunks": chunks, "n": n,
+    return out, {"groups": groups, "after": after, "stops": stops, "y": y, "pooled": pooled, "left": left, "chunks": chunks, "n": n,
                  "top": top, "feats": feats, "hidden": hidden}
 
 
@@ -103,14 +108,17 @@ def gradient(p: Params, buffer: np.ndarray, s: dict, error: np.ndarray) -> Param
     np.put_along_axis(dy, s["y"].argmax(1)[:, None, :], dp[:, None, :], axis=1)
     dy = dy.reshape(-1, FILTERS)
     g["bias"] = dy.sum(0)
-    g["near"], g["far"] = s["groups"].T @ dy, s["groups"][1:].T @ dy[:-1]
-    dg = dy @ p["near"].T
-    dg[1:] += dy[:-1] @ p["far"].T
+    g["near"], g["far"] = s["groups"].T @ dy, s["after"].T @ dy
+    dg, da = dy @ p["near"].T, dy @ p["far"].T
+    padding = da[s["stops"]].reshape(-1, EMBED).sum(0)
+    da[s["stops"]] = 0
+    dg[1:] += da[:-1]
     dg = dg.reshape(-1, EMBED)
     # Only bytes under a filter that won its half chunk have a gradient.
     hit = np.flatnonzero(dg.any(1))
     g["embed"] = np.stack(
         [np.bincount(buffer[hit], weights=dg[hit, e], minlength=256) for e in range(EMBED)], axis=1).astype(np.float32)
+    g["embed"][0] += padding
     return g
 
 
