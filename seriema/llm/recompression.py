@@ -70,7 +70,7 @@ class Parsed:
             if d is not None and (least[d] is None or i < least[d]):
                 least[d] = i
         self.least = least
-        if not any(phase == "copies" for phase, _ in replies):
+        if self.digests and not any(phase == "copies" for phase, _ in replies):
             return
         first = {}
         at = self.digest_borders(buckets)

@@ -83,7 +83,7 @@ class Bytes:
         for d, i in zip(digests, self.ids):
             if d is not None and i < self.least.get(d, i + 1):
                 self.least[d] = i
-        if not any(phase == "copies" for phase, _ in replies):
+        if self.digests and not any(phase == "copies" for phase, _ in replies):
             return
         first = {}
         at = self.digest_borders(buckets)
