@@ -8,8 +8,8 @@ With 48 bands of 6 rows a pair of similarity 0.8 shares none with probability (1
 Texts with equal sets are one node from the start. In a bucket, every node is only paired with the
 smallest one, so candidates grow with the members of buckets, not with their pairs. Pairs are confirmed
 on whole sets: first one per node, then those between different components, and last, where a bucket
-still holds several components, the nodes outside its largest one against the nodes of the other
-components there. After that no pair that shares a bucket can join two components.
+still holds several components, those that prefixes of rare shingles leave possible. After that no pair
+that shares a bucket can join two components.
 
 Defined cases: a NULL or blank text has no shingles, is linked with nothing and stays; one with fewer
 words than a shingle has one shingle, all its words. Repeated rows share their fate. A row with a NULL
@@ -24,7 +24,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -136,19 +136,32 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(found.select("a", "b"), "near-links")
 
 
-def closing_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket but different components, one of them outside the bucket's largest."""
+def closing_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that can still be similar enough, by prefixes of rare shingles.
+
+    Only nodes of buckets that hold several components take part, and of two nodes one lies outside the
+    largest component of such a bucket. Two sets of n and m items that share enough agree in an item
+    that is early in both when items are put from rare to frequent: behind its places i and j there
+    must be enough left to share. Copies that differ from a common text each in its own way have their
+    own items first, so a large group of them makes no pairs.
+    """
     at = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     at = stage(at, "near-members")
     split = at.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max(F.struct("c", "root"))["root"].alias("most"), F.count("*").alias("roots")
     ).where("roots > 1").select("key", "most")
-    at = at.join(split, "key")
-    x = at.where("root <> most").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("x_n"))
-    pairs = at.join(x, "key").where(
-        (F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("most")) | (F.col("x") < F.col("node")))
-        & (100 * F.least("n", "x_n") >= percent * F.greatest("n", "x_n"))
-    )
+    open_ = at.join(split, "key").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.max(F.col("root") != F.col("most")).alias("outside"))
+    items = stage(open_.join(sets, "node").select("node", "n", "root", "outside", F.explode("items").alias("item")), "near-items")
+    # Items of one node only are counted, not compared.
+    shared = items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1")
+    by_node = Window.partitionBy("node")
+    placed = items.join(shared, "item").withColumn(
+        "i", F.col("n") - F.count("*").over(by_node) + F.row_number().over(by_node.orderBy("c", "item")) - 1)
+    placed = stage(placed.where(f"100 * (n - i) >= {percent} * n").drop("c"), "near-prefixes")
+    x = placed.where("outside").select("item", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("m"), F.col("i").alias("j"))
+    enough = f"{100 + percent} * (n - i) >= {percent} * (n + m) AND {100 + percent} * (m - j) >= {percent} * (n + m)"
+    pairs = placed.join(x, "item").where((F.col("root") != F.col("x_root")) & F.expr(enough))
     return pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
 
 
@@ -171,7 +184,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     links = confirmed(first, sets, percent)
     labels = components(links)
     tried = first
-    for more in (lambda: between(stars.select("a", "b"), labels), lambda: closing_pairs(members, labels, percent)):
+    for more in (lambda: between(stars.select("a", "b"), labels), lambda: closing_pairs(members, sets, labels, percent)):
         pairs = stage(more().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         if pairs.isEmpty():
             continue
