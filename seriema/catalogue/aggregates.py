@@ -31,12 +31,12 @@ SHIPPED = Series(keys=("l_returnflag",), date="l_shipdate", value="l_extendedpri
 # ---- joins -----------------------------------------------------------------------------------
 
 _SIDES_SQL = f"""{MONTHLY_SQL},
-m AS (SELECT k, strftime(date, '%Y-%m') AS year_month, date, value FROM monthly),
-a AS (SELECT CASE WHEN month(date) <> 3 THEN year_month END AS year_month, date, value AS ipca
-      FROM m WHERE k = '1-URGENT' AND year(date) < 1999),
-b AS (SELECT CASE WHEN month(date) <> 3 THEN year_month END AS year_month, value AS selic
-      FROM m WHERE k = '2-HIGH' AND year(date) > 1996),
-c AS (SELECT year_month, value AS cambio FROM m WHERE k = '4-NOT SPECIFIED')"""
+m AS (SELECT k, strftime(date, '%Y-%m') AS year_month, month(date) AS month, date, value FROM monthly),
+a AS (SELECT CASE WHEN month <> 3 THEN year_month END AS year_month, date, value AS ipca
+      FROM m WHERE k = '1-URGENT'),
+b AS (SELECT CASE WHEN month <> 5 THEN year_month END AS year_month, value AS selic
+      FROM m WHERE k = '2-HIGH'),
+c AS (SELECT year_month, value AS cambio FROM m WHERE k = '4-NOT SPECIFIED' AND month <> 7)"""
 
 
 def _side(spark, path, k, name):
@@ -46,40 +46,55 @@ def _side(spark, path, k, name):
     )
 
 
-@query("e01_full_outer_by_month", f"""
+def _month_sides(spark, path):
+    """Keys are missing in March, in May, and rows in July."""
+    left, middle = _side(spark, path, "1-URGENT", "ipca"), _side(spark, path, "2-HIGH", "selic")
+    right = _side(spark, path, "4-NOT SPECIFIED", "cambio").where(F.month("date") != 7)
+    without = lambda df, month: df.withColumn(
+        "year_month", F.when(F.month("date") != month, F.col("year_month")))
+    return without(left, 3), without(middle, 5), right
+
+
+def _panel(spark, path, pair_missing):
+    left, middle, right = _month_sides(spark, path)
+    panel = j.full_outer(left, middle, "year_month", pair_missing)
+    panel = j.full_outer(panel, right, "year_month", pair_missing)
+    return panel.select(
+        "year_month", "date", *(F.round(c, 7).alias(c) for c in ("ipca", "selic", "cambio"))
+    )
+
+
+_E01_SQL = f"""
 WITH {_SIDES_SQL},
 ab AS (SELECT coalesce(a.year_month, b.year_month) AS year_month, date, ipca, selic
-       FROM a FULL JOIN b ON a.year_month IS NOT DISTINCT FROM b.year_month)
+       FROM a FULL JOIN b ON a.year_month {{0}} b.year_month)
 SELECT coalesce(ab.year_month, c.year_month) AS year_month, date, round(ipca, 7) AS ipca,
        round(selic, 7) AS selic, round(cambio, 7) AS cambio
-FROM ab FULL JOIN c ON ab.year_month IS NOT DISTINCT FROM c.year_month""")
+FROM ab FULL JOIN c ON ab.year_month {{0}} c.year_month"""
+
+
+@query("e01_full_outer_by_month", _E01_SQL.format("="))
 def full_outer(spark, path):
-    """Two sides lose some of their months; missing keys meet each other, all with all."""
-    march = F.month("date") != 3
-    key = F.when(march, F.col("year_month"))
-    left = _side(spark, path, "1-URGENT", "ipca").filter(F.year("date") < 1999)
-    middle = _side(spark, path, "2-HIGH", "selic").filter(F.year("date") > 1996)
-    right = _side(spark, path, "4-NOT SPECIFIED", "cambio")
-    panel = j.full_outer(
-        left.withColumn("year_month", key), middle.withColumn("year_month", key), "year_month"
-    )
-    panel = j.full_outer(panel, right, "year_month")
-    return panel.select(
-        "year_month", "date", *(F.round(c, 7).alias(c) for c in ("ipca", "selic", "cambio"))
-    )
+    """Rows with a missing key stay rows of their own."""
+    return _panel(spark, path, False)
+
+
+@query("e01_full_outer_missing_paired", _E01_SQL.format("IS NOT DISTINCT FROM"))
+def full_outer_paired(spark, path):
+    """Missing keys meet each other on demand."""
+    return _panel(spark, path, True)
 
 
 _QUARTER_SQL = f"""{MONTHLY_SQL},
 u AS (SELECT date, value AS rate, date_trunc('quarter', date) AS q FROM monthly
-      WHERE k = '5-LOW' AND month(date) % 3 = 1),
+      WHERE k = '5-LOW'),
 g AS (SELECT date AS d, value AS gdp, date_trunc('quarter', date) AS q FROM monthly
-      WHERE k = '3-MEDIUM' AND year(date) > 1995)"""
+      WHERE k = '3-MEDIUM')"""
 
 
 def _quarter_sides(spark, path):
     df = monthly(spark, path)
-    left = df.filter((F.col("k") == "5-LOW") & (F.month("date") % 3 == 1))
-    right = df.filter((F.col("k") == "3-MEDIUM") & (F.year("date") > 1995))
+    left, right = df.filter(F.col("k") == "5-LOW"), df.filter(F.col("k") == "3-MEDIUM")
     return (
         left.select("date", F.col("value").alias("rate")),
         right.select("date", F.col("value").alias("gdp")),

@@ -6,8 +6,11 @@ The orders play the indicators: monthly means (ipca), daily means (selic, cambio
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import period_mean
 from ..operators.calendar import resample
 from ..operators.joins import append
 from ..operators.spread import measure
@@ -22,7 +25,6 @@ from .inputs import (
     OBSERVATIONS_SQL,
     RAW,
     RUN_TS,
-    daily,
     monthly,
     observations,
 )
@@ -218,7 +220,7 @@ def bronze_series(spark, path) -> dict:
     def of(df, k):
         return df.filter(F.col("k") == k).select("date", "value")
 
-    days = daily(spark, path).filter(F.col("value").isNotNull())
+    days = period_mean(rows, RAW, "D").drop("period")
     return {
         "ipca": of(monthly(spark, path), "1-URGENT"),
         "selic": of(days, "2-HIGH"),
@@ -236,7 +238,7 @@ def silver_series(spark, path) -> dict:
 
 
 _SILVER_SQL = f"""{MONTHLY_SQL},
-day_means AS (SELECT k, date, avg(value) AS value FROM obs WHERE day(date) <> 7 GROUP BY k, date),
+day_means AS (SELECT k, date, avg(value) AS value FROM obs GROUP BY k, date),
 quarters AS (SELECT k, CAST(date_trunc('quarter', date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)
              AS date, sum(value) AS total, avg(value) AS mean FROM obs GROUP BY 1, 2),
 s_ipca AS (SELECT date, value, (value / lag(value, 1) OVER w - 1) * 100 AS monthly,
@@ -292,9 +294,14 @@ def monthly_panel(spark, path):
 
 
 @query("i06_monthly_panel_plain_index", f"""
-WITH {MONTHLY_SQL}, m AS (SELECT strftime(date, '%Y-%m') AS year_month, k, value FROM monthly)
-SELECT i.year_month, round(i.value + s.value, 6) AS economic_pressure_index
-FROM m i JOIN m s ON s.year_month = i.year_month AND s.k = '2-HIGH' WHERE i.k = '1-URGENT'""")
+WITH {MONTHLY_SQL}, m AS (SELECT strftime(date, '%Y-%m') AS year_month, k, date, value FROM monthly),
+a AS (SELECT * FROM m WHERE k = '1-URGENT'), b AS (SELECT * FROM m WHERE k = '2-HIGH'),
+c AS (SELECT * FROM m WHERE k = '4-NOT SPECIFIED')
+SELECT coalesce(a.year_month, b.year_month, c.year_month) AS year_month, a.date,
+       round(a.value, 7) AS ipca, round(b.value, 7) AS selic, round(c.value, 7) AS cambio,
+       round(a.value + b.value, 3) AS economic_pressure_index
+FROM a FULL JOIN b ON a.year_month = b.year_month
+FULL JOIN c ON coalesce(a.year_month, b.year_month) = c.year_month""")
 def monthly_panel_plain(spark, path):
     """Inputs without the change columns: the index is rate plus prices."""
     df = monthly(spark, path)
@@ -303,8 +310,72 @@ def monthly_panel_plain(spark, path):
         for name, k in (("ipca", "1-URGENT"), ("selic", "2-HIGH"), ("cambio", "4-NOT SPECIFIED"))
     }
     panel = gold.monthly_panel(frames, spark, RUN_TS)
-    index = F.round("economic_pressure_index", 6).alias("economic_pressure_index")
-    return panel.filter(F.col("economic_pressure_index").isNotNull()).select("year_month", index)
+    digits = {"ipca": 7, "selic": 7, "cambio": 7, "economic_pressure_index": 3}
+    return _rounded(panel, digits, "date", "year_month")
+
+
+# Orders by the remainder of their number as two places of each indicator.
+_PLACES_SQL = f"""{OBSERVATIONS_SQL},
+placed AS (SELECT k, CASE WHEN t % 2 = 0 THEN 'Norte' ELSE 'Sul' END AS localidade, date, value FROM obs),
+pm AS (SELECT k, localidade, date_trunc('month', date)::DATE AS date, avg(value) AS value FROM placed GROUP BY ALL),
+pq AS (SELECT k, localidade, CAST(date_trunc('quarter', date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS date,
+              sum(value) AS total, avg(value) AS mean FROM placed GROUP BY ALL)"""
+
+
+def _placed_series(spark, path) -> dict:
+    """Silver frames of two places in each indicator."""
+    place = F.when(F.col("t") % 2 == 0, "Norte").otherwise("Sul").alias("localidade")
+    rows = observations(spark, path).select("k", place, "date", "t", "value")
+    raw, keys = RAW.but(keys=("k", "localidade")), ("localidade",)
+    months = period_mean(rows, raw, "M").drop("year_month")
+
+    def of(df, k):
+        return df.filter(F.col("k") == k).drop("k")
+
+    return {
+        "ipca": silver.ipca(of(months, "1-URGENT"), keys, run_ts=RUN_TS),
+        "selic": silver.selic(of(rows, "2-HIGH").drop("t"), keys, run_ts=RUN_TS),
+        "cambio": silver.cambio(of(rows, "4-NOT SPECIFIED"), keys, tie=("t",), run_ts=RUN_TS),
+        "pib": silver.pib(of(resample(rows, raw, "Q", "sum"), "3-MEDIUM"), keys, run_ts=RUN_TS),
+        "desemprego": silver.desemprego(of(resample(rows, raw, "Q", "mean"), "5-LOW"), keys, run_ts=RUN_TS),
+    }
+
+
+@query("i06_panel_by_place", f"""
+WITH {_PLACES_SQL},
+a AS (SELECT *, strftime(date, '%Y-%m') AS ym, (value / lag(value, 1) OVER w - 1) * 100 AS change
+      FROM pm WHERE k = '1-URGENT' WINDOW w AS (PARTITION BY localidade ORDER BY date)),
+b AS (SELECT *, strftime(date, '%Y-%m') AS ym FROM pm WHERE k = '2-HIGH'),
+c AS (SELECT localidade, strftime(date, '%Y-%m') AS ym, max(high) AS cambio FROM (
+        SELECT localidade, date, value AS high FROM placed WHERE k = '4-NOT SPECIFIED') GROUP BY ALL)
+SELECT coalesce(a.localidade, b.localidade, c.localidade) AS localidade, coalesce(a.ym, b.ym, c.ym) AS year_month,
+       round(a.value, 6) AS ipca, round(a.change, 6) AS ipca_monthly_change, round(b.value, 6) AS selic,
+       c.cambio IS NOT NULL AS has_cambio
+FROM a FULL JOIN b ON a.localidade = b.localidade AND a.ym = b.ym
+FULL JOIN c ON coalesce(a.localidade, b.localidade) = c.localidade AND coalesce(a.ym, b.ym) = c.ym""")
+def panel_by_place(spark, path):
+    panel = gold.monthly_panel(_placed_series(spark, path), spark, RUN_TS, keys=("localidade",))
+    digits = {c: 6 for c in ("ipca", "ipca_monthly_change", "selic")}
+    return _rounded(panel.withColumn("has_cambio", F.col("cambio").isNotNull()), digits, "localidade", "year_month", "has_cambio")
+
+
+@query("i07_labor_by_place", f"""
+WITH {_PLACES_SQL},
+d AS (SELECT localidade, date, mean AS rate, mean - lag(mean, 1) OVER w AS change FROM pq WHERE k = '5-LOW'
+      WINDOW w AS (PARTITION BY localidade ORDER BY date)),
+g AS (SELECT localidade, date, total AS gdp, (total / lag(total, 1) OVER w - 1) * 100 AS growth FROM pq WHERE k = '3-MEDIUM'
+      WINDOW w AS (PARTITION BY localidade ORDER BY date)),
+e AS (SELECT d.*, gdp, growth,
+             -(change / nullif(lag(rate, 1) OVER (PARTITION BY d.localidade ORDER BY d.date), 0) * 100) / nullif(growth, 0) AS el
+      FROM d LEFT JOIN g ON d.localidade = g.localidade AND d.date = g.date)
+SELECT localidade, date, round(rate, 6) AS unemployment_rate, round(gdp, 2) AS gdp,
+       round(el, 6) AS employment_gdp_elasticity,
+       round(avg(el) OVER (PARTITION BY localidade ORDER BY date ROWS 3 PRECEDING), 6) AS employment_gdp_elasticity_ma
+FROM e""")
+def labor_by_place(spark, path):
+    out = gold.labor_market(_placed_series(spark, path), spark, RUN_TS, keys=("localidade",))
+    digits = {"unemployment_rate": 6, "gdp": 2, "employment_gdp_elasticity": 6, "employment_gdp_elasticity_ma": 6}
+    return _rounded(out, digits, "localidade", "date")
 
 
 _LABOR_SQL = f"""
@@ -422,11 +493,60 @@ n AS (SELECT 'ipca' AS indicator, count(*) AS rows FROM s_ipca
 
 @query("i10_bronze_to_silver_report", _COUNTS_SQL + """
 SELECT 'bcb' AS source, indicator, rows, true AS success, 'ok' AS message FROM n
-UNION ALL SELECT NULL, 'inpc', 0, false, 'no transform'""")
+UNION ALL SELECT 'bcb', 'inpc', 0, false, 'no transform'""")
 def bronze_to_silver_report(spark, path):
     return _run_silver(spark, path)[1]
 
 
+@query("i10_report_per_source", _COUNTS_SQL + """,
+b AS (SELECT count(*) AS rows FROM s_ipca WHERE year(date) > 1994)
+SELECT 'bcb' AS source, indicator, rows, true AS success, 'ok' AS message FROM n
+UNION ALL SELECT 'bcb', 'inpc', 0, false, 'no transform' UNION ALL SELECT 'ibge', 'ipca', rows, true, 'ok' FROM b""")
+def report_per_source(spark, path):
+    """A second source delivers one of the indicators, later and with fewer years."""
+    root, target = _landed(spark, path), scratch_path(spark, "silver")
+    other = files.read_layer(spark, root).where("indicator = 'ipca' AND year(CAST(data AS DATE)) > 1994")
+    other = other.withColumn("source", F.lit("ibge")).drop("snapshot_ts")
+    sinks.write_snapshot(other, root, RUN_TS + dt.timedelta(hours=1))
+    return pipeline.bronze_to_silver(spark, root, target, RUN_TS)
+
+
+@query("i10_failing_transform", _COUNTS_SQL + """
+SELECT indicator, CASE WHEN indicator IN ('ipca', 'pib') THEN 0 ELSE rows END AS rows,
+       indicator NOT IN ('ipca', 'pib') AS success FROM n UNION ALL SELECT 'inpc', 0, false""")
+def failing_transform(spark, path):
+    """One transform fails when it is called, one when its rows are computed; the others run."""
+    def at_once(df, **_):
+        raise ValueError("no such thing")
+
+    def on_rows(df, **options):
+        out = silver.TRANSFORMS["pib"](df, **options)
+        return out.withColumn("value", F.when(F.col("value") > 0, F.raise_error(F.lit("a bad row")).cast("double")))
+
+    transforms = {**silver.TRANSFORMS, "ipca": at_once, "pib": on_rows}
+    report = pipeline.bronze_to_silver(spark, _landed(spark, path), scratch_path(spark, "silver"), RUN_TS, transforms=transforms)
+    return report.select("indicator", "rows", "success")
+
+
+@query("i10_validation_lines", f"""
+WITH {MONTHLY_SQL}, m AS (SELECT * FROM monthly WHERE k = '1-URGENT')
+SELECT 'ipca' AS indicator, count(*) AS rows, true AS success,
+       printf('%d rows in a month that has a later one; %.1f%% of value missing', count(*),
+              100.0 * count(*) FILTER (month(date) % 4 = 0) / count(*)) AS message FROM m""")
+def validation_lines(spark, path):
+    """Every month comes twice, and every fourth has no value."""
+    months = monthly(spark, path).filter(F.col("k") == "1-URGENT")
+    value = F.when(F.month("date") % 4 != 0, F.col("value").cast("string")).otherwise("n/d").alias("valor")
+    rows = months.select(
+        F.lit("bcb").alias("source"), F.lit("ipca").alias("indicator"), value,
+        F.explode(F.array("date", F.date_add(F.trunc("date", "month"), 5))).alias("data"),
+    ).withColumn("data", F.col("data").cast("string"))
+    root = scratch_path(spark, "bronze")
+    sinks.write_snapshot(rows, root, RUN_TS)
+    report = pipeline.bronze_to_silver(spark, root, scratch_path(spark, "silver"), RUN_TS)
+    return report.select("indicator", "rows", "success", "message")
+
+
 @query("i10_gold_monthly_panel", _PANEL_SQL)
 def gold_monthly_panel(spark, path):
     """Bronze to silver to gold through the layers, then the panel read back."""
@@ -493,7 +613,7 @@ SELECT 'ipca' AS indicator, date, round(value, 7) AS value, round(value * 2, 6)
 FROM monthly WHERE k = '1-URGENT'""")
 def own_transform(spark, path):
     """A user's transform in the run instead of the built-in ones."""
-    def double(df, run_ts, value, **_):
+    def double(df, keys, style, run_ts, value):
         out = silver.standardize(df, value)
         return out.withColumn("twice", F.col("value") * 2)
 

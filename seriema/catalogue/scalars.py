@@ -91,14 +91,14 @@ def situation_label(spark, path):
 
 
 @query("h09_weighted_mean", """
-SELECT user_id, round(sum(value * w) / sum(w), 6) AS score
+SELECT user_id, round(sum(value * w) FILTER (w IS NOT NULL) / sum(w), 6) AS score
 FROM (SELECT user_id, value, CASE event_type WHEN 'click' THEN 0.35 WHEN 'view' THEN 0.3
-      WHEN 'purchase' THEN 0.35 END AS w FROM events) WHERE w IS NOT NULL GROUP BY user_id""")
+      WHEN 'purchase' THEN 0.35 END AS w FROM events) GROUP BY user_id""")
 def weighted_mean(spark, path):
     kind = F.col("event_type")
     weight = F.when(kind == "click", 0.35).when(kind == "view", 0.3).when(kind == "purchase", 0.35)
-    rows = table(spark, path, "events").withColumn("w", weight).filter(F.col("w").isNotNull())
-    score = compose.weighted_mean(F.col("value"), F.col("w"))
+    rows = table(spark, path, "events").withColumn("w", weight)
+    score = compose.weighted_mean(F.col("value"), F.col("w"), F.col("w").isNotNull())
     return rows.groupBy("user_id").agg(F.round(score, 6).alias("score"))
 
 

@@ -185,8 +185,10 @@ def periods_between(spark, path):
 WITH {OBSERVATIONS_SQL}
 SELECT {INDICATOR_SQL} AS indicator, '20240301_123045' AS snapshot_ts, t, value FROM obs""")
 def write_snapshot(spark, path):
+    """Written twice, as by a run that is repeated."""
     root = scratch_path(spark, "bronze")
-    sinks.write_snapshot(bronze(spark, path), root, RUN_TS, refuse_empty=True)
+    for _ in range(2):
+        sinks.write_snapshot(bronze(spark, path), root, RUN_TS, refuse_empty=True)
     return files.read_layer(spark, root).select(
         "indicator", "snapshot_ts", "t", F.col("valor").cast("double").alias("value")
     )
@@ -201,12 +203,12 @@ def write_csv(spark, path):
 
 @query("a11_write_partitioned", f"""
 WITH {OBSERVATIONS_SQL}
-SELECT t, value, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
-FROM obs WHERE k = '1-URGENT'""")
+SELECT t, k, value, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
+FROM obs""")
 def write_partitioned(spark, path):
     root = scratch_path(spark, "silver")
-    df = observations(spark, path).filter(F.col("k") == "1-URGENT").select(
-        "t", "value", F.year("date").alias("year"), F.month("date").alias("month")
+    df = observations(spark, path).select(
+        "t", "k", "value", F.year("date").alias("year"), F.month("date").alias("month")
     )
     sinks.write_partitioned(df, root, sinks.folder_columns("ipca"))
     return files.read_parquet(spark, root)
@@ -217,18 +219,18 @@ WITH {OBSERVATIONS_SQL} SELECT DISTINCT {INDICATOR_SQL} AS indicator FROM obs"""
 def discover_indicators(spark, path):
     root = scratch_path(spark, "bronze")
     sinks.write_snapshot(bronze(spark, path), root, RUN_TS)
-    return files.discover_indicators(files.read_layer(spark, root))
+    return files.discover_indicators(spark, root)
 
 
-@query("a12_discover_in_file_names", """
-SELECT unnest(['cambio', 'desemprego', 'ipca', 'pib', 'selic']) AS indicator""")
+@query("a12_discover_in_file_names", f"""
+WITH {OBSERVATIONS_SQL} SELECT DISTINCT {INDICATOR_SQL} AS indicator FROM obs""")
 def discover_in_file_names(spark, path):
     root, rows = scratch_path(spark, "foreign"), bronze(spark, path)
     stamp = sinks.snapshot_id(RUN_TS)
     folders = [f"{root}/economic_indicators/{name}_{stamp}" for name in INDICATOR_OF.values()]
     for name, folder in zip(INDICATOR_OF.values(), folders):
         rows.filter(F.col("indicator") == name).drop("indicator").write.parquet(folder)
-    return files.discover_in_file_names(spark.read.parquet(*folders))
+    return files.discover_in_file_names(spark, f"{root}/economic_indicators")
 
 
 @query("a13_conform", f"""
@@ -256,7 +258,8 @@ FROM obs GROUP BY 1""")
 def incremental_ingest(spark, path):
     """Two deliveries and three runs; every row arrives once."""
     landing, root, marks = (scratch_path(spark, p) for p in ("landing", "bronze", "marks"))
-    rows = bronze(spark, path).withColumn("snapshot_ts", F.lit(sinks.snapshot_id(RUN_TS)))
+    rows = bronze(spark, path).withColumns({
+        "source": F.lit("bcb"), "snapshot_ts": F.lit(sinks.snapshot_id(RUN_TS))})
     for part in (0, 1):
         rows.filter(F.col("t") % 2 == part).write.mode("append").parquet(landing)
         for _ in range(part + 1):

@@ -68,10 +68,13 @@ BRONZE_SCHEMA = _struct(
     "indicator STRING, snapshot_ts STRING"
 )
 
+# Fixed value: the place of national figures.
+NATIONAL = "Brasil"
+
 # Every column a silver transform may write. Reading with it needs no look at the files, and
 # columns that a snapshot lacks are NULL.
 SILVER_SCHEMA = _struct(
-    "source STRING, indicator_name STRING, unit STRING, frequency STRING, date DATE, "
+    "source STRING, localidade STRING, indicator_name STRING, unit STRING, frequency STRING, date DATE, "
     "value DOUBLE, year INT, month INT, quarter INT, year_month STRING, year_quarter STRING, "
     "monthly_change_pct DOUBLE, year_over_year_pct DOUBLE, year_to_date_pct DOUBLE, "
     "ytd_accumulated DOUBLE, moving_avg_3m DOUBLE, change_bps DOUBLE, real_interest_rate DOUBLE, "

@@ -68,7 +68,7 @@ def drop_null_groups(df: DataFrame, *columns: str) -> DataFrame:
 # ---- names and types -------------------------------------------------------------------------
 
 def rename_present(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+    return df.withColumnsRenamed(dict(names))
 
 
 def value_column(df: DataFrame, exclude: Sequence[str] = ("date", "data")) -> str:

@@ -22,6 +22,8 @@ def weighted_mean(value: Column, weight: Column, counted: Column | None = None)
 
     A counted row without a value makes the score unknown; a row that is not there has no weight.
     """
+    if counted is not None:
+        value, weight = F.when(counted, value), F.when(counted, weight)
     total = F.try_divide(F.sum(value * weight), F.sum(weight))
     rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
     return F.when(F.count(value) == rows, total)

@@ -4,30 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .calendar import quarter_key
 from .spread import null_safe_join
 
 
-def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    """Full outer join on equal keys, where missing keys meet each other.
+def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str] | str,
+               pair_missing: bool = False) -> DataFrame:
+    """Full outer join on equal keys.
 
-    Rows with the same key are paired, all with all. A column that both sides have besides the
-    keys is kept from the left side only.
+    A row with a missing key stays a row of its own, unless ``pair_missing`` asks for missing keys
+    to meet each other, all with all. Sides should have one row per key (``one_per``); rows that
+    repeat a key are paired. A column that both sides have besides the keys is kept from the left.
     """
     on = [on] if isinstance(on, str) else list(on)
     right = right.drop(*(c for c in right.columns if c in left.columns and c not in on))
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     condition = F.lit(True)
     for c in on:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        own, other = F.col(c), F.col(f"_r_{c}")
+        condition = condition & (own.eqNullSafe(other) if pair_missing else own == other)
     merged = {c: F.coalesce(F.col(c), F.col(f"_r_{c}")) for c in on}
     joined = left.join(renamed, condition, "full_outer")
     return joined.withColumns(merged).drop(*(f"_r_{c}" for c in on))
 
 
+def one_per(df: DataFrame, keys: Sequence[str], *latest: str) -> DataFrame:
+    """The row of each key with the largest ``latest`` columns; rows without a key stay.
+
+    The rank filter becomes a group limit: every task passes on one row per key.
+    """
+    known = F.lit(True)
+    for c in keys:
+        known = known & F.col(c).isNotNull()
+    order = [F.col(c).desc_nulls_last() for c in latest]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    first = df.where(known).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return first.unionByName(df.where(~known))
+
+
 def left_by_quarter(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
                     per_quarter: str = "last", date: str = "date") -> DataFrame:
     """Left join on the quarter of the date.
@@ -39,9 +56,9 @@ def left_by_quarter(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
     values = [c for c in right.columns if c not in (*keys, date)]
     dated = right.filter(F.col(date).isNotNull()).withColumn("_quarter", quarter_key(F.col(date)))
     if per_quarter == "last":
-        dated = dated.groupBy(*keys, "_quarter").agg(
-            F.max_by(F.struct(*values), F.struct(date, *values)).alias("_row")
-        ).select(*keys, "_quarter", "_row.*")
+        order = [F.col(c).desc_nulls_last() for c in (date, *values)]
+        rank = F.row_number().over(Window.partitionBy(*keys, "_quarter").orderBy(*order))
+        dated = dated.withColumn("_rank", rank).where("_rank = 1").drop(date, "_rank")
     elif per_quarter == "all":
         dated = dated.drop(date)
     else:

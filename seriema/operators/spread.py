@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from ..model import Series
 from ..session import stage
 
+#: Rows of a chunk where no number of chunks is given; the frame is counted for it.
+ROWS_PER_CHUNK = 250_000
 CHUNK, HALO, FILLED, TOTAL = "_chunk", "_halo", "_filled", "_total"
 
 
@@ -90,8 +92,9 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
             chunks: int | None = None) -> DataFrame:
     """Add all measures with one shared window.
 
-    A series with a declared grain takes a plain keyed window; without one it is cut into chunks
-    (``chunks`` of them, or as many as adaptive execution finds fit).
+    A series with a declared grain takes a plain keyed window; without one it is cut into chunks:
+    ``chunks`` of them, or one per ``ROWS_PER_CHUNK`` rows. These are written when this is called; use
+    ``session.workspace`` to have them deleted when the result is done.
     """
     if not measures:
         return df
@@ -116,7 +119,10 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
 def cut(df: DataFrame, series: Series, chunks: int | None = None) -> DataFrame:
     """The frame staged in ordered chunks of similar size, numbered in ``CHUNK``."""
     order = [*(F.col(k).asc() for k in series.keys), *series.order()]
-    ranged = df.repartitionByRange(chunks, *order) if chunks else df.repartitionByRange(*order)
+    if not chunks:
+        # Adaptive execution would merge small chunks but never split large ones.
+        chunks = max(1, -(-df.count() // ROWS_PER_CHUNK))
+    ranged = df.repartitionByRange(chunks, *order)
     # Sorted rows compress well and give each file narrow min/max statistics.
     numbered = ranged.sortWithinPartitions(*order).withColumn(CHUNK, F.spark_partition_id())
     return stage(numbered, "chunks")

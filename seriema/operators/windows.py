@@ -107,9 +107,16 @@ def variations(df: DataFrame, series: Series,
 
 def cumulative(df: DataFrame, series: Series, group: Sequence[str] = (),
                column: str = "cumulative_value", chunks: int | None = None) -> DataFrame:
-    """Running sum per series, restarted for every value of ``group``."""
-    inner = series.but(keys=(*series.keys, *(g for g in group if g in df.columns)))
-    return running_total(df, inner, column, chunks=chunks)
+    """Running sum per series, restarted for every value of ``group``; rows without one get NULL."""
+    present = [g for g in group if g in df.columns]
+    inner = series.but(keys=(*series.keys, *present))
+    out = running_total(df, inner, column, chunks=chunks)
+    if not present:
+        return out
+    known = F.lit(True)
+    for g in present:
+        known = known & F.col(g).isNotNull()
+    return out.withColumn(column, F.when(known, F.col(column)))
 
 
 def _with_year(df: DataFrame, series: Series, year: str) -> DataFrame:

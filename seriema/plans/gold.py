@@ -1,19 +1,22 @@
 """Silver series to dashboards with composite indices.
 
-Inputs are mappings from indicator to its silver frame. Each frame holds one series; a missing
-indicator is a missing key. Results have the fixed gold schemas.
+Inputs are mappings from indicator to its silver frame; a missing indicator is a missing key. A frame
+may hold several places: a dashboard takes the national rows (and those without a place), or, by
+``place``, those of another one; with ``keys=("localidade",)`` panel and labor market have the rows of
+every place. Of several rows of a place and period the latest counts (of equal dates the larger value).
+Results have the fixed gold schemas, with the keys behind them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import clamp
-from ..model import LABOR_SCHEMA, MACRO_SCHEMA, MONTHLY_SCHEMA, Series
+from ..model import LABOR_SCHEMA, MACRO_SCHEMA, MONTHLY_SCHEMA, NATIONAL, Series
 from ..operators.cleaning import normalize_date, select_present
 from ..operators.compose import (
     default_text,
@@ -22,7 +25,7 @@ from ..operators.compose import (
     ratio_to_mean,
     weighted_mean,
 )
-from ..operators.joins import append, full_outer, left_by_quarter
+from ..operators.joins import append, full_outer, left_by_quarter, one_per
 from ..operators.spread import measure
 from ..operators.windows import (
     latest_rows,
@@ -56,68 +59,96 @@ def _empty(like: DataFrame | SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _with_keys(schema: StructType, keys: Sequence[str]) -> StructType:
+    return StructType([*schema.fields, *(StructField(k, StringType()) for k in keys)])
+
+
+def _placed(frame: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
+    """The rows a dashboard takes, dated, with all ``keys``."""
+    frame = normalize_date(frame, "date")
+    if "localidade" in frame.columns and "localidade" not in keys:
+        frame = frame.where(F.col("localidade").isNull() | (F.col("localidade") == place))
+    absent = {k: F.lit(None).cast("string") for k in keys if k not in frame.columns}
+    # A place that is not told is the national one.
+    told = {k: F.coalesce(F.col(k), F.lit(place)) for k in keys if k == "localidade"}
+    return frame.withColumns(absent).withColumns(told) if keys else frame
+
+
+def _monthly(frame: DataFrame, keys: Sequence[str], *columns) -> DataFrame:
+    """One row per place and month."""
+    picked = select_present(frame, "date", *columns, *keys)
+    picked = picked.withColumn("year_month", F.date_format("date", "yyyy-MM"))
+    value = next(c[0] for c in columns)
+    return one_per(picked, [*keys, "year_month"], "date", value)
+
+
 def _finish(df: DataFrame, schema: StructType, run_ts) -> DataFrame:
     return conform(df.withColumn("updated_at", F.lit(run_ts).cast("timestamp")), schema)
 
 
-def monthly_panel(indicators: Mapping[str, DataFrame], spark: SparkSession,
-                  run_ts=None) -> DataFrame:
+def monthly_panel(indicators: Mapping[str, DataFrame], spark: SparkSession, run_ts=None,
+                  keys: Sequence[str] = (), place: str = NATIONAL) -> DataFrame:
     """Prices, policy rate and exchange rate side by side per month.
 
-    All three are required. The pressure index is scaled to 0..100 over the panel; if one of its
-    input columns does not exist it is the plain sum of rate and price index.
+    All three are required. The pressure index is scaled to 0..100 over the panel of a place; if one
+    of its input columns does not exist it is the plain sum of rate and price index.
     """
+    schema = _with_keys(MONTHLY_SCHEMA, keys)
     if any(indicators.get(i) is None for i in ("ipca", "selic", "cambio")):
-        return _empty(spark, MONTHLY_SCHEMA)
-    month = F.date_format("date", "yyyy-MM")
-    prices = select_present(
-        normalize_date(indicators["ipca"], "date"), "date", ("ipca", ["value"]),
+        return _empty(spark, schema)
+    prices = _monthly(
+        _placed(indicators["ipca"], keys, place), keys, ("ipca", ["value"]),
         ("ipca_monthly_change", ["monthly_change_pct"]),
         ("ipca_annual_change", ["year_over_year_pct"]),
-    ).withColumn("year_month", month)
-    rates = select_present(
-        normalize_date(indicators["selic"], "date"), "date", ("selic", ["value"]),
+    )
+    rates = _monthly(
+        _placed(indicators["selic"], keys, place), keys, ("selic", ["value"]),
         ("selic_moving_avg", ["moving_avg_3m"]),
-    ).withColumn("year_month", month).drop("date")
-    exchange = select_present(
-        normalize_date(indicators["cambio"], "date"), "date", ("cambio", ["value"]),
+    ).drop("date")
+    exchange = _monthly(
+        _placed(indicators["cambio"], keys, place), keys, ("cambio", ["value"]),
         ("cambio_monthly_change", ["monthly_change_pct", "return_pct"]),
         ("cambio_volatility", ["volatility", "volatility_20"]),
-    ).withColumn("year_month", month).drop("date")
+    ).drop("date")
 
-    panel = full_outer(full_outer(prices, rates, "year_month"), exchange, "year_month")
+    on = [*keys, "year_month"]
+    panel = full_outer(full_outer(prices, rates, on), exchange, on)
     panel = panel.withColumn("real_interest_rate", F.col("selic") - F.col("ipca"))
     index = "economic_pressure_index"
     if set(PRESSURE_WEIGHTS) <= set(panel.columns):
         terms = [(weight, F.col(c)) for c, weight in PRESSURE_WEIGHTS.items()]
-        panel = min_max_scale(panel.withColumn(index, linear_combination(*terms)), index)
+        panel = min_max_scale(panel.withColumn(index, linear_combination(*terms)), index, keys)
     else:
         panel = panel.withColumn(index, F.col("selic") + F.col("ipca"))
-    return _finish(panel, MONTHLY_SCHEMA, run_ts).orderBy(F.col("year_month").asc_nulls_last())
+    return _finish(panel, schema, run_ts).orderBy(F.col("year_month").asc_nulls_last(), *keys)
 
 
 def labor_market(indicators: Mapping[str, DataFrame], spark: SparkSession, run_ts=None,
-                 per_quarter: str = "last") -> DataFrame:
+                 per_quarter: str = "last", keys: Sequence[str] = (),
+                 place: str = NATIONAL) -> DataFrame:
     """Unemployment with the product of the same quarter and their elasticity."""
+    schema = _with_keys(LABOR_SCHEMA, keys)
     if indicators.get("desemprego") is None:
-        return _empty(spark, LABOR_SCHEMA)
+        return _empty(spark, schema)
     labor = select_present(
-        normalize_date(indicators["desemprego"], "date"), "date",
+        _placed(indicators["desemprego"], keys, place), "date",
         ("unemployment_rate", ["value"]), ("unemployment_qtr_change", ["quarterly_change_pp"]),
-        ("unemployment_annual_change", ["annual_change_pp"]),
+        ("unemployment_annual_change", ["annual_change_pp"]), *keys,
     )
+    # One row per place and quarter, so that the windows below are bounded by the calendar.
+    labor = labor.withColumn("_quarter", F.date_trunc("quarter", "date"))
+    labor = one_per(labor, [*keys, "_quarter"], "date", "unemployment_rate").drop("_quarter")
     product = indicators.get("pib")
     if product is not None:
         columns = select_present(
-            normalize_date(product, "date"), "date", ("gdp", ["value"]),
-            ("gdp_growth", ["quarterly_change_pct"]),
+            _placed(product, keys, place), "date", ("gdp", ["value"]),
+            ("gdp_growth", ["quarterly_change_pct"]), *keys,
         )
-        if len(columns.columns) > 1:
-            labor = left_by_quarter(labor, columns, per_quarter=per_quarter)
+        if set(columns.columns) - {"date", *keys}:
+            labor = left_by_quarter(labor, columns, keys, per_quarter)
     needed = {"unemployment_qtr_change", "gdp_growth", "unemployment_rate"}
     if needed <= set(labor.columns):
-        # Quarterly rows of one series: bounded by the calendar.
-        rates = Series(value="unemployment_rate", grain="Q")
+        rates = Series(keys=tuple(keys), value="unemployment_rate", grain="Q")
         labor = measure(labor, rates, shift(1, "_previous_rate"))
         change = F.try_divide(F.col("unemployment_qtr_change"), F.col("_previous_rate")) * 100
         labor = labor.withColumn(
@@ -127,17 +158,17 @@ def labor_market(indicators: Mapping[str, DataFrame], spark: SparkSession, run_t
             labor, rates.but(value="employment_gdp_elasticity"),
             moving_average(4, "employment_gdp_elasticity_ma", min_periods=1),
         )
-    return _finish(labor, LABOR_SCHEMA, run_ts)
+    return _finish(labor, schema, run_ts)
 
 
-def _long(indicators: Mapping[str, DataFrame]) -> DataFrame | None:
+def _long(indicators: Mapping[str, DataFrame], place: str) -> DataFrame | None:
     """The columns that the macro dashboard reads, all indicators below one another."""
     parts = []
     for name in INDICATORS:
         frame = indicators.get(name)
         if frame is not None:
             picked = select_present(
-                normalize_date(frame, "date"), "date", "value", "indicator_name", "unit",
+                _placed(frame, (), place), "date", "value", "indicator_name", "unit",
                 ("measured_change", [c for c in [ANNUAL_CHANGE.get(name)] if c]),
             )
             parts.append(picked.withColumn("indicator", F.lit(name)))
@@ -152,19 +183,19 @@ def _long(indicators: Mapping[str, DataFrame]) -> DataFrame | None:
 
 
 def _latest(long: DataFrame) -> DataFrame:
-    """One line per indicator: latest value, mean, annual change and trend, in one pass.
+    """One line per indicator: latest value, mean, annual change and trend.
 
     The exchange rate has no annual change of its own; it is taken over 12 rows.
     """
     nth, value = F.col("_nth"), F.col("value")
     series = Series(keys=("indicator",), tie=("value",), grain="M")
-    rows = long.withColumn("_mean", F.avg(value).over(Window.partitionBy("indicator")))
+    means = long.groupBy("indicator").agg(F.avg(value).alias("mean"))
 
     def at(column, n: int = 1):
         return F.max(F.when(nth == n, column))
 
     base = F.when(at(value, 13) > 0, at(value, 13))
-    return latest_rows(rows, series, 13).groupBy("indicator").agg(
+    lines = latest_rows(long, series, 13).groupBy("indicator").agg(
         default_text(at(F.col("indicator_name")), F.upper("indicator")).alias("indicator_name"),
         at(value).alias("last_value"),
         at(F.col("date")).alias("last_date"),
@@ -172,8 +203,8 @@ def _latest(long: DataFrame) -> DataFrame:
         F.when(F.col("indicator") == "cambio", (F.try_divide(at(value), base) - 1) * 100)
         .otherwise(at(F.col("measured_change"))).alias("annual_change"),
         trend_label(F.count(F.lit(1)), at(value), at(value, 3)).alias("trend"),
-        F.max("_mean").alias("mean"),
     )
+    return lines.join(means, "indicator")
 
 
 _LINE = ("indicator", "indicator_name", "last_value", "last_date", "unit", "annual_change",
@@ -202,12 +233,12 @@ def health_index(latest: DataFrame) -> DataFrame:
 
 
 def macro_dashboard(indicators: Mapping[str, DataFrame], spark: SparkSession, as_of=None,
-                    run_ts=None) -> DataFrame:
+                    run_ts=None, place: str = NATIONAL) -> DataFrame:
     """Latest state of every indicator and the health index.
 
     Empty below two indicators; without a health line below two of its inputs.
     """
-    long = _long(indicators)
+    long = _long(indicators, place)
     if long is None:
         return _empty(spark, MACRO_SCHEMA)
     summary = F.struct(

@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..model import SILVER_SCHEMA
+from ..functions import parse_date, to_number
+from ..model import BRONZE_SCHEMA, NATIONAL, SILVER_SCHEMA
+from ..operators.calendar import date_features
 from ..operators.joins import append
 from ..operators.quality import validate
 from ..session import constant_frame
-from ..sources.files import keep_latest, latest_snapshots, read_latest, read_layer
-from ..sources.sinks import snapshot_id, write_snapshot
+from ..sources.files import newest_snapshots, read_snapshots
+from ..sources.sinks import folder_columns, snapshot_id, write_partitioned, write_snapshot
 from . import gold
 from .silver import STANDARD, TRANSFORMS, Style
 
 REPORT_SCHEMA = "source STRING, indicator STRING, rows BIGINT, success BOOLEAN, message STRING"
 # Share of missing values in percent above which the report warns.
 NULL_WARNING = 10.0
-# Bronze has one row per series and period for these; a series is ordered in one task up to so
-# many rows, and in chunks beyond.
-_ROW_PER_PERIOD = {"ipca", "ipca15", "pib", "desemprego", "pnad"}
-ROWS_PER_TASK = 1_000_000
+# Bronze of these has one row per series and period; of the others many, which their
+# transforms reduce.
+PERIODS = {"ipca": "month", "ipca15": "month", "pib": "quarter", "desemprego": "quarter",
+           "pnad": "quarter"}
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: datetime,
@@ -33,103 +35,125 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, run_ts: date
                      keys: Sequence[str] = ("source", "localidade"),
                      style: Style = STANDARD,
                      transforms: Mapping[str, Callable[..., DataFrame]] = TRANSFORMS,
-                     value: str = "valor") -> DataFrame:
-    """Transform the newest snapshot of every indicator and append a silver snapshot.
-
-    All indicators are written by one job; each reads only its own bronze folders. An indicator
-    that has no transform, no data or columns that do not fit fails alone. Of ``keys`` those that
-    the layer has tell the series of an indicator apart. Returns the report (source, indicator,
-    rows, success, message).
+                     value: str = "valor", sources: Sequence[str] | None = None,
+                     schema=BRONZE_SCHEMA, partitioned: str | None = None) -> DataFrame:
+    """Transform the newest snapshot of every source and indicator and write a silver snapshot.
+
+    Each source and indicator is a plan and a write of its own: whatever goes wrong with one, when its
+    plan is built or when its rows are computed, is a line of the report and stops no other.
+    ``keys`` tell the series of an indicator apart. Every transform gets the same arguments at any
+    size. For the indicators in ``PERIODS`` of several rows of a series in one period the latest
+    counts (of equal dates the larger value), and the report tells that there were any.
+
+    With ``partitioned`` the result is also written below that path in folders by year and month or
+    quarter. Returns the report (source, indicator, rows, success, message).
     """
-    layer = read_latest(spark, bronze, indicators)
-    keys = [k for k in keys if k in layer.columns]
-    longest = series_lengths(layer, keys)
-    if indicators is None:
-        indicators = sorted(longest)
-    parts, problems = [], {}
-    for name in indicators:
+    found = newest_snapshots(spark, bronze, indicators, sources)
+    lines = []
+    for snapshot in found:
+        source, name = snapshot["source"], snapshot["indicator"]
         if name not in transforms:
-            problems[name] = "no transform"
+            lines.append((source, name, 0, False, "no transform"))
             continue
-        options = {"keys": keys, "style": style, "run_ts": run_ts, "value": value}
-        if name in _ROW_PER_PERIOD and longest.get(name, 0) > ROWS_PER_TASK:
-            options["grain"] = None  # not the one row per period it should be: spread it
         try:
-            rows = layer.filter(F.col("indicator") == name)
-            parts.append(transforms[name](rows, **options).drop("snapshot_ts", "valor", "data"))
-        except AnalysisException as error:
-            problems[name] = str(error).splitlines()[0]
-    if parts:
-        write_snapshot(append(*parts), silver, run_ts)
-    return run_report(spark, silver if parts else None, run_ts, indicators, problems)
-
-
-def series_lengths(layer: DataFrame, keys: Sequence[str]) -> dict[str, int]:
-    """Rows of the longest series of every indicator.
-
-    A partial aggregate over the key columns; one line per indicator folder reaches the driver,
-    which needs the names anyway to build the plan.
-    """
-    sizes = layer.groupBy("indicator", *keys).agg(F.count(F.lit(1)).alias("rows"))
-    longest = sizes.groupBy("indicator").agg(F.max("rows").alias("rows"))
-    return {r["indicator"]: r["rows"] for r in longest.collect()}
-
-
-def run_report(spark: SparkSession, silver: str | None, run_ts: datetime,
-               indicators: Sequence[str], problems: Mapping[str, str]) -> DataFrame:
-    """What a run wrote, counted on the written snapshot, next to what it was asked for."""
-    asked = constant_frame(
-        spark, ("indicator", "problem"), [(i, problems.get(i)) for i in indicators]
-    )
-    if silver is None:
-        written = constant_frame(
-            spark, ("indicator", "source", "rows", "missing"), [],
-            (pa.string(), pa.string(), pa.int64(), pa.float64()),
-        )
-    else:
-        rows = F.count(F.lit(1))
-        gap = F.col("date").isNull() | F.col("value").isNull()
-        written = (
-            read_layer(spark, silver, SILVER_SCHEMA)
-            .filter(F.col("snapshot_ts") == snapshot_id(run_ts))
-            .groupBy("indicator")
-            .agg(
-                F.min("source").alias("source"), rows.alias("rows"),
-                F.try_divide(F.count_if(gap) * 100.0, rows).alias("missing"),
-            )
-        )
-    success = F.coalesce(F.col("rows"), F.lit(0)) > 0
-    message = (
-        F.when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(~success, "no data")
-        .when(F.col("missing") > NULL_WARNING, F.format_string("%.1f%% missing", "missing"))
-        .otherwise("ok")
-    )
-    return asked.join(written, "indicator", "left").select(
-        "source", "indicator", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-        success.alias("success"), message.alias("message"),
-    )
+            rows = read_snapshots(spark, bronze, [snapshot], schema)
+            notes = []
+            if name in PERIODS:
+                rows, notes = one_per_period(rows, keys, value, PERIODS[name])
+            out = transforms[name](rows, keys=[*keys], style=style, run_ts=run_ts, value=value)
+            out = out.drop("snapshot_ts", "valor", "data")
+            write_snapshot(out, silver, run_ts)
+            written = [Row(source=source, indicator=name, snapshot_ts=snapshot_id(run_ts),
+                           folder=folder_of(silver, snapshot, run_ts))]
+            rows = read_snapshots(spark, silver, written, SILVER_SCHEMA)
+            if partitioned is not None:
+                columns = folder_columns(name)
+                dated = rows if set(columns) <= set(rows.columns) else date_features(rows)
+                parts = {c: getattr(F, c)("date") for c in columns}
+                write_partitioned(dated.withColumns(parts), f"{partitioned}/{source}/{name}", columns)
+            n, warnings = warnings_of(rows)
+            lines.append((source, name, n, n > 0, "; ".join([*notes, *warnings]) or ("ok" if n else "no data")))
+        except Exception as error:  # noqa: BLE001 - a line of the report, whatever it is
+            lines.append((source, name, 0, False, first_line(error)))
+    for name in sorted(set(indicators or ()) - {r["indicator"] for r in found}):
+        message = "no data" if name in transforms else "no transform"
+        lines.append((None, name, 0, False, message))
+    names = ("source", "indicator", "rows", "success", "message")
+    return constant_frame(spark, names, lines, (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.string()))
+
+
+def folder_of(root: str, snapshot: Row, run_ts: datetime) -> str:
+    """The folder of a new snapshot of the same source and indicator."""
+    kept = re.search(r"/(source=[^/]*/indicator=[^/]*)/[^/]*$", snapshot["folder"])
+    return f"{root}/{kept[1]}/snapshot_ts={snapshot_id(run_ts)}"
+
+
+def first_line(error: Exception) -> str:
+    text = str(error).strip().splitlines()
+    # A failed task tells its own error after Spark's account of the task.
+    own = [line for line in text if re.match(r"\w*(Error|Exception)\b", line.strip())]
+    return (own or text or [type(error).__name__])[0].strip()
+
+
+def one_per_period(rows: DataFrame, keys: Sequence[str], value: str,
+                   period: str) -> tuple[DataFrame, list[str]]:
+    """One row per series and period, and a note if there were more. Undated rows stay apart."""
+    date = parse_date(F.col("data"))
+    marked = rows.withColumns({
+        "_date": date, "_period": F.date_trunc(period, date), "_value": to_number(F.col(value)),
+    })
+    at = [*(k for k in keys if k in rows.columns), "_period"]
+    counts = marked.where(F.col("_period").isNotNull()).groupBy(*at).agg(F.count("*").alias("n"))
+    extra = counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0]
+    if not extra:
+        return rows, []
+    order = [F.col(c).desc_nulls_last() for c in ("_date", "_value")]
+    rank = F.row_number().over(Window.partitionBy(*at).orderBy(*order))
+    dated = marked.where(F.col("_period").isNotNull()).withColumn("_rank", rank).where("_rank = 1")
+    kept = append(dated.drop("_rank"), marked.where(F.col("_period").isNull()))
+    return kept.select(*rows.columns), [f"{extra} rows in a {period} that has a later one"]
+
+
+def warnings_of(rows: DataFrame) -> tuple[int, list[str]]:
+    """Rows of a silver frame and what its generic checks find wrong."""
+    checks = process_validation(rows).where(~F.col("passed") & (F.col("check") != "dataset"))
+    n = rows.count()
+    found = []
+    for r in checks.collect() if n else ():
+        if r["check"] == "null_share":
+            if r["column"] in ("date", "value"):
+                found.append(f"{r['metric']:.1f}% of {r['column']} missing")
+        elif r["check"] == "duplicates":
+            found.append(f"{r['metric']:.0f} duplicate rows")
+        else:
+            found.append(f"{r['check']} of {r['column']}")
+    return n, found
 
 
 def load_latest_silver(spark: SparkSession, silver: str,
-                       indicators: Sequence[str] = gold.INDICATORS) -> dict[str, DataFrame]:
-    """The newest silver snapshot per indicator; indicators without one are left out."""
-    layer = read_layer(spark, silver, SILVER_SCHEMA).filter(F.col("indicator").isin(*indicators))
-    newest, present = keep_latest(layer, latest_snapshots(layer))
-    return gold.split_indicators(newest, [i for i in indicators if present is None or i in present])
+                       indicators: Sequence[str] = gold.INDICATORS,
+                       sources: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The newest silver snapshots per indicator, of all (asked) sources; indicators without one
+    are left out."""
+    found = newest_snapshots(spark, silver, indicators, sources)
+    by_name: dict[str, list[Row]] = {}
+    for r in found:
+        by_name.setdefault(r["indicator"], []).append(r)
+    return {i: read_snapshots(spark, silver, by_name[i], SILVER_SCHEMA) for i in indicators if i in by_name}
 
 
 def silver_to_gold(spark: SparkSession, silver: str, root: str, run_ts: datetime,
-                   per_quarter: str = "last") -> DataFrame:
-    """Write the three dashboards below ``root``; empty ones are refused.
+                   per_quarter: str = "last", place: str = NATIONAL,
+                   sources: Sequence[str] | None = None) -> DataFrame:
+    """Write the three dashboards of a place below ``root``; empty ones are refused.
 
     Returns (dashboard, success). The run succeeded if one dashboard was written.
     """
-    frames = load_latest_silver(spark, silver)
+    frames = load_latest_silver(spark, silver, sources=sources)
     dashboards = {
-        "monthly_indicators": gold.monthly_panel(frames, spark, run_ts),
-        "labor_market": gold.labor_market(frames, spark, run_ts, per_quarter),
-        "macro_dashboard": gold.macro_dashboard(frames, spark, run_ts.date(), run_ts),
+        "monthly_indicators": gold.monthly_panel(frames, spark, run_ts, place=place),
+        "labor_market": gold.labor_market(frames, spark, run_ts, per_quarter, place=place),
+        "macro_dashboard": gold.macro_dashboard(frames, spark, run_ts.date(), run_ts, place),
     }
     done = [(name, save_dashboard(df, root, name, run_ts)) for name, df in dashboards.items()]
     return constant_frame(spark, ("dashboard", "success"), done, (pa.string(), pa.bool_()))
@@ -145,7 +169,7 @@ def save_dashboard(df: DataFrame, root: str, name: str, run_ts: datetime) -> boo
     try:
         if df.isEmpty():
             return False
-        df.write.mode("errorifexists").parquet(f"{root}/{name}/snapshot_ts={snapshot_id(run_ts)}")
+        df.write.mode("overwrite").parquet(f"{root}/{name}/snapshot_ts={snapshot_id(run_ts)}")
         return True
     finally:
         df.unpersist()

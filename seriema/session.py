@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of the workspaces that are open, the innermost last.
+_open: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.
 
@@ -27,8 +32,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the open workspace."""
+    return f"{_open[-1] if _open else shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder for everything that is staged inside; it is deleted at the end.
+
+    Operators that stage return frames that read what they staged, so a result has to be written or
+    collected inside::
+
+        with workspace(spark):
+            measure(df, series, ...).write.parquet(target)
+
+    What is staged without a workspace stays until the shared folder is cleaned.
+    """
+    path = scratch_path(spark, "workspace")
+    _open.append(path)
+    try:
+        yield path
+    finally:
+        _open.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -1,23 +1,24 @@
 """Files and snapshot layers.
 
-A layer is a Parquet folder partitioned by ``indicator`` and ``snapshot_ts`` (YYYYmmdd_HHMMSS), so
-that a name never has to be guessed from a file name: the prefix ``pib`` cannot match ``pib_ibge``.
+A layer is a Parquet folder partitioned by ``source``, ``indicator`` and ``snapshot_ts``
+(YYYYmmdd_HHMMSS), so that a name never has to be guessed from a file name: the prefix ``pib`` cannot
+match ``pib_ibge``. What a layer holds is read off its folder names; no data file is opened for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import parse_date, to_number
 from ..operators.cleaning import between_dates, drop_incomplete, rename_present
 
-PARTITIONS = ("indicator", "snapshot_ts")
-# Up to so many snapshots are named in the filter of a read.
-NAMED_SNAPSHOTS = 1_000
+PARTITIONS = ("source", "indicator", "snapshot_ts")
+# Fixed value: how Spark names the folder of a missing partition value.
+_MISSING = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_layer(spark: SparkSession, root: str, schema: StructType | str | None = None,
@@ -27,38 +28,61 @@ def read_layer(spark: SparkSession, root: str, schema: StructType | str | None =
     return (reader.schema(schema) if schema is not None else reader).parquet(root)
 
 
-def latest_snapshots(layer: DataFrame) -> DataFrame:
-    """The newest ``snapshot_ts`` per indicator, from partition values alone."""
-    named = layer.filter(F.col("indicator").isNotNull())
-    return named.groupBy("indicator").agg(F.max("snapshot_ts").alias("snapshot_ts"))
+def file_names(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """(path) of the files below ``root``: a listing, whose files are not opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", pattern).load(root).select("path")
 
 
-def keep_latest(layer: DataFrame, latest: DataFrame) -> tuple[DataFrame, list[str] | None]:
-    """The rows of the newest snapshots, and the indicators that have one.
+def _folder_value(column: str) -> Column:
+    text = F.regexp_extract(F.col("path"), f"/{column}=([^/]*)/", 1)
+    # Spark escapes some characters as in a URL, but leaves a plus alone.
+    plain = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when((text != "") & (text != _MISSING), plain).alias(column)
 
-    A short list is brought to the driver, where file listings live anyway, and named in the
-    filter: Spark then plans only those folders. A longer list is joined (and its names are not
-    returned); Spark picks the join by its size.
+
+def snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """(source, indicator, snapshot_ts, folder) of every snapshot of a layer."""
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")
+    found = file_names(spark, root).select(*(_folder_value(c) for c in PARTITIONS), folder)
+    return found.where(F.col("indicator").isNotNull() & F.col("snapshot_ts").isNotNull()).distinct()
+
+
+def newest_snapshots(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
+                     sources: Sequence[str] | None = None) -> list[Row]:
+    """The newest snapshot of each source and indicator (of the asked ones), in order.
+
+    One row per pair reaches the driver, which lists the same folders to plan any read.
     """
-    found = latest.limit(NAMED_SNAPSHOTS + 1).collect()
-    if len(found) > NAMED_SNAPSHOTS:
-        return layer.join(latest, list(PARTITIONS)).select(*layer.columns), None
-    by_stamp: dict[str, list[str]] = {}
-    for row in found:
-        by_stamp.setdefault(row["snapshot_ts"], []).append(row["indicator"])
-    wanted = F.lit(False)
-    for stamp, names in by_stamp.items():
-        wanted = wanted | ((F.col("snapshot_ts") == stamp) & F.col("indicator").isin(*names))
-    return layer.filter(wanted), sorted(r["indicator"] for r in found)
+    found = snapshots(spark, root)
+    if indicators is not None:
+        found = found.where(F.col("indicator").isin(*indicators))
+    if sources is not None:
+        found = found.where(F.col("source").isin(*sources))
+    newest = found.groupBy("source", "indicator").agg(
+        F.max("snapshot_ts").alias("snapshot_ts"), F.max_by("folder", "snapshot_ts").alias("folder")
+    )
+    return sorted(newest.collect(), key=lambda r: (r["indicator"], r["source"] or ""))
+
+
+def read_snapshots(spark: SparkSession, root: str, found: Sequence[Row],
+                   schema: StructType | str | None = None,
+                   merge_schema: bool = False) -> DataFrame:
+    """The rows of some snapshots: only their folders are planned, whatever else the layer holds."""
+    if not found:
+        return read_layer(spark, root, schema, merge_schema).where("false")
+    reader = spark.read.option("mergeSchema", merge_schema).option("basePath", root)
+    reader = reader.schema(schema) if schema is not None else reader
+    return reader.parquet(*(r["folder"] for r in found))
 
 
 def read_latest(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
-                schema: StructType | str | None = None, merge_schema: bool = False) -> DataFrame:
-    """The newest snapshot of every indicator (of the asked ones); absent ones are just absent."""
-    layer = read_layer(spark, root, schema, merge_schema)
-    if indicators is not None:
-        layer = layer.filter(F.col("indicator").isin(*indicators))
-    return keep_latest(layer, latest_snapshots(layer))[0]
+                schema: StructType | str | None = None, merge_schema: bool = False,
+                sources: Sequence[str] | None = None) -> DataFrame:
+    """The newest snapshot of every source and indicator (of the asked ones); absent ones are
+    just absent, however many there are."""
+    found = newest_snapshots(spark, root, indicators, sources)
+    return read_snapshots(spark, root, found, schema, merge_schema)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -91,12 +115,13 @@ def indicator_table(df: DataFrame, indicator: str, date_column: str, value_colum
     return between_dates(drop_incomplete(named, "data", indicator), "data", start, end)
 
 
-def discover_indicators(layer: DataFrame) -> DataFrame:
-    """Indicators that a layer holds, from its partition column."""
-    return layer.select("indicator").distinct()
+def discover_indicators(spark: SparkSession, root: str) -> DataFrame:
+    """Indicators that a layer holds, from its folder names."""
+    return snapshots(spark, root).select("indicator").distinct()
 
 
-def discover_in_file_names(df: DataFrame) -> DataFrame:
+def discover_in_file_names(spark: SparkSession, root: str) -> DataFrame:
     """Indicators of a foreign layout with files or folders ``<indicator>_<YYYYmmdd>_<HHMMSS>``."""
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)_\d{8}_\d{6}[^/]*(?:/|$)", 1)
-    return df.select(name.alias("indicator")).filter(F.col("indicator") != "").distinct()
+    name = F.regexp_extract(F.col("path"), r"([^/]+)_\d{8}_\d{6}[^/]*(?:/|$)", 1)
+    found = file_names(spark, root).select(name.alias("indicator"))
+    return found.filter(F.col("indicator") != "").distinct()

@@ -28,11 +28,18 @@ def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_snapshot(df: DataFrame, root: str, run_ts: datetime,
                    refuse_empty: bool = False) -> bool:
-    """Append one immutable snapshot per indicator. Returns False for a refused empty frame."""
+    """Write one snapshot per source and indicator. Returns False for a refused empty frame.
+
+    A snapshot that exists, as after a run that is repeated, is replaced; others are not touched.
+    Rows without a source column have no source.
+    """
     if refuse_empty and df.isEmpty():
         return False
+    if "source" not in df.columns:
+        df = df.withColumn("source", F.lit(None).cast("string"))
     stamped = df.withColumn("snapshot_ts", F.lit(snapshot_id(run_ts)))
-    _balanced(stamped, PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(root)
+    writer = _balanced(stamped, PARTITIONS).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(root)
     return True
 
 

@@ -52,9 +52,11 @@ def test_run_summary(spark):
 def test_full_outer_meets_on_missing_keys(spark):
     left = spark.createDataFrame([("2023-01", 1, D(2023, 1, 1)), (None, 2, None)], "ym string, l int, date date")
     right = spark.createDataFrame([("2023-02", 3, D(2023, 2, 1)), (None, 4, None)], "ym string, r int, date date")
-    got = sorted(rows(j.full_outer(left, right, "ym").select("ym", "l", "r", "date")), key=repr)
-    assert got == sorted([("2023-01", 1, None, D(2023, 1, 1)), ("2023-02", None, 3, None),
-                          (None, 2, 4, None)], key=repr)
+    found = lambda **how: sorted(
+        rows(j.full_outer(left, right, "ym", **how).select("ym", "l", "r", "date")), key=repr)
+    known = [("2023-01", 1, None, D(2023, 1, 1)), ("2023-02", None, 3, None)]
+    assert found() == sorted([*known, (None, 2, None, None), (None, None, 4, None)], key=repr)
+    assert found(pair_missing=True) == sorted([*known, (None, 2, 4, None)], key=repr)
 
 
 def test_left_by_quarter(spark):

@@ -18,9 +18,9 @@ def frames(spark):
         "selic": fx.silver(spark, "selic", fx.SELIC),
         "cambio": fx.silver(spark, "cambio", fx.CAMBIO, volatility=fx.CAMBIO_VOLATILITY),
         "desemprego": fx.silver(spark, "desemprego", fx.UNEMPLOYMENT, 3,
-                                quarterly_change_pp=[-0.4, -0.5, -0.4, -0.4],
-                                annual_change_pp=[-2.1, -1.8, -1.3, -1.0]),
-        "pib": fx.silver(spark, "pib", fx.PIB, 3, quarterly_change_pct=[1.3, -1.5, 0.0, 1.1]),
+                                quarterly_change_pp=[-1.0, 1.5, -2.5, -1.0],
+                                annual_change_pp=[0.5, 1.0, -2.0, -3.0]),
+        "pib": fx.silver(spark, "pib", fx.PIB, 3, quarterly_change_pct=[2.0, 25.0, 0.0, 37.5]),
     }
 
 
@@ -29,7 +29,7 @@ def test_monthly_panel(spark, frames):
     assert out.schema.simpleString() == MONTHLY_SCHEMA.simpleString()
     got = out.collect()
     assert [r.year_month for r in got] == [f"2023-{m:02d}" for m in range(1, 13)]
-    near([got[0].real_interest_rate], [13.75 - 0.53])
+    near([got[0].real_interest_rate], [20.0 - 1.25])
     raw = [0.4 * a + 0.3 * s + 0.3 * v
            for a, s, v in zip(fx.IPCA_YEAR, fx.SELIC, fx.CAMBIO_VOLATILITY)]
     want = [(x - min(raw)) / (max(raw) - min(raw)) * 100 for x in raw]
@@ -41,7 +41,7 @@ def test_monthly_panel_keeps_months_of_every_side(spark, frames):
     frames["selic"] = frames["selic"].filter("date >= '2023-06-01'")
     frames["ipca"] = frames["ipca"].filter("date <= '2023-02-01'")
     got = {r.year_month: r for r in gold.monthly_panel(frames, spark, RUN).collect()}
-    assert len(got) == 12 and got["2023-07"].date is None and got["2023-07"].selic == 13.25
+    assert len(got) == 12 and got["2023-07"].date is None and got["2023-07"].selic == 17.0
     assert got["2023-04"].selic is None and got["2023-04"].economic_pressure_index is None
 
 
@@ -53,15 +53,15 @@ def test_monthly_panel_needs_three_inputs(spark, frames):
 def test_plain_index_without_input_columns(spark, frames):
     frames["cambio"] = frames["cambio"].drop("volatility")
     got = gold.monthly_panel(frames, spark, RUN).first()
-    near([got.economic_pressure_index], [13.75 + 0.53])
+    near([got.economic_pressure_index], [20.0 + 1.25])
 
 
 def test_labor_market(spark, frames):
     out = gold.labor_market(frames, spark, RUN)
     assert out.schema.simpleString() == LABOR_SCHEMA.simpleString()
     got = out.orderBy("date").collect()
-    second = -(-0.5 / 8.8 * 100) / -1.5
-    fourth = -(-0.4 / 7.9 * 100) / 1.1
+    second = -(1.5 / 6.0 * 100) / 25.0
+    fourth = -(-1.0 / 5.0 * 100) / 37.5
     near([r.employment_gdp_elasticity for r in got], [None, second, None, fourth])
     near([r.employment_gdp_elasticity_ma for r in got], [None, second, second, (second + fourth) / 2])
     alone = gold.labor_market({"desemprego": frames["desemprego"]}, spark, RUN)
@@ -75,23 +75,23 @@ def test_macro_dashboard(spark, frames):
     got = {r.indicator: r for r in out.collect()}
     assert set(got) == {*frames, "economic_health"}
     assert (got["ipca"].last_value, got["ipca"].last_date, got["ipca"].trend) == (
-        0.56, dt.date(2023, 12, 1), "rising")
+        3.0, dt.date(2023, 12, 1), "rising")
     assert got["selic"].trend == "falling" and got["selic"].annual_change is None
-    assert got["ipca"].annual_change == 4.62 and got["desemprego"].annual_change == -1.0
+    assert got["ipca"].annual_change == 11.0 and got["desemprego"].annual_change == -3.0
     assert got["cambio"].annual_change is None  # twelve rows are one too few
-    ratios = [fx.IPCA[-1] / (sum(fx.IPCA) / 12), 11.25 / (sum(fx.SELIC) / 12),
-              7.5 / (sum(fx.UNEMPLOYMENT) / 4)]
+    ratios = [fx.IPCA[-1] / (sum(fx.IPCA) / 12), 14.0 / (sum(fx.SELIC) / 12),
+              4.0 / (sum(fx.UNEMPLOYMENT) / 4)]
     score = min(50 * (0.35 * ratios[0] + 0.30 * ratios[1] + 0.35 * ratios[2]), 100)
     health = got["economic_health"]
     assert health.last_value == round(score, 1) and health.last_date == TODAY
-    assert health.situation == "desafiadora" and health.unit == "pontos" and health.trend is None
+    assert health.situation == "crítica" and health.unit == "pontos" and health.trend is None
     assert got["ipca"].situation is None
 
 
 def test_macro_dashboard_weights_are_renormalised(spark, frames):
     some = {k: frames[k] for k in ("selic", "desemprego", "pib")}
     got = {r.indicator: r for r in gold.macro_dashboard(some, spark, TODAY, RUN).collect()}
-    score = 50 * (0.30 * 11.25 / (sum(fx.SELIC) / 12) + 0.35 * 7.5 / 8.125) / 0.65
+    score = 50 * (0.30 * 14.0 / (sum(fx.SELIC) / 12) + 0.35 * 4.0 / 5.625) / 0.65
     near([got["economic_health"].last_value], [round(score, 1)])
     assert got["economic_health"].situation == "boa"
 
@@ -105,11 +105,39 @@ def test_macro_dashboard_with_too_little(spark, frames):
 
 
 def test_cambio_annual_change_over_thirteen_rows(spark, frames):
-    values = [4.0] + fx.CAMBIO
+    values = [1.6] + fx.CAMBIO
     long = spark.createDataFrame(
         [(dt.date(2022 + (11 + i) // 12, (11 + i) % 12 + 1, 1), v) for i, v in enumerate(values)],
         "date date, value double")
     got = {r.indicator: r for r in gold.macro_dashboard(
         {"cambio": long, "ipca": frames["ipca"]}, spark, TODAY, RUN).collect()}
-    near([got["cambio"].annual_change], [(5.05 / 4.0 - 1) * 100])
+    near([got["cambio"].annual_change], [(4.0 / 1.6 - 1) * 100])
     assert got["cambio"].indicator_name == "CAMBIO" and got["cambio"].unit == "%"
+
+
+def test_places_do_not_mix(spark, frames):
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    places = ("Brasil", "Norte", "Sul")
+    def spread(df):
+        parts = [df.withColumns({"localidade": F.lit(p), "value": F.col("value") + 10 * k}) for k, p in enumerate(places)]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    many = {name: spread(df) for name, df in frames.items()}
+    for make in (gold.monthly_panel, gold.labor_market):
+        assert sorted(map(str, make(many, spark, RUN).collect())) == sorted(map(str, make(frames, spark, RUN).collect()))
+        keyed = make(many, spark, RUN, keys=("localidade",))
+        alone = make(frames, spark, RUN).count()
+        assert keyed.groupBy("localidade").count().collect() and keyed.count() == 3 * alone
+        norte = keyed.where("localidade = 'Norte'").drop("localidade")
+        assert sorted(map(str, norte.collect())) == sorted(map(str, make(many, spark, RUN, place="Norte").collect()))
+    lines = {r.indicator: r.last_value for r in gold.macro_dashboard(many, spark, TODAY, RUN).collect()}
+    assert lines["ipca"] == fx.IPCA[-1]
+
+
+def test_several_rows_of_a_month_are_one(spark, frames):
+    doubled = {k: v.unionByName(v) for k, v in frames.items()}
+    assert gold.monthly_panel(doubled, spark, RUN).count() == 12
+    assert gold.labor_market(doubled, spark, RUN).count() == 4

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from seriema.plans import pipeline, silver
 from seriema.session import scratch_path
-from seriema.sources import sinks
+from seriema.sources import files, sinks
 from tests import fixtures as fx
 
 RUN = dt.datetime(2024, 1, 2, 3, 4, 5)
@@ -61,7 +61,7 @@ def test_missing_values_are_a_warning(spark):
     bronze, target = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     sinks.write_snapshot(rows, bronze, RUN)
     report = pipeline.bronze_to_silver(spark, bronze, target, RUN).first()
-    assert report.success and report.message == "16.7% missing"
+    assert report.success and report.message == "16.7% of value missing"
 
 
 def test_gold_from_one_indicator_writes_what_it_can(spark):
@@ -73,14 +73,74 @@ def test_gold_from_one_indicator_writes_what_it_can(spark):
 
 def test_nothing_to_do(spark):
     report = pipeline.bronze_to_silver(spark, landed(spark), scratch_path(spark, "silver"), RUN, ["inpc"])
-    assert [tuple(r) for r in report.collect()] == [(None, "inpc", 0, False, "no transform")]
+    assert [tuple(r) for r in report.collect()] == [("bcb", "inpc", 0, False, "no transform")]
 
 
-def test_long_series_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(pipeline, "ROWS_PER_TASK", 5)
-    target = scratch_path(spark, "silver")
-    report = pipeline.bronze_to_silver(spark, landed(spark), target, RUN, ["ipca"]).first()
-    assert report.success and report.rows == 12
+def test_transforms_always_get_the_same_arguments(spark):
+    def own(df, keys, style, run_ts, value):
+        return silver.standardize(df, value)
+
+    for times in (1, 400):  # many rows per period, as no indicator should have
+        rows = fx.bronze(spark, "ipca", fx.IPCA).select(
+            F.lit("bcb").alias("source"), "indicator", F.col("ipca").cast("string").alias("valor"), "data",
+            F.explode(F.sequence(F.lit(1), F.lit(times))).alias("n")).select(
+            "source", "indicator", "valor", F.col("data").cast("string").alias("data"))
+        bronze, target = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+        sinks.write_snapshot(rows, bronze, RUN)
+        line = pipeline.bronze_to_silver(spark, bronze, target, RUN, transforms={"ipca": own}).first()
+        assert (line.success, line.rows) == (True, 12)
+        assert ("has a later one" in line.message) == (times > 1)
+
+
+def test_many_indicators_are_treated_like_few(spark):
+    names = [f"x{k}" for k in range(1_500)]
+    frame = spark.createDataFrame([("bcb", n, "2023-01-01", "1") for n in names[:3]], "source string, indicator string, data string, valor string")
+    root = scratch_path(spark, "bronze")
+    sinks.write_snapshot(frame, root, RUN)
+    found = files.newest_snapshots(spark, root, names)
+    assert [r["indicator"] for r in found] == names[:3]
+    assert pipeline.load_latest_silver(spark, root, names).keys() == set(names[:3])
+
+
+def test_any_failure_stays_with_its_indicator(spark):
+    def at_once(df, **_):
+        raise ValueError("no such thing")
+
+    def on_rows(df, keys, style, run_ts, value):
+        return silver.standardize(df, value).withColumn("value", F.raise_error(F.lit("a bad row")).cast("double"))
+
+    report = {r.indicator: r for r in pipeline.bronze_to_silver(
+        spark, landed(spark), scratch_path(spark, "silver"), RUN, ["ipca", "selic", "pib"],
+        transforms={"ipca": at_once, "pib": on_rows, "selic": silver.TRANSFORMS["selic"]}).collect()}
+    assert report["ipca"].message == "no such thing" and "a bad row" in report["pib"].message
+    assert report["selic"].success and not report["pib"].success
+
+
+def test_a_repeated_run_replaces_its_snapshot(spark):
+    bronze, target = landed(spark), scratch_path(spark, "silver")
+    for _ in range(2):
+        pipeline.bronze_to_silver(spark, bronze, target, RUN, ["ipca"])
+    assert spark.read.parquet(target).count() == 12
+
+
+def test_silver_in_folders(spark):
+    folders = scratch_path(spark, "folders")
+    pipeline.bronze_to_silver(spark, landed(spark), scratch_path(spark, "silver"), RUN, ["ipca", "desemprego"], partitioned=folders)
+    assert spark.read.parquet(f"{folders}/bcb/ipca").where("year = 2023 AND month = 5").count() == 1
+    assert spark.read.parquet(f"{folders}/bcb/desemprego").where("year = 2023").count() == 4
+
+
+def test_the_newest_snapshot_of_each_source(spark):
+    bronze, target = landed(spark), scratch_path(spark, "silver")
+    other = spark.createDataFrame([("ibge", "ipca", "2024-01-01", "7", "Norte")],
+                                  "source string, indicator string, data string, valor string, localidade string")
+    sinks.write_snapshot(other, bronze, RUN + dt.timedelta(days=1))
+    report = {(r.source, r.indicator): r.rows for r in pipeline.bronze_to_silver(spark, bronze, target, RUN).collect()}
+    assert report["bcb", "ipca"] == 12 and report["ibge", "ipca"] == 1
+    frame = pipeline.load_latest_silver(spark, target, ["ipca"])["ipca"]
+    assert frame.count() == 13 and {r.localidade for r in frame.collect()} == {None, "Norte"}
+    alone = pipeline.bronze_to_silver(spark, bronze, scratch_path(spark, "silver"), RUN, sources=["ibge"])
+    assert [(r.source, r.indicator) for r in alone.collect()] == [("ibge", "ipca")]
 
 
 def test_places_are_series_in_a_run(spark):

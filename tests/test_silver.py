@@ -18,10 +18,10 @@ def test_ipca(spark):
     out = silver.ipca(fx.bronze(spark, "ipca", fx.IPCA), run_ts=RUN)
     assert out.count() == 12 and "year" not in out.columns
     assert column(out, "value") == fx.IPCA
-    near(column(out, "monthly_change_pct")[:2], [None, (0.84 / 0.53 - 1) * 100])
+    near(column(out, "monthly_change_pct")[:2], [None, (0.5 / 1.25 - 1) * 100])
     assert column(out, "year_over_year_pct") == [None] * 12
-    near(column(out, "moving_avg_3m")[:3], [None, None, (0.53 + 0.84 + 0.71) / 3])
-    near(column(out, "year_to_date_pct")[:2], [0.0, (0.84 / 0.53 - 1) * 100])
+    near(column(out, "moving_avg_3m")[:3], [None, None, (1.25 + 0.5 + 2.0) / 3])
+    near(column(out, "year_to_date_pct")[:2], [0.0, (0.5 / 1.25 - 1) * 100])
     row = out.first()
     assert (row["unit"], row["frequency"], row["source"], row["processed_at"]) == ("%", "monthly", "bcb", RUN)
 
@@ -29,30 +29,30 @@ def test_ipca(spark):
 def test_ipca_rounded_keeps_what_is_there(spark):
     landed = fx.bronze(spark, "ipca15", fx.IPCA).withColumn("unit", F.lit("p.p."))
     out = silver.TRANSFORMS["ipca15"](landed, style=silver.ROUNDED)
-    near(column(out, "monthly_change_pct")[:2], [None, 58.49])
-    near(column(out, "moving_avg_3m")[:3], [0.53, 0.69, 0.69])
-    near(column(out, "ytd_accumulated")[:3], [0.53, 1.37, 2.08])
+    near(column(out, "monthly_change_pct")[:2], [None, -60.0])
+    near(column(out, "moving_avg_3m")[:3], [1.25, 0.88, 1.25])
+    near(column(out, "ytd_accumulated")[:3], [1.25, 1.75, 3.75])
     row = out.first()
     assert row["unit"] == "p.p." and row["year"] == 2023 and "IPCA-15" in row["indicator_name"]
 
 
 def test_selic_daily_to_monthly(spark):
-    days = [(dt.date(2023, 1, 1) + dt.timedelta(d), 13.75 if d < 30 else 13.25) for d in range(60)]
+    days = [(dt.date(2023, 1, 1) + dt.timedelta(d), 20.0 if d < 30 else 18.5) for d in range(60)]
     df = spark.createDataFrame(days + [(None, 99.0)], "data date, selic double")
     out = silver.selic(df, run_ts=RUN)
     assert column(out, "date") == [dt.date(2023, 1, 31), dt.date(2023, 2, 28), dt.date(2023, 3, 1)]
-    january = (30 * 13.75 + 13.25) / 31
-    near(column(out, "value"), [january, 13.25, 13.25])
-    near(column(out, "change_bps"), [None, (13.25 - january) * 100, 0.0])
-    near(column(out, "moving_avg_3m"), [None, None, (january + 26.5) / 3])
+    january = (30 * 20.0 + 18.5) / 31
+    near(column(out, "value"), [january, 18.5, 18.5])
+    near(column(out, "change_bps"), [None, (18.5 - january) * 100, 0.0])
+    near(column(out, "moving_avg_3m"), [None, None, (january + 37.0) / 3])
     assert column(out, "real_interest_rate") == [0.0] * 3
-    near(column(silver.selic(df, style=silver.ROUNDED), "change_bps"), [None, -48.0, 0.0])
+    near(column(silver.selic(df, style=silver.ROUNDED), "change_bps"), [None, -145.0, 0.0])
 
 
 def test_pib(spark):
     out = silver.pib(fx.bronze(spark, "pib", fx.PIB, 3), run_ts=RUN)
-    near(column(out, "quarterly_change_pct"), [None, -62.5, (0.1 / 0.9 - 1) * 100, 1100.0])
-    near(column(out, "accumulated_value"), [None, None, None, 4.6])
+    near(column(out, "quarterly_change_pct"), [None, 25.0, -36.0, 37.5])
+    near(column(out, "accumulated_value"), [None, None, None, 41.5])
     assert column(out, "annual_change_pct") == [None] * 4
 
 
@@ -71,9 +71,9 @@ def test_cambio(spark):
 
 def test_desemprego_has_both_changes(spark):
     out = silver.desemprego(fx.bronze(spark, "desemprego", fx.UNEMPLOYMENT + [8.0], 2), run_ts=RUN)
-    near(column(out, "quarterly_change_pp")[:2], [None, -0.5])
-    near(column(out, "annual_change_pp"), [None] * 4 + [-0.8])
-    near(column(out, "moving_avg_3q")[2:3], [25 / 3])
+    near(column(out, "quarterly_change_pp")[:2], [None, 1.5])
+    near(column(out, "annual_change_pp"), [None] * 4 + [2.0])
+    near(column(out, "moving_avg_3q")[2:3], [18.5 / 3])
     pnad = silver.TRANSFORMS["pnad"](fx.bronze(spark, "pnad", fx.UNEMPLOYMENT, 3), style=silver.ROUNDED)
     assert column(pnad, "year_quarter") == ["2023Q1", "2023Q2", "2023Q3", "2023Q4"]
 

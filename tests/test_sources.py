@@ -77,20 +77,34 @@ def test_latest_snapshot_matches_names_exactly(spark):
     got = files.read_latest(spark, root).select("indicator", "value")
     assert rows(got, "indicator", "value") == [("pib", 1.0), ("pib_ibge", 3.0), ("pib_ibge", 4.0)]
     assert files.read_latest(spark, root, ["pib", "absent"]).count() == 1
-    assert sorted(r[0] for r in files.discover_indicators(files.read_layer(spark, root)).collect()) == ["pib", "pib_ibge"]
+    assert sorted(r[0] for r in files.discover_indicators(spark, root).collect()) == ["pib", "pib_ibge"]
 
 
-def test_latest_snapshot_reads_only_its_folders(spark, monkeypatch):
+def test_latest_snapshot_reads_only_its_folders(spark):
     root = scratch_path(spark, "bronze")
-    for s in range(3):
-        sinks.write_snapshot(layer_rows(spark, ("a", float(s)), ("b", 0.0)), root, RUN + dt.timedelta(seconds=s))
-    named = files.read_latest(spark, root)
-    filters = named._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
-    assert "= 20240102_030407" in filters.split("PushedFilters")[0]
-    assert {r.snapshot_ts for r in named.collect()} == {"20240102_030407"}
-    monkeypatch.setattr(files, "NAMED_SNAPSHOTS", 1)
-    joined = files.read_latest(spark, root)
-    assert sorted(rows(joined)) == sorted(rows(named))
+    for n in range(3):
+        sinks.write_snapshot(layer_rows(spark, ("a", float(n)), ("b", 0.0)), root, RUN + dt.timedelta(seconds=n))
+    newest = files.read_latest(spark, root)
+    assert all("snapshot_ts=20240102_030407" in f for f in newest.inputFiles()) and len(newest.inputFiles()) == 2
+    assert {r.snapshot_ts for r in newest.collect()} == {"20240102_030407"}
+
+
+def test_snapshots_are_listed_without_reading_data(spark):
+    root = scratch_path(spark, "bronze")
+    sinks.write_snapshot(layer_rows(spark, ("a/b=c +%", 1.0)).withColumn("source", F.lit("x y")), root, RUN)
+    listed = files.snapshots(spark, root)
+    plan = listed._jdf.queryExecution().executedPlan().toString().lower()
+    assert "parquet" not in plan.split("location")[0] and "content" not in plan
+    assert [(r.source, r.indicator, r.snapshot_ts) for r in listed.collect()] == [("x y", "a/b=c +%", "20240102_030405")]
+    assert files.read_latest(spark, root).count() == 1
+
+
+def test_a_snapshot_written_twice_is_one(spark):
+    root = scratch_path(spark, "bronze")
+    for _ in range(2):
+        sinks.write_snapshot(layer_rows(spark, ("a", 1.0), ("b", 2.0)), root, RUN)
+    sinks.write_snapshot(layer_rows(spark, ("a", 3.0)), root, RUN)
+    assert sorted(r.value for r in files.read_layer(spark, root).collect()) == [2.0, 3.0]
 
 
 def test_empty_snapshot_is_refused(spark):
@@ -125,7 +139,8 @@ def test_conform(spark):
 
 def test_ingest_reads_every_file_once(spark):
     landing, bronze, marks = (scratch_path(spark, p) for p in ("landing", "bronze", "marks"))
-    df = layer_rows(spark, ("a", 1.0), ("b", 2.0)).withColumn("snapshot_ts", F.lit("20240101_000000"))
+    df = layer_rows(spark, ("a", 1.0), ("b", 2.0)).withColumns({
+        "snapshot_ts": F.lit("20240101_000000"), "source": F.lit("bcb")})
     df.write.parquet(landing)
     for _ in range(2):
         ingest_new_files(spark, landing, bronze, marks, df.schema)
@@ -139,5 +154,5 @@ def test_ingest_reads_every_file_once(spark):
 def test_names_in_foreign_layouts(spark, name):
     root = scratch_path(spark, "economic_indicators")
     layer_rows(spark, ("a", 1.0)).write.parquet(f"{root}/{name}")
-    found = files.discover_in_file_names(spark.read.parquet(f"{root}/{name}"))
+    found = files.discover_in_file_names(spark, f"{root}")
     assert rows(found) == [("ipca",)]

@@ -9,6 +9,7 @@ from seriema.model import Series
 from seriema.operators import windows as w
 from seriema.operators.aggregates import describe, exact_quantiles
 from seriema.operators.spread import CHUNK, cut, measure, running_total
+from seriema.session import workspace
 from tests.conftest import near, rows
 
 
@@ -124,25 +125,34 @@ def test_value_keeps_its_type(spark):
     assert dict(out.dtypes)["value"] == "int" and dict(out.dtypes)["s"] == "int"
 
 
-def test_chunks_as_adaptive_execution_sizes_them(spark):
-    """Without a number of chunks, partitions may be merged after the shuffle; order must hold."""
+def test_chunks_follow_the_rows(spark, monkeypatch):
+    """Without a number of chunks there is one per so many rows, and the result is the same."""
     df = frame(spark, observations(11, n=600))
     whole = Series(keys=("k",), tie=("t",), grain="D")
     expected = rows(measure(df, whole, *MEASURES), "t")
-    settings = {"spark.sql.shuffle.partitions": "30",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "3KB",
-                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
-                "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        base = cut(df, whole)
-        assert 2 < base.select(CHUNK).distinct().count() < 30
-        got = rows(measure(df, whole.but(grain=None), *MEASURES), "t")
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    monkeypatch.setattr("seriema.operators.spread.ROWS_PER_CHUNK", 50)
+    assert cut(df, whole).select(CHUNK).distinct().count() > 5
+    got = rows(measure(df, whole.but(grain=None), *MEASURES), "t")
     for a, b in zip(expected, got, strict=True):
         assert a[:5] == b[:5]
         near(b[5:], a[5:])
+
+
+def test_a_workspace_leaves_nothing(spark):
+    df = frame(spark, observations(12, n=100))
+    series = Series(keys=("k",), tie=("t",))
+    with workspace(spark) as path:
+        staged = cut(df, series, 3)
+        assert path.split("/")[-1] in staged.inputFiles()[0]
+        n = len(rows(measure(df, series, *MEASURES, chunks=3)))
+    assert n == df.count()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def test_rows_without_a_group_have_no_running_sum(spark):
+    data = [("a", 1, 1.0), (None, 2, 2.0), ("a", 3, 3.0), (None, 4, 4.0)]
+    df = spark.createDataFrame(data, "g string, t int, value double").withColumn("date", F.lit(None).cast("date"))
+    for grain in (None, "D"):
+        out = w.cumulative(df, Series(tie=("t",), grain=grain), ("g",))
+        assert [r.cumulative_value for r in out.orderBy("t").collect()] == [1.0, None, 4.0, None]

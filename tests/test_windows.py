@@ -8,7 +8,7 @@ from seriema.operators import windows as w
 from seriema.operators.spread import measure
 from tests.conftest import near, rows
 
-IPCA = [0.53, 0.84, 0.71, 0.61, 0.23, 0.16, -0.38, 0.23, 0.26, 0.24, 0.28, 0.56]
+RATES = [4.0, 5.0, 2.5, 3.0, 6.0, -1.0, 0.5, 1.5, 2.0, 8.0, 7.0, 9.0]
 M = Series(grain="M")
 
 
@@ -34,14 +34,14 @@ def test_percent_change_over_gaps_and_zero(spark):
 
 
 def test_variations_default_and_repeated_kinds(spark):
-    df = frame(spark, IPCA + [0.42])
+    df = frame(spark, RATES + [5.5])
     out = w.variations(df, M)
     assert column(out, "year_over_year_pct")[:12] == [None] * 12
-    near(column(out, "year_over_year_pct")[12:], [(0.42 / 0.53 - 1) * 100])
-    near(column(out, "monthly_change_pct")[:2], [None, (0.84 / 0.53 - 1) * 100])
+    near(column(out, "year_over_year_pct")[12:], [(5.5 / 4.0 - 1) * 100])
+    near(column(out, "monthly_change_pct")[:2], [None, (5.0 / 4.0 - 1) * 100])
     both = w.variations(df, M, [("diff", 1, None, 1), ("diff", 4, "a", 100)])
-    near(column(both, "diff_1")[:3], [None, 0.31, -0.13])
-    near(column(both, "a")[3:5], [None, (0.23 - 0.53) * 100])
+    near(column(both, "diff_1")[:3], [None, 1.0, -2.5])
+    near(column(both, "a")[3:5], [None, (6.0 - 4.0) * 100])
     assert w.variations(df, M.but(value="nope")) is df
     with pytest.raises(ValueError):
         w.percent_change(fill="zero")
