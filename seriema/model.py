@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +43,22 @@ class Series:
         """Exactly the opposite of :meth:`order`: the latest row first, undated rows before it."""
         return [F.col(c).desc_nulls_first() for c in (self.date, *self.tie)]
 
-    def rank_key(self) -> Column:
-        """One comparable column for ``min_by``/``max_by``; a plain date keeps the hash aggregate."""
-        return F.struct(self.date, *self.tie) if self.tie else F.col(self.date)
+    def rank_key(self, df: DataFrame) -> Column:
+        """One comparable column for ``min_by``/``max_by`` over the rows of ``df``.
+
+        A date and a whole number become one decimal, which an aggregate by hash can hold; of other
+        ties a struct is made, for which Spark sorts the rows first.
+        """
+        if not self.tie:
+            return F.col(self.date)
+        date, tie = df.schema[self.date].dataType, df.schema[self.tie[0]].dataType
+        number = {T.DateType: F.unix_date, T.TimestampType: F.unix_micros}.get(type(date))
+        if len(self.tie) > 1 or number is None or not isinstance(tie, T.IntegralType):
+            return F.struct(self.date, *self.tie)
+        # A missing tie comes first, as in a struct; all others are moved above zero.
+        place = F.coalesce(F.col(self.tie[0]).cast("decimal(20,0)") + F.lit(Decimal(2**63 + 1)), F.lit(Decimal(0)))
+        when = number(F.col(self.date)).cast("decimal(18,0)") * F.lit(Decimal(2**65))
+        return (when + place).cast("decimal(38,0)")
 
     def but(self, **changes) -> "Series":
         return replace(self, **changes)

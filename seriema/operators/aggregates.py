@@ -44,7 +44,7 @@ def period_ohlc(df: DataFrame, series: Series, freq: str = "M",
 
     ``lone_volatility`` is the deviation of a period with one row.
     """
-    value, when = F.col(series.value), series.rank_key()
+    value, when = F.col(series.value), series.rank_key(df)
     deviation = F.when(F.count(F.lit(1)) > 1, F.stddev_samp(value)).otherwise(
         F.lit(lone_volatility).cast("double")
     )

@@ -65,7 +65,7 @@ def resample(df: DataFrame, series: Series, freq: str = "M", how: str = "mean")
     periods = (
         df.filter(F.col(series.date).isNotNull())
         .groupBy(*series.keys, period_start(F.col(series.date), freq).alias(start))
-        .agg(aggregate(value, series.rank_key()).alias("_value"))
+        .agg(aggregate(value, series.rank_key(df)).alias("_value"))
     )
     until = F.coalesce(_previous(F.col("_next"), freq), F.col(start))
     filled = F.sequence(F.col(start), until, period_step(freq))

@@ -138,7 +138,7 @@ def year_to_date_percent(df: DataFrame, series: Series, column: str = "year_to_d
         first = F.first(value).over(window)
         return df.withColumn(column, F.when(dated, (F.try_divide(value, first) - 1) * 100))
     firsts = df.filter(dated).groupBy(*series.keys, year).agg(
-        F.min_by(F.struct(value.alias("v")), series.rank_key())["v"].alias("_first")
+        F.min_by(value, series.rank_key(df)).alias("_first")
     )
     joined = join_back(df, firsts, [*series.keys, year])
     return joined.withColumn(

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check_oracle import TABLES, normal
+from seriema.catalogue import ORACLES, QUERIES
 
 PATH = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+# The queries of the time-series library; those of seriema.llm have tests of their own.
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(PATH), reason="no test tables")
 
@@ -81,3 +82,8 @@ def test_measures_share_one_shuffle_by_series(spark, name):
 @pytest.mark.parametrize("name", ["f05_group_std_per_row", "g11_year_to_date_percent_raw_rows", "g18_min_max_scale_per_series"])
 def test_small_statistics_leave_the_rows_in_place(spark, name):
     assert "BroadcastHashJoin" in plan(QUERIES[name](spark, PATH))
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith(("f02", "i04", "e02", "d03"))))
+def test_rows_are_not_sorted_before_they_are_reduced(spark, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, PATH)), name
