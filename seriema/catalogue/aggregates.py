@@ -243,13 +243,8 @@ SELECT count(*) AS rows, count(CASE WHEN o_totalprice < 10000 OR o_totalprice >
        AS out_of_range, count(DISTINCT o_custkey) AS customers FROM orders""")
 def counts(spark, path):
     price = F.col("o_totalprice")
-    customers = table(spark, path, "orders").groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if((price < 10000) | (price > 400000)).alias("out")
-    )
-    return customers.agg(
-        F.sum("n").alias("rows"), F.sum("out").alias("out_of_range"),
-        F.count(F.lit(1)).alias("customers"),
-    )
+    out = a.counts(table(spark, path, "orders"), "o_custkey", (price < 10000) | (price > 400000))
+    return out.withColumnsRenamed({"wanted": "out_of_range", "keys": "customers"})
 
 
 @query("f08_run_summary", """

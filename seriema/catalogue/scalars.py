@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import clamp, rounded
+from ..functions import clamp, rounded, year_quarter
 from ..operators import compose, joins
 from ..operators import windows as w
 from ..operators.cleaning import head
@@ -120,9 +120,11 @@ def linear_combination(spark, path):
 
 
 @query("h12_conditional_division", """
-SELECT event_id, round(-value / nullif(user_id % 5, 0), 6) AS elasticity FROM events""")
+SELECT event_id, round(-(value / nullif(user_id % 7, 0) * 100) / nullif(user_id % 5, 0), 6) AS elasticity
+FROM events""")
 def conditional_division(spark, path):
-    ratio = F.try_divide(-F.col("value"), (F.col("user_id") % 5).cast("double"))
+    rest = lambda n: (F.col("user_id") % n).cast("double")
+    ratio = compose.elasticity(F.col("value"), rest(7), rest(5))
     return table(spark, path, "events").select("event_id", F.round(ratio, 6).alias("elasticity"))
 
 
@@ -134,7 +136,7 @@ SELECT t, year(date)::VARCHAR || 'Q' || quarter(date)::VARCHAR AS label,
 def string_helpers(spark, path):
     k = F.col("k")
     return observations(spark, path).select(
-        "t", F.concat(F.year("date"), F.lit("Q"), F.quarter("date")).alias("label"),
+        "t", year_quarter(F.col("date")).alias("label"),
         F.split_part(k, F.lit("-"), F.lit(2)).alias("tail"),
         F.lower(k).contains("urg").alias("urgent"), F.upper(k).alias("upper"),
         F.replace(k, F.lit("-"), F.lit(".")).alias("dotted"),

@@ -69,6 +69,16 @@ def series_stats(df: DataFrame, keys: Sequence[str], value: str = "value") -> Da
     )
 
 
+def counts(df: DataFrame, key: str, wanted: Column) -> DataFrame:
+    """One row (rows, wanted, keys): all rows, those that meet a condition, distinct keys.
+
+    Counted per key first, so that no task holds the distinct keys of another kind of row.
+    """
+    by_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(wanted).alias("met"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return by_key.agg(total("n").alias("rows"), total("met").alias("wanted"), F.count(key).alias("keys"))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

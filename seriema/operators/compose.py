@@ -29,6 +29,11 @@ def weighted_mean(value: Column, weight: Column, counted: Column | None = None)
     return F.when(F.count(value) == rows, total)
 
 
+def elasticity(change: Column, base: Column, growth: Column) -> Column:
+    """Percent change of a rate per percent of growth, with the sign turned; NULL on a zero."""
+    return F.try_divide(-(F.try_divide(change, base) * 100), growth)
+
+
 def linear_combination(*terms: tuple[float, Column]) -> Column:
     """NULL as soon as one input is NULL."""
     total = F.lit(terms[0][0]) * terms[0][1]

@@ -20,6 +20,7 @@ from ..model import LABOR_SCHEMA, MACRO_SCHEMA, MONTHLY_SCHEMA, NATIONAL, Series
 from ..operators.cleaning import normalize_date, select_present
 from ..operators.compose import (
     default_text,
+    elasticity,
     label_below,
     linear_combination,
     ratio_to_mean,
@@ -150,9 +151,9 @@ def labor_market(indicators: Mapping[str, DataFrame], spark: SparkSession, run_t
     if needed <= set(labor.columns):
         rates = Series(keys=tuple(keys), value="unemployment_rate", grain="Q")
         labor = measure(labor, rates, shift(1, "_previous_rate"))
-        change = F.try_divide(F.col("unemployment_qtr_change"), F.col("_previous_rate")) * 100
+        change, before = F.col("unemployment_qtr_change"), F.col("_previous_rate")
         labor = labor.withColumn(
-            "employment_gdp_elasticity", F.try_divide(-change, F.col("gdp_growth"))
+            "employment_gdp_elasticity", elasticity(change, before, F.col("gdp_growth"))
         ).drop("_previous_rate")
         labor = measure(
             labor, rates.but(value="employment_gdp_elasticity"),
