@@ -41,6 +41,10 @@ RUN = LENGTH - GRAM + 1
 WIDEST = LENGTH + RUN - 1
 #: Suffixes are compared over so many bytes: a fragment's string, its minimizer's room, and some more.
 DEPTH = 56
+#: Bytes of texts that are hashed together, and of fragments that are sorted together.
+PART = 1 << 20
+#: Parts of the name space in a bucket; strings with one minimizer are in one of them.
+SLICES = 256
 
 
 def gram_names(x: np.ndarray) -> np.ndarray:
@@ -68,6 +72,27 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[:len(least) - rest], least[rest:]) if rest else least
 
 
+def runs(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """The rows of :meth:`Bytes._runs` for some texts end to end."""
+    n = len(text)
+    least = sliding_least(gram_names(text), RUN)  # one per start of a string
+    fits = np.ones(len(least), dtype=bool)
+    for s, m in zip(starts.tolist(), lengths.tolist()):
+        fits[s + m - LENGTH + 1:s + m] = False
+    new = np.ones(len(least), dtype=bool)
+    new[1:] = least[1:] != least[:-1]
+    new[starts] = True
+    new &= fits
+    at = np.flatnonzero(new)
+    doc = np.searchsorted(starts, at, side="right") - 1
+    ends = np.minimum(np.append(at[1:], n), (starts + lengths)[doc] - LENGTH + 1)
+    # A minimizer that repeats inside a text can make longer rows. They are cut, which only makes more fragments.
+    times = -(-(ends - at) // RUN)
+    inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    at, ends, doc = np.repeat(at, times) + inside * RUN, np.repeat(ends, times), np.repeat(doc, times)
+    return at, np.minimum(ends - at, RUN), least[at], doc
+
+
 class Bytes:
     """The bytes of a block's first texts, end to end."""
 
@@ -102,33 +127,18 @@ class Bytes:
         return by_bucket(np.array([int.from_bytes(d[:8], "big") for d in self.digests], dtype=np.uint64), buckets)
 
     def _runs(self, lengths: np.ndarray) -> None:
-        """Strings in a row with one minimizer: first string, number of strings, minimizer, document."""
-        n = len(self.bytes)
-        if not n:
-            self.at = self.count = self.doc = np.zeros(0, np.int64)
-            self.key = np.zeros(0, np.uint64)
-            return
-        least = sliding_least(gram_names(self.bytes), RUN)  # one per start of a string
-        fits = np.ones(len(least), dtype=bool)
-        for s, m in zip(self.starts.tolist(), lengths.tolist()):
-            fits[s + m - LENGTH + 1:s + m] = False
-        new = np.ones(len(least), dtype=bool)
-        new[1:] = least[1:] != least[:-1]
-        new[self.starts] = True
-        new &= fits
-        at = np.flatnonzero(new)
-        ends = np.append(at[1:], n)
-        ends = np.minimum(ends, (self.starts + lengths)[np.searchsorted(self.starts, at, side="right") - 1] - LENGTH + 1)
-        # A minimizer that repeats inside a text can make longer rows; they are cut, which only makes more fragments.
-        if len(at) and (ends - at).max() > RUN:
-            extra = [np.arange(a + RUN, e, RUN) for a, e in zip(at[ends - at > RUN], ends[ends - at > RUN])]
-            more = np.concatenate(extra)
-            stop = np.concatenate([np.append(x[1:], e) for x, e in zip(extra, ends[ends - at > RUN])])
-            ends = np.minimum(ends, at + RUN)
-            order = np.argsort(np.concatenate([at, more]), kind="stable")
-            at, ends = np.concatenate([at, more])[order], np.concatenate([ends, stop])[order]
-        self.at, self.count, self.key = at, ends - at, least[at] if len(at) else np.zeros(0, np.uint64)
-        self.doc = np.searchsorted(self.starts, at, side="right") - 1
+        """Strings in a row with one minimizer: first string, number of strings, minimizer, document.
+
+        Hashes take many times the room of the bytes, so texts are hashed a part at a time.
+        """
+        found: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        part = np.cumsum(lengths) // PART
+        for rows in np.split(np.arange(len(lengths)), np.flatnonzero(part[1:] != part[:-1]) + 1) if len(lengths) else []:
+            begin = int(self.starts[rows[0]])
+            end = int(self.starts[rows[-1]] + lengths[rows[-1]])
+            at, count, key, doc = runs(self.bytes[begin:end], self.starts[rows] - begin, lengths[rows])
+            found.append((at + begin, count, key, doc + rows[0]))
+        self.at, self.count, self.key, self.doc = (np.concatenate(x) for x in zip(*found))
 
     def keys(self):
         """Places among the distinct minimizers, these, and which occur in two texts here."""
@@ -192,6 +202,7 @@ def ask_fragments(docs: pa.Table, replies: Replies, buckets: int) -> list[bytes
     block = Bytes(docs, replies, buckets)
     _, _, rows, key, least = block.fragments(replies, buckets)
     at = by_bucket(key, buckets)
+    slices = ((key >> np.uint64(32)) * np.uint64(buckets * SLICES) >> np.uint64(32)).astype(np.uint8)
     squeeze = zstandard.ZstdCompressor(level=3).compress
     out: list[bytes | None] = []
     for a, b in zip(at, at[1:]):
@@ -202,7 +213,7 @@ def ask_fragments(docs: pa.Table, replies: Replies, buckets: int) -> list[bytes
         sizes = (part != 255).sum(1).astype(np.uint8)
         known, place = np.unique(block.doc_ids[least[a:b]], return_inverse=True)
         head = np.array([b - a, len(known)], np.int64).tobytes()
-        body = sizes.tobytes() + place.astype(np.uint32).T.tobytes() + part[part != 255].tobytes()
+        body = sizes.tobytes() + slices[a:b].tobytes() + place.astype(np.uint32).tobytes() + part[part != 255].tobytes()
         out.append(head + known.tobytes() + squeeze(body))
     return out
 
@@ -212,31 +223,48 @@ def answer_fragments(messages: list[bytes]) -> list[bytes]:
     import zstandard
 
     expand = zstandard.ZstdDecompressor().decompress
-    sizes, ids, text, counts = [], [], [], []
+    sizes, ids, slices, text, counts = [], [], [], [], []
     for m in messages:
         n, k = np.frombuffer(m, np.int64, 2).tolist()
         known = np.frombuffer(m, np.int64, k, 16)
         body = expand(m[16 + 8 * k:])
         sizes.append(np.frombuffer(body, np.uint8, n))
-        ids.append(known[np.frombuffer(body, np.uint32, n, n)])
-        text.append(np.frombuffer(body, np.uint8, len(body) - 5 * n, 5 * n))
+        slices.append(np.frombuffer(body, np.uint8, n, n))
+        ids.append(known[np.frombuffer(body, np.uint32, n, 2 * n)])
+        text.append(np.frombuffer(body, np.uint8, len(body) - 6 * n, 6 * n))
         counts.append(n)
-    size, doc, text = np.concatenate(sizes).astype(np.int64), np.concatenate(ids), np.concatenate(text)
+    size, doc, slice_, text = (np.concatenate(x) for x in (sizes, ids, slices, text))
+    size = size.astype(np.int64)
     start = np.cumsum(size) - size
-    rows = np.append(text, np.full(WIDEST, 255, np.uint8))[start[:, None] + np.arange(WIDEST)]
-    rows[np.arange(WIDEST)[None, :] >= size[:, None]] = 255
+    text = np.append(text, np.full(WIDEST, 255, np.uint8))
+    masks = np.zeros(len(size), dtype=np.uint32)
+    # Slices are sorted one after another, small ones together, so that a large bucket takes no more room.
+    held = np.bincount(slice_, weights=size, minlength=SLICES)
+    group = np.concatenate([[0.0], np.cumsum(held)[:-1]]) // (4 * PART)
+    for g in np.unique(group[slice_]):
+        at = np.flatnonzero(group[slice_] == g)
+        rows = text[start[at][:, None] + np.arange(WIDEST)]
+        rows[np.arange(WIDEST)[None, :] >= size[at][:, None]] = 255
+        masks[at] = judged(rows, size[at], doc[at])
+    ends = np.cumsum(counts)
+    return [masks[e - n:e].tobytes() for e, n in zip(ends, counts)]
+
+
+def judged(rows: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The masks of fragments that have whole minimizers among them."""
     # Equal fragments are one, of the smallest document.
     order = np.lexsort((doc, rows.view(f"S{WIDEST}").ravel()))
+    sorted_ = rows[order]
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (rows[order][1:] != rows[order][:-1]).any(1)
+    new[1:] = (sorted_[1:] != sorted_[:-1]).any(1)
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.cumsum(new) - 1
     first = order[new]
-    least = least_documents(rows[first], size[first], doc[first])
-    gone = least[place] < doc[:, None]
-    masks = (gone * (1 << np.arange(RUN, dtype=np.uint32))[None, :]).sum(1, dtype=np.uint32)
-    ends = np.cumsum(counts)
-    return [masks[e - n:e].tobytes() for e, n in zip(ends, counts)]
+    least = least_documents(sorted_[new], size[first], doc[first])
+    masks = np.zeros(len(doc), dtype=np.uint32)
+    for j in range(RUN):
+        masks |= (least[place, j] < doc).astype(np.uint32) << np.uint32(j)
+    return masks
 
 
 def least_documents(rows: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -269,20 +297,24 @@ def laid_out(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than their successor (the last one counts as smaller)."""
-    n = len(text)
-    differs = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1)
-    at = differs[np.searchsorted(differs, np.arange(n))]  # the next place where the byte changes
-    return np.where(at < n - 1, text[at] < text[np.minimum(at + 1, n - 1)], True)
+    out = np.append(text[:-1] < text[1:], True)
+    equal = np.flatnonzero(text[:-1] == text[1:])
+    if len(equal):
+        # In a run of one byte all are like its last, whose next byte is another one.
+        last = np.append(equal[1:] != equal[:-1] + 1, True)
+        ends = np.flatnonzero(last)
+        out[equal] = np.repeat(out[equal[ends] + 1], np.diff(ends, prepend=-1))
+    return out
 
 
 def wanted(text: np.ndarray, origin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Places to sort: the starts of strings, and on to the next suffix that is sorted directly."""
     direct = np.flatnonzero(smaller_than_next(text))
     last = direct[np.searchsorted(direct, origin + size - LENGTH)]
-    change = np.zeros(len(text) + 1, dtype=np.int32)
+    change = np.zeros(len(text) + 1, dtype=np.int8)
     np.add.at(change, origin, 1)
     np.add.at(change, last + 1, -1)
-    return np.cumsum(change)[:-1] > 0
+    return np.cumsum(change, dtype=np.int8)[:-1] > 0
 
 
 def suffix_array(text: np.ndarray, want: np.ndarray) -> np.ndarray:
