@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, stage
 
-LEAST_BYTES, MOST_BYTES, MOST_BLOCKS = 4 << 20, 256 << 20, 1 << 15
+LEAST_BYTES, MOST_BYTES, MOST_BLOCKS = 2 << 20, 32 << 20, 1 << 15
 #: A task numbers its blocks from its own number times this.
 PER_TASK = 1 << 32
 

@@ -11,7 +11,7 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 class Names(dict):
     """Word -> 64-bit name, kept for the words met before; emptied when it has grown too large."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -85,6 +85,7 @@ class Parsed:
         self.starts = np.cumsum(lengths) - lengths
         names = Names()
         self.names = mixed(np.concatenate([names.of(self.words[k]) for k in self.rows])) if self.rows else np.zeros(0, np.uint64)
+        del names
         self.doc = np.repeat(np.arange(len(self.rows)), lengths)
         self.doc_ids = np.array([self.ids[k] for k in self.rows], dtype=np.int64)
 
