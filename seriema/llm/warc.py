@@ -11,7 +11,8 @@ length, and the framing of the whole is decoded. Only segmented bodies are shuff
 not fit its length or digest raises an error.
 
 Defined cases: a NULL page is an empty payload; a NULL page_id is archived without one and, if all pages
-with its payload have none, is a response; rows that repeat id and payload are a response or revisit each;
+with its payload have none, is a response; rows that repeat id and payload, wherever they lie, are a response
+or revisit each, with identifiers of their own;
 equal ids with different payloads are different records; a NULL url has no target; control characters
 in a url are percent-encoded; an empty table gives an empty archive. Extra columns do not take part.
 """
@@ -21,7 +22,6 @@ from __future__ import annotations
 import re
 import zlib
 from base64 import b32encode
-from collections import Counter
 from hashlib import sha1
 from uuid import NAMESPACE_URL, uuid5
 
@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 #: Bytes of a record's block from which it is split, and of a transfer chunk.
 SEGMENT, CHUNK = 16_384, 4_096
 DATE = "2024-01-01T00:00:00Z"
@@ -99,27 +101,35 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
     """Archives ``pages`` (page_id, url, html) below ``path``."""
     pages = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     pages = pages.withColumn("sha1", F.sha1("payload"))
-    ids = pages.select("page_id", "sha1")
     # Digests and ids only: the pages with one payload may be a third of all.
+    ids = pages.groupBy("page_id", "sha1").agg(F.count("*").alias("n"))
     least = ids.groupBy("sha1").agg(F.min("page_id").alias("first"))
+    own = F.col("page_id").eqNullSafe(F.col("first"))
     # Pages without a copy need no entry; the rest is joined by id, so that no payload gathers its pages.
-    copies = ids.join(least, "sha1").where(~F.col("page_id").eqNullSafe(F.col("first"))).distinct()
-    copies = copies.select(F.col("page_id").alias("c_id"), F.col("sha1").alias("c_sha1"), "first")
-    joined = pages.join(copies, F.col("page_id").eqNullSafe(F.col("c_id")) & (F.col("sha1") == F.col("c_sha1")), "left")
+    marks = ids.join(least, "sha1").where(~own | (F.col("n") > 1)).select(
+        F.col("page_id").alias("c_id"), F.col("sha1").alias("c_sha1"), F.when(~own, F.col("first")).alias("first"), (F.col("n") > 1).alias("repeated"))
+    marks = stage(marks, "warc-marks")
+    joined = pages.join(marks, F.col("page_id").eqNullSafe(F.col("c_id")) & (F.col("sha1") == F.col("c_sha1")), "left")
+    joined = joined.withColumn("repeated", F.coalesce("repeated", F.lit(False)))
+    columns = ["page_id", "url", "payload", "first", "nth"]
+    rows = joined.withColumn("nth", F.lit("")).select(columns)
+    if not marks.where("repeated").isEmpty():
+        # Rows with equal ids and payloads may lie in any tasks. Their numbers are staged with them, so that they stay
+        # the same, and one row of them all keeps the plain id, to which revisits refer.
+        again = stage(joined.where("repeated").withColumn("place", F.monotonically_increasing_id()), "warc-repeated")
+        plain = again.groupBy("page_id", "sha1").agg(F.min("place").alias("place")).select("place", F.lit("").alias("plain"))
+        nth = F.coalesce("plain", F.concat(F.lit("#"), F.col("place").cast("string"))).alias("nth")
+        again = again.join(plain, "place", "left").select(*columns[:-1], nth)
+        rows = joined.where("NOT repeated").withColumn("nth", F.lit("")).select(columns).unionAll(again)
 
     def lay_out(batches):
-        seen: Counter = Counter()
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 digest = base32_sha1(row["payload"])
-                key = (row["page_id"], digest)
-                nth = f"#{row['part']}-{seen[key]}" if seen[key] else ""
-                seen[key] += 1
-                out += records(row["page_id"], row["url"], row["payload"], digest, row["first"], row["first"] is not None, nth, segment)
+                out += records(row["page_id"], row["url"], row["payload"], digest, row["first"], row["first"] is not None, row["nth"], segment)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    rows = joined.select("page_id", "url", "payload", "first", F.spark_partition_id().alias("part"))
     rows.mapInArrow(lay_out, "record binary").select(F.col("record").cast("string").alias("value")).write.option(
         "lineSep", END).option("compression", "gzip").text(path)
 

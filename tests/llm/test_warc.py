@@ -27,6 +27,23 @@ def test_round_trip(spark):
     assert all(len(r.payload_digest) == 32 for r in rows)
 
 
+def test_repeated_rows_in_different_files_are_records_of_their_own(spark, tmp_path):
+    long = "again " * 5_000
+    files = [[(7, "u", long, None), (None, "a", "only", None), (8, "u", long, None), (9, "u", "one", None)],
+             [(7, "u", long, None), (None, "b", "only", None), (8, "v", long, None)], [(7, "w", long, None)]]
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
+    pages = [spark.read.parquet(str(tmp_path / f"in{k}")) for k in range(3)]
+    path = scratch_path(spark, "warc")
+    warc.write(pages[0].unionAll(pages[1]).unionAll(pages[2]), path)
+    found = warc.read(spark, path)
+    rows = found.collect()
+    assert len(rows) == len({r.record_id for r in rows}) == 8
+    got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.catalogued(found).collect())
+    size = len(long)
+    assert got == [(0, 4, "response", None)] * 2 + [(7, size, "response", None)] * 3 + [(8, size, "revisit", 7)] * 2 + [(9, 3, "response", None)]
+
+
 def test_segments_can_lie_anywhere(spark, tmp_path):
     payload = b"0123456789" * 300
     digest = warc.base32_sha1(payload)
