@@ -10,6 +10,10 @@ judged apart from all others. Spark rounds over the whole corpus (see ``blocks``
    minimizer, where one suffix array of all its distinct fragments is made by two-stage sorting and its
    common prefixes tell, for each string, the smallest document that it starts in.
 
+A minimizer with ``HOT`` fragments or more, as at the borders of a passage that many documents have, would make
+one large suffix array. Its strings are sent one by one instead, each distinct one of a block once, to the bucket of
+a hash of the whole string.
+
 Two-stage sorting: suffixes smaller than their successor are sorted directly; the others are induced by
 scanning the buckets of first bytes in order, each putting the predecessors of its suffixes at the front
 of their own bucket. Then the common prefixes of neighbours are computed.
@@ -24,6 +28,7 @@ an empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import partial
 from hashlib import blake2b, sha256
 
 import numpy as np
@@ -31,8 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .blocks import Blocks, Replies, blocks
-from .hashing import ODD, mixed
-from .recompression import answer_chains as answer_several
+from .hashing import ODD, joined, mixed
 from .recompression import answer_copies, bits, by_bucket, flags
 
 LENGTH, GRAM = 50, 24
@@ -45,6 +49,8 @@ DEPTH = 56
 PART = 1 << 20
 #: Parts of the name space in a bucket; strings with one minimizer are in one of them.
 SLICES = 256
+#: Fragments of one minimizer, in all blocks, from which its strings are sent one by one.
+HOT = 1 << 15
 
 
 def gram_names(x: np.ndarray) -> np.ndarray:
@@ -62,6 +68,26 @@ def gram_names(x: np.ndarray) -> np.ndarray:
     return mixed(parts[16][:n] * ODD + parts[8][16:16 + n]) if n > 0 else np.zeros(0, np.uint64)
 
 
+def string_names(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit name for each string of LENGTH bytes that starts at ``at``, a part at a time."""
+    out = np.empty(len(at), dtype=np.uint64)
+    strings = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
+    for a in range(0, len(at), 1 << 16):
+        rows = strings[at[a:a + (1 << 16)]]
+        name = np.zeros(len(rows), np.uint64)
+        for k in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+            name = joined(name, np.ascontiguousarray(rows[:, k:k + 8]).view("<u8").ravel())
+        out[a:a + len(rows)] = name
+    return out
+
+
+def unlike(text: np.ndarray, at: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which strings of LENGTH bytes that start at ``at`` and ``other`` differ, a part at a time."""
+    strings = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
+    return np.concatenate([np.zeros(0, dtype=bool), *(
+        (strings[at[a:a + (1 << 16)]] != strings[other[a:a + (1 << 16)]]).any(1) for a in range(0, len(at), 1 << 16))])
+
+
 def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours."""
     have, least = 1, h
@@ -141,28 +167,48 @@ class Bytes:
         self.at, self.count, self.key, self.doc = (np.concatenate(x) for x in zip(*found))
 
     def keys(self):
-        """Places among the distinct minimizers, these, and which occur in two texts here."""
-        names, place = np.unique(self.key >> np.uint64(16), return_inverse=True)
+        """Places among the distinct minimizers, these, which occur in two texts here, and how many fragments each has."""
+        names, place, held = np.unique(self.key >> np.uint64(16), return_inverse=True, return_counts=True)
         low = np.full(len(names), len(self.rows), dtype=np.int64)
         high = np.full(len(names), -1, dtype=np.int64)
         np.minimum.at(low, place, self.doc)
         np.maximum.at(high, place, self.doc)
-        return place, names, low != high
+        return place, names, low != high, held
 
     def fragments(self, replies: Replies, buckets: int):
-        """Fragments with a minimizer of several texts: their runs, and the distinct ones by bucket.
+        """Fragments with a minimizer of several texts, and the distinct ones by bucket.
 
-        Distinct fragments are rows of bytes in the order of (minimizer, bytes), filled with 255, which
-        UTF-8 never has; ``least`` is the document here with the smallest id that has one.
+        The former are (at, count, doc), first string, number of strings and text of each, and the place of each among
+        the latter; strings of hot minimizers are fragments by themselves. Distinct fragments are rows of bytes in the
+        order of their keys, filled with 255, which UTF-8 never has; a key is the minimizer, or the name of the string
+        if that is hot. ``least`` is the document here with the smallest id that has the fragment.
         """
-        place, names, several = self.keys()
+        place, names, several, _ = self.keys()
+        hot = np.zeros(len(names), dtype=bool)
         at = by_bucket(names << np.uint64(16), buckets)
         for k in range(buckets):
             if at[k] < at[k + 1]:
-                several[at[k]:at[k + 1]] |= flags(replies["minimizers", k], at[k + 1] - at[k])
-        run = np.flatnonzero(several[place])
+                n = at[k + 1] - at[k]
+                reply = replies["minimizers", k]
+                several[at[k]:at[k + 1]] |= flags(reply[:-(-n // 8)], n)
+                hot[at[k]:at[k + 1]] = flags(reply[-(-n // 8):], n)
+        run, cut = np.flatnonzero((several & ~hot)[place]), np.flatnonzero((several & hot)[place])
+        whole = self._whole(run)
+        if not len(cut):
+            return (self.at[run], self.count[run], self.doc[run]), *whole
+        pieces, *single = self._strings(cut)
+        key = np.concatenate([whole[2], single[2]])
+        order = np.argsort(key, kind="stable")
+        back = np.empty(len(order), dtype=np.int64)
+        back[order] = np.arange(len(order))
+        place = back[np.concatenate([whole[0], single[0] + len(whole[2])])]
+        pieces = tuple(np.concatenate([x[run], y]) for x, y in zip((self.at, self.count, self.doc), pieces))
+        return pieces, place, np.concatenate([whole[1], single[1]])[order], key[order], np.concatenate([whole[3], single[3]])[order]
+
+    def _whole(self, run: np.ndarray):
+        """Places, distinct rows, keys and least documents of the runs' fragments."""
         if not len(run):
-            return run, run, np.zeros((0, WIDEST), np.uint8), np.zeros(0, np.uint64), run
+            return run, np.zeros((0, WIDEST), np.uint8), np.zeros(0, np.uint64), run
         room = np.append(self.bytes, np.full(WIDEST, 255, np.uint8))
         rows = room[self.at[run][:, None] + np.arange(WIDEST)]
         rows[np.arange(WIDEST)[None, :] >= (self.count[run] + LENGTH - 1)[:, None]] = 255
@@ -176,7 +222,26 @@ class Bytes:
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.cumsum(new) - 1
         first = order[new]
-        return run, place, rows[first], key[first], self.doc[run][first]
+        return place, rows[first], key[first], self.doc[run][first]
+
+    def _strings(self, run: np.ndarray):
+        """The runs' strings as (at, count, doc), and what _whole() gives for them."""
+        times = self.count[run]
+        at = np.repeat(self.at[run], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        doc = np.repeat(self.doc[run], times)
+        key = string_names(self.bytes, at)
+        order = np.lexsort((self.doc_ids[doc], key))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        # Different strings of one name stay apart.
+        same = np.flatnonzero(~new)
+        new[same] = unlike(self.bytes, at[order[same]], at[order[same - 1]])
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.cumsum(new) - 1
+        first = order[new]
+        rows = np.full((len(first), WIDEST), 255, np.uint8)
+        rows[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(self.bytes, LENGTH)[at[first]]
+        return (at, np.ones(len(at), np.int64), doc), place, rows, key[first], doc[first]
 
 
 def ask_copies(docs: pa.Table, replies: Replies, buckets: int) -> list[bytes | None]:
@@ -190,10 +255,47 @@ def ask_copies(docs: pa.Table, replies: Replies, buckets: int) -> list[bytes | N
 
 
 def ask_minimizers(docs: pa.Table, replies: Replies, buckets: int) -> list[bytes | None]:
-    _, names, several = Bytes(docs, replies, buckets).keys()
+    """Minimizers as six bytes, which occur in two texts, which have several fragments, and how many."""
+    _, names, several, held = Bytes(docs, replies, buckets).keys()
     at = by_bucket(names << np.uint64(16), buckets)
     short = names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    return [short[a:b].tobytes() + bits(several[a:b]) if a < b else None for a, b in zip(at, at[1:])]
+    more = held > 1
+    return [
+        np.int64(b - a).tobytes() + short[a:b].tobytes() + bits(several[a:b]) + bits(more[a:b]) + held[a:b][more[a:b]].astype(np.uint32).tobytes()
+        if a < b else None for a, b in zip(at, at[1:])
+    ]
+
+
+def answer_minimizers(messages: list[bytes], hot: int = HOT) -> list[bytes]:
+    """Per minimizer whether two texts have it, and then whether it has ``hot`` fragments or more."""
+    names, several, held, sizes = [], [], [], []
+    for m in messages:
+        n = int(np.frombuffer(m, np.int64, 1)[0])
+        wide = np.zeros((n, 8), dtype=np.uint8)
+        wide[:, :6] = np.frombuffer(m, np.uint8, 6 * n, 8).reshape(n, 6)
+        names.append(wide.view("<u8").ravel())
+        at = 8 + 6 * n
+        several.append(flags(m[at:at + -(-n // 8)], n))
+        at += -(-n // 8)
+        more = flags(m[at:at + -(-n // 8)], n)
+        count = np.ones(n, np.uint32)
+        count[more] = np.frombuffer(m, np.uint32, int(more.sum()), at + -(-n // 8))
+        held.append(count)
+        sizes.append(n)
+    names, several, held = np.concatenate(names), np.concatenate(several), np.concatenate(held)
+    order = np.argsort(names)
+    x = names[order]
+    new = np.append(True, x[1:] != x[:-1])
+    found = several[order]
+    found[1:] |= ~new[1:]
+    found[:-1] |= ~new[1:]
+    starts = np.flatnonzero(new)
+    large = np.add.reduceat(held[order], starts, dtype=np.int64) >= hot
+    out, heavy = np.empty(len(names), dtype=bool), np.empty(len(names), dtype=bool)
+    out[order] = found
+    heavy[order] = np.repeat(large, np.diff(np.append(starts, len(x))))
+    ends = np.cumsum(sizes)
+    return [bits(out[e - n:e]) + bits(heavy[e - n:e]) for e, n in zip(ends, sizes)]
 
 
 def ask_fragments(docs: pa.Table, replies: Replies, buckets: int) -> list[bytes | None]:
@@ -377,20 +479,20 @@ def removed_bytes(block: Bytes, replies: Replies, buckets: int) -> list[np.ndarr
     for k, copy in enumerate(block.copy):
         if copy:
             out[k] = np.ones(len(block.texts[k]), dtype=bool)
-    run, place, rows, key, least = block.fragments(replies, buckets)
+    (begin, count, doc), place, rows, key, least = block.fragments(replies, buckets)
     masks = np.zeros(len(rows), dtype=np.uint32)
     at = by_bucket(key, buckets)
     for k in range(buckets):
         if at[k] < at[k + 1]:
             masks[at[k]:at[k + 1]] = np.frombuffer(replies["fragments", k], np.uint32)
     change = np.zeros(len(block.bytes) + 1, dtype=np.int32)
-    if len(run):
+    if len(begin):
         # A document that shares a fragment with a smaller one of this block loses all its strings.
-        here = block.doc_ids[block.doc[run]] > block.doc_ids[least][place]
-        every = (np.uint64(1) << block.count[run].astype(np.uint64)) - np.uint64(1)
+        here = block.doc_ids[doc] > block.doc_ids[least][place]
+        every = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
         mask = np.where(here, every, masks[place].astype(np.uint64))
         for j in range(RUN):
-            start = block.at[run][(mask >> np.uint64(j) & np.uint64(1)) == 1] + j
+            start = begin[(mask >> np.uint64(j) & np.uint64(1)) == 1] + j
             np.add.at(change, start, 1)
             np.add.at(change, start + LENGTH, -1)
     covered = np.cumsum(change)[:-1] > 0
@@ -401,16 +503,16 @@ def removed_bytes(block: Bytes, replies: Replies, buckets: int) -> list[np.ndarr
     return out
 
 
-def answered(docs: DataFrame) -> Blocks:
+def answered(docs: DataFrame, hot: int = HOT) -> Blocks:
     found = blocks(docs.select("doc_id", "text")).exchange("copies", ask_copies, answer_copies)
-    found = found.exchange("minimizers", ask_minimizers, answer_several)
+    found = found.exchange("minimizers", ask_minimizers, partial(answer_minimizers, hot=hot))
     return found.exchange("fragments", ask_fragments, answer_fragments)
 
 
-def spans(docs: DataFrame, keep: bool = False) -> DataFrame:
+def spans(docs: DataFrame, keep: bool = False, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, spans, kept]) for every row of ``docs``.
 
-    With ``keep``, also the removed spans (start, end) and the bytes that are left.
+    With ``keep``, also the removed spans (start, end) and the bytes that are left. ``hot`` is as in HOT.
     """
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -435,4 +537,4 @@ def spans(docs: DataFrame, keep: bool = False) -> DataFrame:
         return pa.table(columns)
 
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return answered(docs).finish(rows, schema + (", spans array<array<long>>, kept binary" if keep else ""))
+    return answered(docs, hot).finish(rows, schema + (", spans array<array<long>>, kept binary" if keep else ""))

@@ -1,7 +1,9 @@
 import hashlib
 from collections import Counter
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from seriema.llm import recompression, suffixes
@@ -51,6 +53,40 @@ def test_bytes_as_by_brute_force(spark, seed):
     assert Counter(tuple(r) for r in got) == want
 
 
+@pytest.mark.parametrize("hot", [1, 6])
+def test_strings_of_hot_minimizers_as_by_brute_force(spark, hot):
+    rows = [(i, t) for i, t in corpus(3) if t is None or len(t) < 100_000] + [(90, "ab" * 300), (91, "ab" * 100 + "é" * 60), (92, "é" * 60)]
+    want = Counter()
+    for i, u, g in brute(rows, 50, lambda t: (t or "").encode()):
+        edges = np.diff(np.concatenate([[0], g.astype(int), [0]]))
+        want[(i, len(u), int(g.sum()), int((edges == 1).sum()), hashlib.sha256(bytes(b for b, x in zip(u, g) if not x)).hexdigest())] += 1
+    got = suffixes.spans(frame(spark, rows, clashes=True), hot=hot).collect()
+    assert Counter(tuple(r) for r in got) == want
+    assert sum(r.n_removed for r in got) > 500
+
+
+def test_fragments_of_a_shared_phrase_have_many_keys():
+    rng = np.random.default_rng(4)
+    phrase, buckets = "a phrase in every one of the texts", 16
+    texts = ["".join(map(chr, rng.integers(97, 123, 40))) + phrase + "".join(map(chr, rng.integers(97, 123, 40))) for _ in range(4_000)]
+    docs = [pa.table({"doc_id": pa.array(range(k, 4_000, 4)), "text": texts[k::4]}) for k in range(4)]
+
+    def largest(hot):
+        replies = [{} for _ in docs]
+        for phase, ask, answer in (("copies", suffixes.ask_copies, recompression.answer_copies),
+                                   ("minimizers", suffixes.ask_minimizers, partial(suffixes.answer_minimizers, hot=hot))):
+            sent = [ask(d, r, buckets) for d, r in zip(docs, replies)]
+            for k in range(buckets):
+                to = [j for j, m in enumerate(sent) if m[k] is not None]
+                for j, reply in zip(to, answer([sent[j][k] for j in to]) if to else []):
+                    replies[j][phase, k] = reply
+        keys = np.concatenate([suffixes.Bytes(d, r, buckets).fragments(r, buckets)[3] for d, r in zip(docs, replies)])
+        return int(np.unique(keys, return_counts=True)[1].max())
+
+    # Fragments with one key are sorted together: those around the phrase are different ones in each text.
+    assert largest(1 << 30) > 300 and largest(100) < 100
+
+
 def test_spans_and_kept_bytes(spark):
     shared = "a passage that is long enough to be removed from the second one"
     rows = [(1, shared + " one"), (2, "two: " + shared), (3, None)]
