@@ -38,6 +38,8 @@ PER_CELL, MOST_WORDS = 64, 4_096
 RECALL, TRIALS = 0.998, 3_000
 RESIDENTS, VISITORS = 2_048, 8_192
 ROUNDS, SEED = 12, 11
+#: Vectors whose distances to all words are held at once, and their places in the order of cells.
+TOGETHER, PLACES = 512, 1 << 22
 
 
 def nodes_of(vectors: DataFrame) -> DataFrame:
@@ -70,11 +72,16 @@ def distances(x: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (x**2).sum(1)[:, None] - 2 * x @ words.T + (words**2).sum(1)[None, :]
 
 
+def nearest(x: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The nearest word of each vector, some vectors at a time."""
+    return np.concatenate([distances(x[a:a + TOGETHER], words).argmin(1) for a in range(0, max(1, len(x)), TOGETHER)])
+
+
 def codebook(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """k-means; a word that loses all its vectors moves to a random one."""
     words = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(ROUNDS):
-        near = distances(x, words).argmin(1)
+        near = nearest(x, words)
         n = np.bincount(near, minlength=len(words))
         total = np.zeros_like(words)
         np.add.at(total, near, x)
@@ -93,15 +100,25 @@ class Index:
         noise -= (noise * x).sum(1)[:, None] * x
         norm = np.linalg.norm(noise, axis=1)[:, None]
         y = cosine * x + math.sqrt(1 - cosine**2) * np.where(norm > 0, noise / np.where(norm > 0, norm, 1), 0)
-        # The rank of the neighbour's cell in the vector's order: the smaller of both ways would be less.
-        order = self.cells(x)
-        rank = (order == self.home(y)[:, None]).argmax(1)
-        self.visits = int(np.quantile(rank, recall, method="higher")) + 1
+        self.visits = int(np.quantile(self.places(x, y), recall, method="higher"))
+
+    def places(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The place, from 1, of the cell of each ``y`` in the order of cells of ``x``; equal sums count as before it.
+
+        The smaller of both ways would be less.
+        """
+        out = np.empty(len(x), dtype=np.int64)
+        home = self.home(y)
+        for a in range(0, len(x), TOGETHER):
+            da, db = distances(x[a:a + TOGETHER, :self.half], self.books[0]), distances(x[a:a + TOGETHER, self.half:], self.books[1])
+            for k in range(len(da)):
+                i, j = divmod(int(home[a + k]), len(self.books[1]))
+                # Sums are counted by sorted halves, so that no list of all cells is made.
+                out[a + k] = np.searchsorted(np.sort(db[k]), da[k, i] + db[k, j] - da[k] + 1e-12, side="right").sum()
+        return out
 
     def home(self, x: np.ndarray) -> np.ndarray:
-        a = distances(x[:, :self.half], self.books[0]).argmin(1)
-        b = distances(x[:, self.half:], self.books[1]).argmin(1)
-        return a * len(self.books[1]) + b
+        return nearest(x[:, :self.half], self.books[0]) * len(self.books[1]) + nearest(x[:, self.half:], self.books[1])
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         """The first ``visits`` cells of each vector in multi-sequence order.
@@ -113,14 +130,15 @@ class Index:
         i, j = np.meshgrid(np.arange(1, ka + 1), np.arange(1, kb + 1), indexing="ij")
         grid = np.argwhere((i * j <= self.visits)) if ka * kb <= 1 << 22 else np.array(
             [(a, b) for a in range(min(ka, self.visits)) for b in range(min(kb, self.visits // (a + 1)))])
-        da, db = distances(x[:, :self.half], self.books[0]), distances(x[:, self.half:], self.books[1])
-        pa_, pb_ = da.argsort(1, kind="stable"), db.argsort(1, kind="stable")
         out = np.empty((len(x), min(self.visits, ka * kb)), dtype=np.int64)
-        for a in range(0, len(x), 512):
-            rows = np.arange(a, min(a + 512, len(x)))[:, None]
-            wa, wb = pa_[rows, grid[None, :, 0]], pb_[rows, grid[None, :, 1]]
+        step = max(1, min(TOGETHER, PLACES // len(grid)))
+        for at in range(0, len(x), step):
+            part = x[at:at + step]
+            da, db = distances(part[:, :self.half], self.books[0]), distances(part[:, self.half:], self.books[1])
+            rows = np.arange(len(part))[:, None]
+            wa, wb = da.argsort(1, kind="stable")[:, grid[:, 0]], db.argsort(1, kind="stable")[:, grid[:, 1]]
             order = (da[rows, wa] + db[rows, wb]).argsort(1, kind="stable")[:, :out.shape[1]]
-            out[rows[:, 0]] = np.take_along_axis(wa * kb + wb, order, 1)
+            out[at:at + step] = np.take_along_axis(wa * kb + wb, order, 1)
         return out
 
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import types as T
 
@@ -59,6 +61,21 @@ def test_visits_are_the_nearest_cells():
         assert np.allclose(np.sort(total)[:11], total[cells])
 
 
+def test_visits_are_measured_without_a_list_of_all_cells():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3_000, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tracemalloc.start()
+    index = vectors.Index(x, 120, 0.998, 0.95)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # the order of 14,400 cells for 3,000 vectors takes 346 MB
+    y = x + 0.1 * rng.normal(size=x.shape)
+    places, home = index.places(x[:200], y[:200]), index.home(y[:200])
+    index.visits = len(index.books[0]) * len(index.books[1])
+    assert (places == (index.cells(x[:200]) == home[:, None]).argmax(1) + 1).all()
+
+
 def test_empty_and_unusable(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, [0.0], "x")], SCHEMA)
     assert sorted(tuple(r) for r in vectors.near_vectors(df).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
