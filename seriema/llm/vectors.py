@@ -10,10 +10,12 @@ A pair is met in the later of its two cells, so a vector only visits cells behin
 is met at most once. Equal vectors are one node. Tasks compare at most ``RESIDENTS`` by ``VISITORS`` vectors;
 cells with more are split. A task returns link counts and a spanning forest of the links, never the pairs.
 
-The codebooks are learned from at most ``SAMPLE`` vectors; all are indexed.
+The codebooks are learned from at most ``SAMPLE`` vectors of a length; all are indexed.
 
-Defined cases: vectors that are NULL, zero, of another length than the longest-standing one (that of the
-smallest id), or hold NULL or non-finite components are linked with nothing and stay. Repeated rows and equal
+Every length of vectors has an index of its own, and vectors of different lengths are never linked.
+
+Defined cases: vectors that are NULL, zero, or hold NULL or non-finite components are linked with nothing and
+stay. Repeated rows and equal
 vectors are linked with each other. A NULL id never names a component unless all members have none. An
 empty table gives an empty result. Columns: ``vec_id, n_links, component_id, kept``; others do not take part.
 """
@@ -142,25 +144,34 @@ class Index:
         return out
 
 
-def entries(nodes: DataFrame, index: Index) -> DataFrame:
-    """(cell, node, unit, copies, resident): every node at home and in the cells it visits behind that."""
+def entries(nodes: DataFrame, indexes: dict[int, Index]) -> DataFrame:
+    """(cell, node, unit, copies, resident): every node at home and in the cells it visits behind that.
+
+    ``indexes`` is by the bytes of a unit vector; the cells of each are numbered after those of the ones before.
+    """
+    sizes = [len(i.books[0]) * len(i.books[1]) for i in indexes.values()]
+    bases = dict(zip(indexes, np.cumsum([0, *sizes]).tolist()))
+
     def visit(batches):
-        for batch in batches:
-            units = batch.column("unit").to_pylist()
-            if not units:
-                continue
-            x = matrix(units)
-            home, cells = index.home(x), index.cells(x)
-            behind = cells > home[:, None]
-            row = np.concatenate([np.arange(len(x)), np.nonzero(behind)[0]])
-            cell = np.concatenate([home, cells[behind]])
-            take = pa.array(row)
-            for a in range(0, len(row), 4_096):
-                part = take[a:a + 4_096]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(cell[a:a + 4_096]), *(batch.column(c).take(part) for c in ("node", "unit", "copies")),
-                    pa.array(np.arange(a, a + len(part)) < len(x)),
-                ], names=["cell", "node", "unit", "copies", "resident"])
+        for whole in batches:
+            lengths = np.array([len(u) for u in whole.column("unit").to_pylist()], dtype=np.int64)
+            for n in np.unique(lengths).tolist():
+                if n in indexes:
+                    yield from visited(whole.take(pa.array(np.flatnonzero(lengths == n))), indexes[n], bases[n])
+
+    def visited(batch, index, base):
+        x = matrix(batch.column("unit").to_pylist())
+        home, cells = index.home(x), index.cells(x)
+        behind = cells > home[:, None]
+        row = np.concatenate([np.arange(len(x)), np.nonzero(behind)[0]])
+        cell = np.concatenate([home, cells[behind]]) + base
+        take = pa.array(row)
+        for a in range(0, len(row), 4_096):
+            part = take[a:a + 4_096]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(cell[a:a + 4_096]), *(batch.column(c).take(part) for c in ("node", "unit", "copies")),
+                pa.array(np.arange(a, a + len(part)) < len(x)),
+            ], names=["cell", "node", "unit", "copies", "resident"])
 
     return nodes.select("node", "unit", "copies").mapInArrow(visit, "cell long, node binary, unit binary, copies long, resident boolean")
 
@@ -237,17 +248,18 @@ def groups(found: DataFrame) -> DataFrame:
 def near_vectors(vectors: DataFrame, *, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     rows = stage(nodes_of(vectors), "vector-rows")
-    size = rows.where("unit IS NOT NULL").agg(F.min_by(F.length("unit"), "vec_id"), F.min(F.length("unit"))).first()
-    width = size[0] if size[0] is not None else size[1]
+    usable = rows.where("unit IS NOT NULL")
     plain = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if width is None:
+    if usable.isEmpty():
         return plain
-    usable = rows.where(F.length("unit") == width)
     nodes = stage(usable.groupBy("node").agg(F.first("unit").alias("unit"), F.count("*").alias("copies"), F.min("vec_id").alias("least")), "vector-nodes")
-    sample = matrix([bytes(r[0]) for r in nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("unit").collect()])
-    words = min(MOST_WORDS, max(1, math.ceil(math.sqrt(nodes.count() / PER_CELL))))
-    index = Index(sample, words, recall, cosine)
-    found = groups(stage(entries(nodes, index), "vector-entries")).groupBy("cell", "rpart", "vpart").applyInArrow(
+    indexes = {}
+    # One row per length; a vector that is the only one of its length has no other to meet.
+    for n, count in nodes.groupBy(F.length("unit")).count().where("count > 1").collect():
+        sample = nodes.where(F.length("unit") == n).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("unit").collect()
+        words = min(MOST_WORDS, max(1, math.ceil(math.sqrt(count / PER_CELL))))
+        indexes[n] = Index(matrix([bytes(r[0]) for r in sample]), words, recall, cosine)
+    found = groups(stage(entries(nodes, indexes), "vector-entries")).groupBy("cell", "rpart", "vpart").applyInArrow(
         compare(cosine), "node binary, other binary, links long")
     found = stage(found, "vector-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -49,6 +49,18 @@ def test_links_as_by_brute_force(spark, monkeypatch):
         assert sum((r.n_links, r.component_id) != want[r.vec_id] for r in got) <= 0.02 * len(got)
 
 
+def test_every_length_is_linked_with_its_own(spark):
+    short, long = near_rows(120, 8, 5), near_rows(120, 24, 6)
+    rows = [(0, [1.0, 2.0, 3.0])] + [(1 + i, v) for i, v in long] + [(500 + i, v) for i, v in short]
+    want = {0: (0, 0)} | brute(rows[1:121]) | brute(rows[121:])
+    got = vectors.near_vectors(spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)).collect()
+    assert len(got) == len(rows) and all(r.n_links <= want[r.vec_id][0] for r in got)
+    for group in (rows[1:121], rows[121:]):
+        true = sum(want[i][0] for i, _ in group)
+        assert true > 100 and sum(r.n_links for r in got if r.vec_id in dict(group)) >= 0.98 * true
+    assert sum((r.n_links, r.component_id) != want[r.vec_id] for r in got) <= 0.02 * len(got)
+
+
 def test_visits_are_the_nearest_cells():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, 8))
