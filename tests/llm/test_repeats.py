@@ -53,6 +53,24 @@ def test_bytes_as_by_brute_force(spark, seed):
     assert Counter(tuple(r) for r in got) == want
 
 
+def test_bytes_of_very_long_texts_as_by_brute_force(spark):
+    rows = corpus(1) + [(84, "y" * 150_000 + "z" * 60), (85, "ab" * 70_000)]
+    cut = [(i, (t or "").encode()) for i, t in rows]
+    names = [[hash(u[k:k + 50]) for k in range(len(u) - 49)] for _, u in cut]
+    first = {}
+    for (i, _), found in zip(cut, names):
+        for h in found if i is not None else ():
+            first[h] = min(i, first.get(h, i))
+    want = Counter()
+    for (i, u), found in zip(cut, names):
+        g = cover(len(u), 50, [k for k, h in enumerate(found) if i is not None and first[h] < i])
+        edges = np.diff(np.concatenate([[0], g.astype(int), [0]]))
+        want[(i, len(u), int(g.sum()), int((edges == 1).sum()), hashlib.sha256(np.frombuffer(u, np.uint8)[~g].tobytes()).hexdigest())] += 1
+    for hot in (suffixes.HOT, 10):
+        got = suffixes.spans(frame(spark, rows, clashes=True), hot=hot).collect()
+        assert Counter(tuple(r) for r in got) == want
+
+
 @pytest.mark.parametrize("hot", [1, 6])
 def test_strings_of_hot_minimizers_as_by_brute_force(spark, hot):
     rows = [(i, t) for i, t in corpus(3) if t is None or len(t) < 100_000] + [(90, "ab" * 300), (91, "ab" * 100 + "é" * 60), (92, "é" * 60)]
