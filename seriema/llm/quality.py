@@ -4,8 +4,9 @@ A byte is embedded in ``EMBED`` numbers. Filters over 8 bytes at every 4th byte
 chunks of 256 bytes that overlap by half and cover the whole text. The chunks' maxima are combined by
 their mean and their maximum over the text, and a small hidden layer turns them into one probability.
 
-Training uses at most ``SAMPLE`` labelled documents of at most ``TRAIN_BYTES`` bytes, those with the smallest
-hash of their id; scoring takes every text whole, whatever its length.
+Training uses labelled documents in the order of the hash of their id, at most ``SAMPLE`` and until they have
+``TRAIN_BYTES`` bytes in all. Of a text longer than ``LONGEST`` bytes it sees that many, in pieces spread evenly
+over the whole text. Scoring takes every text whole, whatever its length.
 
 Defined cases: a NULL or empty text is scored like a chunk of padding; repeated rows get scores equal but for rounding;
 NULL ids are scored, never learned from, and not held out; labels that are NULL or contradict each other
@@ -22,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Documents to learn from, and their bytes, at most.
-SAMPLE, TRAIN_BYTES = 2_000, 8_192
+#: Documents to learn from, their bytes in all, and those of one, at most; and of a piece of a longer one.
+SAMPLE, TRAIN_BYTES, LONGEST, PIECE = 2_000, 16 << 20, 1 << 18, 1_024
 EMBED, STEP, FILTERS, HIDDEN = 8, 4, 24, 16
 #: Filters are pooled over half chunks of so many bytes; a chunk is two neighbours.
 HOP = 128
@@ -134,9 +135,14 @@ def learn(texts: list[bytes], labels: np.ndarray) -> Params:
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             rows = order[at:at + BATCH]
-            buffer, hops = lay_out([texts[i] for i in rows])
-            out, state = forward(p, buffer, hops)
-            g = gradient(p, buffer, state, (out - labels[rows]) / len(rows))
+            # The gradient is a sum over texts, so a batch of long ones is taken in parts.
+            part = np.cumsum([len(texts[i]) for i in rows]) // LONGEST
+            g: Params = {}
+            for some in np.split(rows, np.flatnonzero(np.diff(part)) + 1):
+                buffer, hops = lay_out([texts[i] for i in some])
+                out, state = forward(p, buffer, hops)
+                for k, x in gradient(p, buffer, state, (out - labels[some]) / len(rows)).items():
+                    g[k] = g[k] + x if k in g else x
             step += 1
             rate = RATE * (1 - 0.9 * epoch / epochs)
             for k in p:
@@ -151,11 +157,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Params | float:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     one = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     one = one.where("quality = most").select("doc_id", "quality")
-    # Twice the sample, as some texts are too long; at most so many pairs of numbers are broadcast.
+    # Twice the sample, as some may have no text; at most so many pairs of numbers are broadcast.
     ids = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * SAMPLE)
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", body.alias("body")).where(F.length("body") <= TRAIN_BYTES).join(F.broadcast(ids), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "body").limit(SAMPLE).collect()
+    rows = docs.select("doc_id", body.alias("body")).join(F.broadcast(ids), "doc_id")
+    pieces = LONGEST // PIECE
+    spread = F.expr(f"aggregate(sequence(0, {pieces - 1}), X'', (a, k) -> concat(a, substring("
+                    f"body, cast(k * (length(body) - {PIECE}L) div {pieces - 1} as int) + 1, {PIECE})))")
+    rows = rows.withColumn("body", F.when(F.length("body") > LONGEST, spread).otherwise(F.col("body")))
+    # Lengths first, so that no more texts reach the driver than fit the bytes.
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.length("body"), F.col("body")]
+    sizes = rows.orderBy(*order).limit(SAMPLE).select(F.length("body").alias("n")).collect()
+    fit = int((np.cumsum([r["n"] for r in sizes]) <= TRAIN_BYTES).sum()) if sizes else 0
+    rows = rows.orderBy(*order).limit(fit).collect()
     y = np.array([r["quality"] for r in rows], dtype=float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 0.5

@@ -26,6 +26,15 @@ def test_quality_on_the_held_out_third(spark, tables):
     assert all(again[r.text] == pytest.approx(r.score, abs=1e-5) for r in odd)
 
 
+def test_long_texts_are_learned_from(spark):
+    texts = [(k, ("good words " if k % 2 else "bad luck ") * (40_000 if k < 4 else 1_200)) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id long, quality int")
+    params = quality.train(frame(spark, texts), labels)
+    assert not isinstance(params, float)
+    scores = {r.doc_id: r.score for r in quality.score(frame(spark, texts), params).collect()}
+    assert all((scores[k] > 0.5) == (k % 2 == 1) for k, _ in texts)
+
+
 def test_quality_gradient():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in quality.start_params(rng).items()}
