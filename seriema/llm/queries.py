@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, stage
-from . import minhash, mixing, packing, quality, recompression, rules, suffixes, toxicity, vectors, warc
+from ..session import constant_frame, scratch_path, stage
+from . import chat, codes, minhash, mixing, packing, periods, quality, recompression, rules, suffixes, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -225,3 +226,82 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector at a cosine of 0.95."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ESCAPED_SQL = "replace(replace(replace({}, '\\', '\\s'), '<turn', '\\lturn'), '</turn', '\\l/turn')"
+CHAT_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length({ESCAPED_SQL.format("role")}) + length({ESCAPED_SQL.format("text")})
+           + length(role) - length(replace(role, '>', '')) + {len(chat.OPEN + chat.CLOSE + chat.END)})::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query(CHAT_SQL)
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns and trainable text of every conversation, read back from its examples."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+    planted = constant_frame(spark, given.columns, [(-7, 0, "user", text), (-7, 1, "assistant", text)], kinds)
+    return chat.digests(chat.examples(given.unionByName(planted)))
+
+
+def _codes_sql(rounds: int = codes.ROUNDS) -> str:
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // {codes.PARTS}) + 1:(p + 1) * (len(v) // {codes.PARTS})] AS x FROM kept, range({codes.PARTS}) r(p)
+), book0 AS MATERIALIZED (
+  SELECT p, rid - 1 AS e, x AS y FROM parts WHERE rid <= {codes.ENTRIES}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f""", near{r} AS MATERIALIZED (
+  SELECT rid, p, min({{'far': list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e}}) AS best
+  FROM parts JOIN book{r} USING (p) GROUP BY rid, p
+)""")
+        if r < rounds:
+            steps.append(f""", sums{r} AS MATERIALIZED (
+  SELECT p, e, k, sum(c)::BIGINT AS s, count(*) AS n FROM (
+    SELECT p, best.e AS e, unnest(x) AS c, generate_subscripts(x, 1) AS k FROM parts JOIN near{r} USING (rid, p)
+  ) GROUP BY p, e, k
+), book{r + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m, y) AS y FROM book{r} LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS m FROM sums{r} GROUP BY p, e
+  ) USING (p, e)
+)""")
+    steps.append(f""", coded AS (
+  SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.far)::BIGINT AS error FROM near{rounds} GROUP BY rid
+), totals AS (
+  SELECT label, sum(error)::BIGINT AS label_error FROM coded JOIN kept USING (rid) GROUP BY label
+)
+SELECT vec_id, code, error, label_error,
+       sha256((SELECT string_agg(array_to_string(y, ','), ',' ORDER BY p, e) FROM book{rounds})) AS codebooks_sha256
+FROM coded JOIN kept USING (rid) JOIN totals t ON t.label IS NOT DISTINCT FROM kept.label
+""")
+    return "".join(steps)
+
+
+CODES_SQL = _codes_sql()
+
+
+@query(CODES_SQL)
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector, its error and that of its label, and the digest of the codebooks."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, one in ten of which is made periodic, and the digest of what stays without their repeats."""
+    return periods.digests(table(spark, sf_dir, "documents"), periods.seeded_period)
