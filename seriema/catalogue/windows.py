@@ -16,7 +16,6 @@ from .inputs import (
     MONTHLY_SQL,
     OBSERVATIONS_SQL,
     RAW,
-    chunk_count,
     daily,
     events,
     monthly,
@@ -63,7 +62,7 @@ SELECT k, date, t, round((f / nullif(lag(f, 3) OVER w, 0) - 1) * 100, 6) AS chan
 FROM p WINDOW w AS (PARTITION BY k ORDER BY date, t)""")
 def pct_change_raw_rows(spark, path):
     df = observations(spark, path).withColumn("value", F.when(F.col("t") % 5 != 0, F.col("value")))
-    out = measure(df, RAW, w.percent_change(3, "change_pct", 100), chunks=chunk_count(spark))
+    out = measure(df, RAW, w.percent_change(3, "change_pct", 100))
     return show(out, "change_pct", keep=("k", "date", "t"))
 
 
@@ -81,7 +80,7 @@ def difference(spark, path):
 SELECT event_type, ts, event_id, round(value - lag(value, 7) OVER w, 6) AS diff_7
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
 def difference_raw_rows(spark, path):
-    out = measure(events(spark, path), EVENTS, w.difference(7), chunks=chunk_count(spark))
+    out = measure(events(spark, path), EVENTS, w.difference(7))
     return show(out, "diff_7", keep=("event_type", "ts", "event_id"))
 
 
@@ -132,7 +131,7 @@ SELECT event_type, ts, event_id,
 FROM events
 WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 9 PRECEDING)""")
 def moving_average_raw_rows(spark, path):
-    out = measure(events(spark, path), EVENTS, w.moving_average(10), chunks=chunk_count(spark))
+    out = measure(events(spark, path), EVENTS, w.moving_average(10))
     return show(out, "moving_avg_10", keep=("event_type", "ts", "event_id"))
 
 
@@ -172,7 +171,7 @@ SELECT event_type, ts, event_id,
 FROM events
 WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 19 PRECEDING)""")
 def moving_std_raw_rows(spark, path):
-    out = measure(events(spark, path), EVENTS, w.moving_std(20), chunks=chunk_count(spark))
+    out = measure(events(spark, path), EVENTS, w.moving_std(20))
     return show(out, "volatility_20", keep=("event_type", "ts", "event_id"))
 
 
@@ -217,7 +216,7 @@ def cumulative_by_group(spark, path):
         "year": F.when(F.year("date") != 1996, F.year("date")),
         "value": F.when(F.col("t") % 5 != 0, F.col("value")),
     })
-    out = w.cumulative(df, RAW, group=("year",), chunks=chunk_count(spark))
+    out = w.cumulative(df, RAW, group=("year",))
     return show(out, "cumulative_value", digits=2, keep=("k", "date", "t"))
 
 
@@ -228,9 +227,7 @@ SELECT k, date, t, round(sum(value) OVER (ORDER BY date, t ROWS UNBOUNDED PRECED
 FROM obs""")
 def cumulative_global(spark, path):
     """One series over the whole table."""
-    out = w.cumulative(
-        observations(spark, path), Series(tie=("t",)), chunks=chunk_count(spark)
-    )
+    out = w.cumulative(observations(spark, path), Series(tie=("t",)))
     return show(out, "cumulative_value", digits=2, keep=("k", "date", "t"))
 
 
@@ -261,7 +258,7 @@ SELECT k, date, t, round(sum(value) OVER (PARTITION BY k, year(date) ORDER BY da
 FROM obs""")
 def year_to_date_sum(spark, path):
     """Rows of one day share the day's total, hence the raw rows."""
-    out = w.year_to_date_sum(observations(spark, path), RAW, chunks=chunk_count(spark))
+    out = w.year_to_date_sum(observations(spark, path), RAW)
     return show(out, "ytd_accumulated", digits=2, keep=("k", "date", "t"))
 
 
@@ -311,7 +308,7 @@ def financial_metrics_raw_rows(spark, path):
         "event_type", "ts", "event_id", value.alias("close"), (value * 1.25).alias("high"),
         (value * 0.75).alias("low"),
     )
-    out = w.financial_metrics(bars, EVENTS.but(value="close"), chunks=chunk_count(spark))
+    out = w.financial_metrics(bars, EVENTS.but(value="close"))
     return out.select(
         "event_type", "ts", "event_id", F.round("return_pct", 6).alias("return_pct"),
         F.round("volatility_20", 5).alias("volatility_20"),

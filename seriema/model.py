@@ -60,6 +60,21 @@ class Series:
         when = number(F.col(self.date)).cast("decimal(18,0)") * F.lit(Decimal(2**65))
         return (when + place).cast("decimal(38,0)")
 
+    def order_key(self, df: DataFrame) -> Column:
+        """One comparable column in the order of :meth:`order`, missing dates and ties last.
+
+        A date and a whole number become one decimal, as in :meth:`rank_key`.
+        """
+        number = {T.DateType: F.unix_date, T.TimestampType: F.unix_micros}.get(type(df.schema[self.date].dataType))
+        whole = len(self.tie) < 2 and all(isinstance(df.schema[c].dataType, T.IntegralType) for c in self.tie)
+        if number is None or not whole:
+            return F.struct(*(x for c in (self.date, *self.tie) for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))))
+        when = F.coalesce(number(F.col(self.date)).cast("decimal(18,0)"), F.lit(Decimal(10**18 - 1)).cast("decimal(18,0)"))
+        if not self.tie:
+            return when
+        place = F.coalesce(F.col(self.tie[0]).cast("decimal(20,0)") + F.lit(Decimal(2**63)), F.lit(Decimal(2**64)))
+        return (when * F.lit(Decimal(2**65)) + place).cast("decimal(38,0)")
+
     def but(self, **changes) -> "Series":
         return replace(self, **changes)
 

@@ -2,16 +2,23 @@
 
 A window partitioned by the series key sorts a whole series in one task. That is fine for a series
 with one row per calendar period, but not for raw observations, where one series may hold a third
-of all rows. Such frames are cut into chunks:
+of all rows. Such series are evaluated in two levels:
 
-1. Range-partition by (keys, date, tie) and stage the result with the partition number. Chunks are
-   of similar size whatever the key distribution, and a long series covers many of them in order.
-2. For the few series that cross a chunk border, find the last rows before each border (the halo)
-   and what the running values (sum, last non-null) were at those rows.
-3. Window by (keys, chunk) over the chunk's own rows plus its halo, then drop the halo rows.
+1. Every row belongs to a chunk of its series: the calendar unit (year, month, day, and below that for
+   instants) of its date. The coarsest unit of which no series has more than ``ROWS_PER_CHUNK`` rows is
+   taken; one aggregate over keys and dates tells. Rows are not moved or written for it.
+2. What a chunk needs from those before it comes from partial aggregates: totals and last values per chunk,
+   summed up over the chunks of a series, and for measures that look back further the last rows of
+   each chunk (the halo), which a group limit takes before the shuffle.
+3. Measures are evaluated by (keys, chunk) over the chunk's own rows behind its halo, whose rows are then
+   dropped. This is the only shuffle of whole rows.
+
+A series whose days (or seconds) hold more rows than that is cut by its rows instead: the frame is
+range-partitioned by (keys, date, tie) and staged with the partition number as its chunk.
 
 The results equal those of one window over the whole series. The order (date, tie) has to be unique
-within a series, as for any deterministic window.
+within a series, as for any deterministic window. The frame is read more than once, so it must give the
+same rows each time.
 """
 
 from __future__ import annotations
@@ -21,12 +28,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..model import Series
 from ..session import stage
 
-#: Rows of a chunk where no number of chunks is given; the frame is counted for it.
+#: Rows that a chunk has at most, where no number of chunks is given.
 ROWS_PER_CHUNK = 250_000
+#: Calendar units of chunks by type of date, each ladder from fine to coarse; the next one is only tried if
+#: no unit of the first fits.
+UNITS = {
+    T.DateType: (("day", "month", "year"),),
+    T.TimestampType: (("day", "month", "year"), ("second", "minute", "hour")),
+}
+#: The chunk of rows without a date, which come last.
+UNDATED = (1 << 62)
 CHUNK, HALO, FILLED, TOTAL = "_chunk", "_halo", "_filled", "_total"
 
 
@@ -92,19 +108,17 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
             chunks: int | None = None) -> DataFrame:
     """Add all measures with one shared window.
 
-    A series with a declared grain takes a plain keyed window; without one it is cut into chunks:
-    ``chunks`` of them, or one per ``ROWS_PER_CHUNK`` rows. These are written when this is called; use
-    ``session.workspace`` to have them deleted when the result is done.
+    A series with a declared grain takes a plain keyed window; without one it is evaluated by chunks:
+    calendar units that fit, or ``chunks`` cuts of the rows if that is given. Cuts are written when this is
+    called; use ``session.workspace`` to have them deleted when the result is done.
     """
     if not measures:
         return df
     if series.grain is not None:
         frame = Frame(series, chunked=False)
         return df.withColumns({m.column: m.build(frame) for m in measures})
-    reach = max(1, *(m.lookback for m in measures))
-    carries = any(m.carries for m in measures)
-    base = cut(df, series, chunks)
-    halo = _halos(base, series, reach, carries)
+    base = chunked(df, series, chunks)
+    halo = _halos(base, series, measures)
     own = base.withColumns({
         FILLED: F.lit(None).cast("double"), TOTAL: F.lit(None).cast("double"), HALO: F.lit(False),
     })
@@ -116,6 +130,41 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
     return built.filter(~F.col(HALO)).drop(CHUNK, HALO, FILLED, TOTAL)
 
 
+def chunked(df: DataFrame, series: Series, chunks: int | None = None) -> DataFrame:
+    """The frame with the number of its chunk, in the order of the series, in ``CHUNK``."""
+    unit = None if chunks else fitting_unit(df, series)
+    return df.withColumn(CHUNK, chunk_of(series, unit)) if unit else cut(df, series, chunks)
+
+
+def chunk_of(series: Series, unit: str) -> Column:
+    start = F.date_trunc(unit, series.date)
+    return F.coalesce(F.unix_seconds(start), F.lit(UNDATED)).cast("long")
+
+
+def fitting_unit(df: DataFrame, series: Series, rows: int | None = None) -> str | None:
+    """The coarsest calendar unit of which no series has more rows than that; None if there is none.
+
+    Counts per series and fine unit are added up to the coarser ones, so the frame is read once. One row
+    reaches the driver.
+    """
+    rows = rows or ROWS_PER_CHUNK
+    for units in UNITS.get(type(df.schema[series.date].dataType), ()):
+        start = lambda unit, of: F.date_trunc(unit, of).alias("_start")
+        counts = df.groupBy(*series.keys, start(units[0], series.date)).agg(F.count(F.lit(1)).alias("n"))
+        kept: list[str] = []
+        for finer, unit in zip(units, units[1:]):
+            most = [F.max(c).alias(c) for c in kept]
+            counts = counts.groupBy(*series.keys, start(unit, "_start")).agg(
+                F.sum("n").alias("_n"), F.max("n").alias(f"_{finer}"), *most
+            ).withColumnRenamed("_n", "n")
+            kept.append(f"_{finer}")
+        found = counts.agg(F.max("n").alias(f"_{units[-1]}"), *(F.max(c).alias(c) for c in kept)).first()
+        for unit in reversed(units):
+            if (found[f"_{unit}"] or 0) <= rows:
+                return unit
+    return None
+
+
 def cut(df: DataFrame, series: Series, chunks: int | None = None) -> DataFrame:
     """The frame staged in ordered chunks of similar size, numbered in ``CHUNK``."""
     order = [*(F.col(k).asc() for k in series.keys), *series.order()]
@@ -149,73 +198,78 @@ def join_back(df: DataFrame, stats: DataFrame, on: Sequence[str],
     return null_safe_join(df, stage(stats, "stats") if staged else stats, on, "left")
 
 
-def _halos(base: DataFrame, series: Series, reach: int, carries: bool) -> DataFrame:
-    """The last ``reach`` rows before every chunk border inside a series.
+def _halos(base: DataFrame, series: Series, measures: Sequence[Measure]) -> DataFrame:
+    """The rows that a chunk needs from the chunks of its series before it.
 
-    Each halo row is addressed to the chunk that needs it and carries the running sum and the
-    last non-null value at that row.
+    Each is addressed to that chunk. The last one carries the running sum and the last non-null value there;
+    if a measure takes the last value of an earlier row, all carry theirs.
     """
     keys, value = list(series.keys), series.value
-    at = [*keys, CHUNK]
-    order = [series.date, *series.tie]
+    at, order = [*keys, CHUNK], [series.date, *series.tie]
+    reach = max(1, *(m.lookback for m in measures))
+    carried = [m.lookback for m in measures if m.carries]
     number = F.col(value).cast("double")
-    by_series = Window.partitionBy(*(keys or [F.lit(0)]))
-    up_to_here = by_series.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-
-    sizes = base.groupBy(*at).agg(F.count(F.lit(1)).alias("rows"))
-    crossing = sizes.withColumns({
-        "parts": F.count(F.lit(1)).over(by_series), "before": F.sum("rows").over(up_to_here),
-    }).filter(F.col("parts") > 1)
-
-    # Two neighbouring chunks share at most one series, so this side has fewer rows than twice the
-    # number of chunks, however many series there are.
-    near = null_safe_join(
-        base.select(*at, *order, value),
-        F.broadcast(crossing.select(*at, "rows")), at,
-    )
-    back = F.row_number().over(Window.partitionBy(*at).orderBy(*series.reverse_order()))
-    ranked = near.withColumn("back", back)
-    tails = ranked.filter(F.col("back") <= reach).select(
-        *at, *order, value, "back", F.lit(1).cast("long").alias("rows"),
-        number.alias("last"), number.alias("sum"),
-    )
-    if carries:
-        bodies = ranked.filter(F.col("back") > reach).groupBy(*at).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min_by(number, F.when(number.isNotNull(), F.col("back"))).alias("last"),
-            F.sum(number).alias("sum"),
-        )
-    else:
-        bodies = crossing.filter(F.col("rows") > reach).select(
-            *at, (F.col("rows") - reach).alias("rows")
+    rank = series.order_key(base)
+
+    # One row per series and chunk, reduced in every task. What no measure asks for is not computed.
+    statistics = {"rows": F.count(F.lit(1))}
+    if carried:
+        statistics["sum"] = F.sum(number)
+        statistics["last"] = F.max_by(number, F.when(number.isNotNull(), rank))
+    if reach == 1:
+        statistics["end"] = F.max_by(value, rank)
+    chunks = base.groupBy(*at).agg(*(c.alias(name) for name, c in statistics.items()))
+    by_series = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK)
+    before = by_series.rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(None).cast("double")
+    chunks = chunks.withColumns({
+        "before": F.coalesce(F.sum("rows").over(before), F.lit(0)),
+        FILLED: F.last("last", ignorenulls=True).over(before) if carried else none,
+        TOTAL: F.sum("sum").over(before) if carried else none,
+        **({"end": F.lag("end").over(by_series)} if reach == 1 else {}),
+    })
+    if reach == 1:
+        unknown = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in order]
+        return chunks.filter(F.col("before") > 0).select(
+            *at, *unknown, F.col("end").alias(value), FILLED, TOTAL, F.lit(True).alias(HALO)
         )
-    bodies = bodies.withColumn("back", F.lit(reach + 1))
 
-    # Per series one row for the body of each of its chunks and `reach` rows for its tail.
-    running = by_series.orderBy(CHUNK, F.col("back").desc()).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    skeleton = tails.unionByName(bodies, allowMissingColumns=True).withColumns({
-        "upto": F.sum("rows").over(running),
-        FILLED: F.last("last", ignorenulls=True).over(running),
-        TOTAL: F.sum("sum").over(running),
-    }).filter(F.col("back") <= reach)
+    narrow = base.select(*at, *order, value)
+    back = F.row_number().over(Window.partitionBy(*at).orderBy(*series.reverse_order()))
+    # The rank filters become group limits: every task passes on so many rows per series and chunk.
+    tails = narrow.withColumn("back", back).filter(F.col("back") <= reach)
+    each = max(carried, default=0) > 1
+    if each:
+        # Of the rows with a value one more: the last one at or before the first row of the tail is among them.
+        known = narrow.filter(number.isNotNull()).withColumn("back", back).filter(F.col("back") <= reach + 1)
+        so_far = Window.partitionBy(*at).orderBy(*series.order(), "own").rowsBetween(Window.unboundedPreceding, 0)
+        both = tails.withColumn("own", F.lit(True)).unionByName(known.withColumn("own", F.lit(False)))
+        tails = both.withColumn("_known", F.last(number, ignorenulls=True).over(so_far)).filter("own").drop("own")
+    spans = chunks.select(*at, "rows", "before", F.col(FILLED).alias("_start"))
+    placed = null_safe_join(tails, spans, at)
 
     # A border behind row B needs the rows B-reach+1 .. B, which lie in at most two blocks.
     def block(position: Column) -> Column:
         return F.floor(position / reach)
 
-    borders = crossing.filter(F.col("before") > 0).select(
-        *at, "before",
+    upto = F.col("before") + F.col("rows") - F.col("back") + 1
+    rows = placed.select(
+        *keys, *order, value, upto.alias("upto"), block(upto - 1).alias("block"),
+        (F.coalesce("_known", "_start") if each else none).alias("_at_row"),
+    )
+    borders = chunks.filter(F.col("before") > 0).select(
+        *at, "before", FILLED, TOTAL,
         F.explode(F.sequence(
             block(F.greatest(F.col("before") - reach, F.lit(0))), block(F.col("before") - 1)
         )).alias("block"),
     )
-    rows = skeleton.withColumn("block", block(F.col("upto") - 1)).drop(CHUNK)
     found = null_safe_join(borders, rows, [*keys, "block"])
     wanted = (F.col("upto") <= F.col("before")) & (F.col("upto") > F.col("before") - reach)
+    end = F.col("upto") == F.col("before")
     return found.filter(wanted).select(
-        *at, *order, value, FILLED, TOTAL, F.lit(True).alias(HALO)
+        *at, *order, value,
+        (F.col("_at_row") if each else F.when(end, F.col(FILLED))).alias(FILLED),
+        F.when(end, F.col(TOTAL)).alias(TOTAL), F.lit(True).alias(HALO),
     )
 
 

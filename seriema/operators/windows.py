@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import percent_of, rounded
 from ..model import Series
@@ -155,9 +156,11 @@ def year_to_date_sum(df: DataFrame, series: Series, column: str = "ytd_accumulat
         frame = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(column, F.sum(series.value).over(frame))
     at = [*series.keys, year, series.date]
-    # Ties share a total, so dates are summed first and the running sum goes over dates.
+    # Ties share a total, so dates are summed first and the running sum goes over dates, of which a year
+    # has 366; instants may be many more.
     dates = df.groupBy(*at).agg(F.sum(series.value).alias("_sum"))
-    yearly = series.but(keys=(*series.keys, year), tie=(), value="_sum")
+    days = isinstance(df.schema[series.date].dataType, T.DateType)
+    yearly = series.but(keys=(*series.keys, year), tie=(), value="_sum", grain="D" if days else None)
     totals = running_total(dates, yearly, column, over_gaps=True, chunks=chunks).drop("_sum")
     return join_back(df, totals, at)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seriema.model import Series
 from seriema.operators import windows as w
 from seriema.operators.aggregates import describe, exact_quantiles
-from seriema.operators.spread import CHUNK, cut, measure, running_total
+from seriema.operators.spread import CHUNK, cut, fitting_unit, measure, running_total
 from seriema.session import workspace
 from tests.conftest import near, rows
 
@@ -156,3 +156,52 @@ def test_rows_without_a_group_have_no_running_sum(spark):
     for grain in (None, "D"):
         out = w.cumulative(df, Series(tie=("t",), grain=grain), ("g",))
         assert [r.cumulative_value for r in out.orderBy("t").collect()] == [1.0, None, 4.0, None]
+
+
+# ---- calendar chunks -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("limit,unit", [(1000, "year"), (60, "month"), (16, "day"), (3, None)])
+def test_calendar_chunks_equal_whole_series(spark, monkeypatch, limit, unit):
+    df = frame(spark, observations(21, n=300))
+    whole = Series(keys=("k",), tie=("t",), grain="D")
+    monkeypatch.setattr("seriema.operators.spread.ROWS_PER_CHUNK", limit)
+    assert fitting_unit(df, whole) == unit
+    for measures in (MEASURES, (w.percent_change(1, "p1"),), (w.shift(1, "s"), w.difference(1, "d")), (w.percent_change(4, "p4"),),
+                     (w.moving_average(50, "ma50", min_periods=1), w.percent_change(1, "p1"))):
+        expected = rows(measure(df, whole, *measures), "t")
+        got = rows(measure(df, whole.but(grain=None), *measures), "t")
+        for a, b in zip(expected, got, strict=True):
+            assert a[:5] == b[:5]
+            near(b[5:], a[5:])
+    for keys in ((), ("k",)):
+        for over_gaps in (False, True):
+            one = whole.but(keys=keys)
+            a = rows(running_total(df, one, "c", over_gaps), "t")
+            b = rows(running_total(df, one.but(grain=None), "c", over_gaps), "t")
+            near([r[5] for r in b], [r[5] for r in a])
+
+
+def test_instants_take_finer_units(spark, monkeypatch):
+    df = spark.range(2000).select(
+        F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 7 + 1_700_000_000).alias("date"), F.col("id").cast("string").alias("t"),
+        F.when(F.col("id") % 5 != 0, F.col("id") * 1.0).alias("value"))
+    series = Series(keys=("k",), tie=("t",))
+    monkeypatch.setattr("seriema.operators.spread.ROWS_PER_CHUNK", 600)
+    assert fitting_unit(df, series) == "hour"
+    a = rows(measure(df, series.but(grain="D"), *MEASURES[:5]), "date")
+    b = rows(measure(df, series, *MEASURES[:5]), "date")
+    for x, y in zip(a, b, strict=True):
+        near(y[3:], x[3:])
+
+
+def test_running_values_stage_nothing_and_move_rows_once(spark):
+    df = frame(spark, observations(22, n=400)).withColumn("wide", F.repeat("note", 20))
+    with workspace(spark) as path:
+        out = running_total(df, Series(keys=("k",), tie=("t",)))
+        text = out._jdf.queryExecution().executedPlan().toString()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    assert "Join" not in text
+    # Totals by chunk and by series, then the rows themselves.
+    assert text.count("Exchange hashpartitioning") == 3
