@@ -16,7 +16,6 @@ from .inputs import (
     OBSERVATIONS_SQL,
     RAW,
     bronze,
-    chunk_count,
     daily,
     monthly,
     observations,
@@ -233,7 +232,7 @@ FROM long GROUP BY 1""")
 def describe(spark, path):
     """Exact quartiles by ranks over counted values."""
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
-    out = a.describe(table(spark, path, "lineitem").select(*columns), chunks=chunk_count(spark))
+    out = a.describe(table(spark, path, "lineitem").select(*columns))
     digits = {"mean": 6, "std": 5, "q25": 6, "q50": 6, "q75": 6}
     return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 

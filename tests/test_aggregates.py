@@ -1,7 +1,14 @@
 import datetime as dt
 import math
+from dataclasses import replace
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from seriema.model import Series
+from seriema.operators import aggregates
 from seriema.operators import aggregates as a
 from seriema.operators import joins as j
 from tests.conftest import near, rows
@@ -70,3 +77,42 @@ def test_left_by_quarter(spark):
     assert every == [(1.0, None), (8.3, None), (8.8, 1.0), (8.8, 3.0)]
     plain = j.left_by_quarter(left.drop("k"), right.drop("k")).select("rate", "gdp")
     assert rows(plain, "rate") == [(1.0, None), (8.3, 5.0), (8.8, 3.0)]
+
+
+# ---- quantiles by brackets -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n,shape", [(1, "even"), (7, "even"), (5_000, "even"), (60_000, "even"), (60_000, "ties"), (60_000, "nan"), (3_000, "equal")])
+def test_bracketed_quantiles_are_exact(spark, n, shape):
+    rng = np.random.default_rng(n)
+    values = {"even": rng.normal(size=n), "ties": rng.integers(0, 4, n).astype(float), "equal": np.full(n, 2.5),
+              "nan": np.where(rng.random(n) < 0.3, np.nan, rng.exponential(size=n))}[shape]
+    df = spark.createDataFrame(pa.table({"a": values, "b": pa.array([None] * n, pa.float64())})).repartition(5)
+    probabilities = (0.0, 0.001, 0.25, 0.5, 0.75, 0.9999, 1.0)
+    got = {(r[0], r[1]): r[2] for r in a.exact_quantiles(df, ["a", "b"], probabilities).collect()}
+    good = values[~np.isnan(values)]
+    assert got == {("a", p): pytest.approx(np.quantile(good, p), abs=1e-12) for p in probabilities}
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    values = np.random.default_rng(5).permutation(20_000).astype(float)
+    df = spark.createDataFrame(pa.table({"a": values}))
+    tried, brackets = [], aggregates._brackets
+    inside = aggregates._inside
+    # As if the sketch had been wrong about the narrow brackets of one quantile.
+    monkeypatch.setattr(aggregates, "_brackets", lambda *args: [
+        replace(b, width=0, edges=((-2.0, -1.0), (-2.0, 5.0), *b.edges[2:])) if b.probability == 0.1 else b for b in brackets(*args)])
+    monkeypatch.setattr(aggregates, "_inside", lambda df, wanted: tried.append(len(wanted)) or inside(df, wanted))
+    got = {r[1]: r[2] for r in a.exact_quantiles(df, ["a"], (0.1, 0.5)).collect()}
+    assert got == {p: pytest.approx(np.quantile(values, p)) for p in (0.1, 0.5)} and tried[:3] == [2, 1, 1]
+
+
+def test_few_cells_are_kept(spark):
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("_0"), F.rand(1).alias("_1"))
+    found = df.agg(*aggregates._sketches(["a", "b"], (0.5,))).first()
+    counts, kept = aggregates._inside(df, aggregates._brackets(found, ["a", "b"], (0.5,)))
+    assert kept.count() == sum(n["inside"] for n in counts) < 0.003 * 2 * 200_000
+    # Values that repeat are counted, not kept.
+    df = df.select((F.col("_0") % 2).alias("_0"), F.lit(1.0).alias("_1"))
+    found = df.agg(*aggregates._sketches(["a", "b"], (0.5,))).first()
+    assert aggregates._inside(df, aggregates._brackets(found, ["a", "b"], (0.5,)))[1].isEmpty()
