@@ -445,6 +445,75 @@ def macro_dashboard(spark, path):
                         "last_date", F.round("annual_change", 6).alias("annual_change"), "trend")
 
 
+# Two sources deliver each indicator: a third of the orders, and the others up to 1996.
+_SOURCES_SQL = f"""{OBSERVATIONS_SQL},
+so AS (SELECT k, CASE WHEN t % 3 = 0 THEN 'ibge' ELSE 'bcb' END AS source, date, value FROM obs
+       WHERE t % 3 = 0 OR year(date) <= 1996),
+sm AS (SELECT k, source, max(date) AS date, strftime(date, '%Y-%m') AS ym, avg(value) AS value FROM so GROUP BY ALL),
+sd AS (SELECT k, source, date, avg(value) AS value FROM so GROUP BY ALL),
+own AS (SELECT source, date, ym, value, (value / lag(value, 1) OVER w - 1) * 100 AS monthly,
+               (value / lag(value, 12) OVER w - 1) * 100 AS annual
+        FROM sm WHERE k = '1-URGENT' WINDOW w AS (PARTITION BY source ORDER BY date)),
+one_ipca AS (SELECT * FROM own QUALIFY row_number() OVER (PARTITION BY ym ORDER BY source) = 1),
+one_selic AS (SELECT date, ym, value FROM sm WHERE k = '2-HIGH'
+              QUALIFY row_number() OVER (PARTITION BY ym ORDER BY source) = 1),
+one_cambio AS (SELECT * FROM (
+                 SELECT source, max(date) AS date, strftime(date, '%Y-%m') AS ym, arg_max(value, date) AS value
+                 FROM sd WHERE k = '4-NOT SPECIFIED' GROUP BY ALL)
+               QUALIFY row_number() OVER (PARTITION BY ym ORDER BY source) = 1)"""
+
+
+def _sourced_series(spark, path) -> dict:
+    """Silver frames of two sources in each indicator, computed source by source."""
+    source = F.when(F.col("t") % 3 == 0, "ibge").otherwise("bcb").alias("source")
+    rows = observations(spark, path).select("k", source, "date", "t", "value")
+    rows = rows.filter((F.col("source") == "ibge") | (F.year("date") <= 1996))
+    raw, keys = RAW.but(keys=("k", "source")), ("source",)
+    months, days = (period_mean(rows, raw, freq) for freq in ("M", "D"))
+
+    def of(df, k):
+        return df.filter(F.col("k") == k).select("source", "date", "value")
+
+    return {
+        "ipca": silver.ipca(of(months, "1-URGENT"), keys, run_ts=RUN_TS),
+        "selic": silver.selic(of(days, "2-HIGH"), keys, run_ts=RUN_TS),
+        "cambio": silver.cambio(of(days, "4-NOT SPECIFIED"), keys, run_ts=RUN_TS),
+    }
+
+
+@query("i06_panel_two_sources", f"""
+WITH {_SOURCES_SQL},
+selic_days AS (SELECT source, max(date) AS date, strftime(date, '%Y-%m') AS ym, avg(value) AS value FROM sd WHERE k = '2-HIGH' GROUP BY ALL),
+s AS (SELECT * FROM selic_days QUALIFY row_number() OVER (PARTITION BY ym ORDER BY source) = 1)
+SELECT ym AS year_month, round(i.value, 6) AS ipca, round(i.monthly, 6) AS ipca_monthly_change,
+       round(s.value, 6) AS selic, round(c.value, 6) AS cambio, round(s.value - i.value, 4) AS real_interest_rate
+FROM one_ipca i FULL JOIN s USING (ym) FULL JOIN one_cambio c USING (ym)""")
+def panel_two_sources(spark, path):
+    """A month has the row of its preferred source, with the changes of that source."""
+    panel = gold.monthly_panel(_sourced_series(spark, path), spark, RUN_TS)
+    digits = {c: 6 for c in ("ipca", "ipca_monthly_change", "selic", "cambio")}
+    return _rounded(panel, {**digits, "real_interest_rate": 4}, "year_month")
+
+
+@query("i08_macro_two_sources", f"""
+WITH {_SOURCES_SQL},
+selic_days AS (SELECT source, max(date) AS date, strftime(date, '%Y-%m') AS ym, avg(value) AS value FROM sd WHERE k = '2-HIGH' GROUP BY ALL),
+s AS (SELECT * FROM selic_days QUALIFY row_number() OVER (PARTITION BY ym ORDER BY source) = 1),
+every AS (SELECT 'ipca' AS indicator, date, value, annual FROM one_ipca
+          UNION ALL SELECT 'selic', date, value, NULL FROM s UNION ALL SELECT 'cambio', date, value, NULL FROM one_cambio),
+r AS (SELECT *, row_number() OVER (PARTITION BY indicator ORDER BY date DESC) AS nth FROM every),
+l AS (SELECT indicator, max(value) FILTER (nth = 1) AS v, max(date) AS d, max(annual) FILTER (nth = 1) AS a,
+             max(value) FILTER (nth = 3) AS v3, max(value) FILTER (nth = 13) AS v13 FROM r GROUP BY indicator)
+SELECT indicator, round(v, 6) AS last_value, d AS last_date,
+       round(CASE WHEN indicator = 'cambio' THEN (v / v13 - 1) * 100 ELSE a END, 6) AS annual_change,
+       CASE WHEN v > v3 THEN 'rising' WHEN v < v3 THEN 'falling' ELSE 'stable' END AS trend FROM l""")
+def macro_two_sources(spark, path):
+    out = gold.macro_dashboard(_sourced_series(spark, path), spark, AS_OF, RUN_TS)
+    return out.filter(F.col("indicator") != "economic_health").select(
+        "indicator", F.round("last_value", 6).alias("last_value"), "last_date",
+        F.round("annual_change", 6).alias("annual_change"), "trend")
+
+
 @query("i09_economic_health", _MACRO_SQL + """,
 w AS (SELECT CASE indicator WHEN 'selic' THEN 0.3 ELSE 0.35 END AS w,
              CASE WHEN m > 0 THEN v / m ELSE 1 END AS r

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .calendar import quarter_key
@@ -31,18 +32,17 @@ def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str] | str,
     return joined.withColumns(merged).drop(*(f"_r_{c}" for c in on))
 
 
-def one_per(df: DataFrame, keys: Sequence[str], *latest: str) -> DataFrame:
-    """The row of each key with the largest ``latest`` columns; rows without a key stay.
+def one_per(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFrame:
+    """The row of each key that comes first by ``order``, names meaning the largest; rows without a key stay.
 
-    The rank filter becomes a group limit: every task passes on one row per key.
+    The rank filter becomes a group limit: every task passes on one row per key. A row without a key gets a
+    key of its own, so that what lies below is computed once and no task gets all of them.
     """
-    known = F.lit(True)
-    for c in keys:
-        known = known & F.col(c).isNotNull()
-    order = [F.col(c).desc_nulls_last() for c in latest]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    first = df.where(known).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
-    return first.unionByName(df.where(~known))
+    known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in keys), F.lit(True))
+    largest = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
+    alone = df.withColumn("_alone", F.when(~known, F.monotonically_increasing_id()))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_alone").orderBy(*largest))
+    return alone.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_alone")
 
 
 def left_by_quarter(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),

@@ -3,20 +3,21 @@
 Inputs are mappings from indicator to its silver frame; a missing indicator is a missing key. A frame
 may hold several places: a dashboard takes the national rows (and those without a place), or, by
 ``place``, those of another one; with ``keys=("localidade",)`` panel and labor market have the rows of
-every place. Of several rows of a place and period the latest counts (of equal dates the larger value).
-Results have the fixed gold schemas, with the keys behind them.
+every place. Of several sources of an indicator one counts in a period: the first of the ``sources`` asked for, then the
+registered one of the indicator, then by name; with ``keys=("source",)`` each has rows of its own. Of several rows
+of a source, place and period the latest counts (of equal dates the larger value). Results have the fixed gold schemas, with the keys behind them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import clamp
-from ..model import LABOR_SCHEMA, MACRO_SCHEMA, MONTHLY_SCHEMA, NATIONAL, Series
+from ..model import LABOR_SCHEMA, MACRO_SCHEMA, MONTHLY_SCHEMA, NATIONAL, SILVER_METADATA, Series
 from ..operators.cleaning import normalize_date, select_present
 from ..operators.compose import (
     default_text,
@@ -65,22 +66,42 @@ def _with_keys(schema: StructType, keys: Sequence[str]) -> StructType:
 
 
 def _placed(frame: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
-    """The rows a dashboard takes, dated, with all ``keys``."""
+    """The rows a dashboard takes, dated, with all ``keys`` and their source."""
     frame = normalize_date(frame, "date")
     if "localidade" in frame.columns and "localidade" not in keys:
         frame = frame.where(F.col("localidade").isNull() | (F.col("localidade") == place))
-    absent = {k: F.lit(None).cast("string") for k in keys if k not in frame.columns}
+    absent = {k: F.lit(None).cast("string") for k in (*keys, "source") if k not in frame.columns}
     # A place that is not told is the national one.
     told = {k: F.coalesce(F.col(k), F.lit(place)) for k in keys if k == "localidade"}
-    return frame.withColumns(absent).withColumns(told) if keys else frame
+    return frame.withColumns(absent).withColumns(told)
 
 
-def _monthly(frame: DataFrame, keys: Sequence[str], *columns) -> DataFrame:
+def _preference(indicator: str, sources: Sequence[str]) -> Column:
+    """The place of a row's source in the order of those of an indicator; others are equal."""
+    registered = SILVER_METADATA[indicator][3:] if indicator in SILVER_METADATA else ()
+    place = F.lit(len(sources) + 1)
+    for k, name in reversed(list(enumerate((*sources, *registered)))):
+        place = F.when(F.col("source") == name, k).otherwise(place)
+    return place
+
+
+def _by_source(place: Column) -> list[Column]:
+    return [place.asc(), F.col("source").asc_nulls_last()]
+
+
+def _one_source(frame: DataFrame, keys: Sequence[str], period: str, value: str, indicator: str,
+                sources: Sequence[str]) -> DataFrame:
+    """One row per key and period, of the preferred source."""
+    order = [*([] if "source" in keys else _by_source(_preference(indicator, sources))), "date", value]
+    kept = one_per(frame, [*keys, period], *order)
+    return kept if "source" in keys else kept.drop("source")
+
+
+def _monthly(frame: DataFrame, keys: Sequence[str], indicator: str, sources: Sequence[str], *columns) -> DataFrame:
     """One row per place and month."""
-    picked = select_present(frame, "date", *columns, *keys)
+    picked = select_present(frame, "date", *columns, *dict.fromkeys((*keys, "source")))
     picked = picked.withColumn("year_month", F.date_format("date", "yyyy-MM"))
-    value = next(c[0] for c in columns)
-    return one_per(picked, [*keys, "year_month"], "date", value)
+    return _one_source(picked, keys, "year_month", columns[0][0], indicator, sources)
 
 
 def _finish(df: DataFrame, schema: StructType, run_ts) -> DataFrame:
@@ -88,7 +109,8 @@ def _finish(df: DataFrame, schema: StructType, run_ts) -> DataFrame:
 
 
 def monthly_panel(indicators: Mapping[str, DataFrame], spark: SparkSession, run_ts=None,
-                  keys: Sequence[str] = (), place: str = NATIONAL) -> DataFrame:
+                  keys: Sequence[str] = (), place: str = NATIONAL,
+                  sources: Sequence[str] = ()) -> DataFrame:
     """Prices, policy rate and exchange rate side by side per month.
 
     All three are required. The pressure index is scaled to 0..100 over the panel of a place; if one
@@ -98,16 +120,16 @@ def monthly_panel(indicators: Mapping[str, DataFrame], spark: SparkSession, run_
     if any(indicators.get(i) is None for i in ("ipca", "selic", "cambio")):
         return _empty(spark, schema)
     prices = _monthly(
-        _placed(indicators["ipca"], keys, place), keys, ("ipca", ["value"]),
+        _placed(indicators["ipca"], keys, place), keys, "ipca", sources, ("ipca", ["value"]),
         ("ipca_monthly_change", ["monthly_change_pct"]),
         ("ipca_annual_change", ["year_over_year_pct"]),
     )
     rates = _monthly(
-        _placed(indicators["selic"], keys, place), keys, ("selic", ["value"]),
+        _placed(indicators["selic"], keys, place), keys, "selic", sources, ("selic", ["value"]),
         ("selic_moving_avg", ["moving_avg_3m"]),
     ).drop("date")
     exchange = _monthly(
-        _placed(indicators["cambio"], keys, place), keys, ("cambio", ["value"]),
+        _placed(indicators["cambio"], keys, place), keys, "cambio", sources, ("cambio", ["value"]),
         ("cambio_monthly_change", ["monthly_change_pct", "return_pct"]),
         ("cambio_volatility", ["volatility", "volatility_20"]),
     ).drop("date")
@@ -126,7 +148,7 @@ def monthly_panel(indicators: Mapping[str, DataFrame], spark: SparkSession, run_
 
 def labor_market(indicators: Mapping[str, DataFrame], spark: SparkSession, run_ts=None,
                  per_quarter: str = "last", keys: Sequence[str] = (),
-                 place: str = NATIONAL) -> DataFrame:
+                 place: str = NATIONAL, sources: Sequence[str] = ()) -> DataFrame:
     """Unemployment with the product of the same quarter and their elasticity."""
     schema = _with_keys(LABOR_SCHEMA, keys)
     if indicators.get("desemprego") is None:
@@ -134,18 +156,22 @@ def labor_market(indicators: Mapping[str, DataFrame], spark: SparkSession, run_t
     labor = select_present(
         _placed(indicators["desemprego"], keys, place), "date",
         ("unemployment_rate", ["value"]), ("unemployment_qtr_change", ["quarterly_change_pp"]),
-        ("unemployment_annual_change", ["annual_change_pp"]), *keys,
+        ("unemployment_annual_change", ["annual_change_pp"]), *dict.fromkeys((*keys, "source")),
     )
     # One row per place and quarter, so that the windows below are bounded by the calendar.
     labor = labor.withColumn("_quarter", F.date_trunc("quarter", "date"))
-    labor = one_per(labor, [*keys, "_quarter"], "date", "unemployment_rate").drop("_quarter")
+    labor = _one_source(labor, keys, "_quarter", "unemployment_rate", "desemprego", sources).drop("_quarter")
     product = indicators.get("pib")
     if product is not None:
         columns = select_present(
             _placed(product, keys, place), "date", ("gdp", ["value"]),
-            ("gdp_growth", ["quarterly_change_pct"]), *keys,
+            ("gdp_growth", ["quarterly_change_pct"]), *dict.fromkeys((*keys, "source")),
         )
-        if set(columns.columns) - {"date", *keys}:
+        measured = [c for c in columns.columns if c not in ("date", "source", *keys)]
+        if measured:
+            # The product comes by quarter or by month.
+            months = columns.withColumn("_month", F.date_trunc("month", "date"))
+            columns = _one_source(months, keys, "_month", measured[0], "pib", sources).drop("_month")
             labor = left_by_quarter(labor, columns, keys, per_quarter)
     needed = {"unemployment_qtr_change", "gdp_growth", "unemployment_rate"}
     if needed <= set(labor.columns):
@@ -162,20 +188,23 @@ def labor_market(indicators: Mapping[str, DataFrame], spark: SparkSession, run_t
     return _finish(labor, schema, run_ts)
 
 
-def _long(indicators: Mapping[str, DataFrame], place: str) -> DataFrame | None:
-    """The columns that the macro dashboard reads, all indicators below one another."""
+def _long(indicators: Mapping[str, DataFrame], place: str, sources: Sequence[str]) -> DataFrame | None:
+    """The columns that the macro dashboard reads, all indicators below one another, with one row per indicator
+    and month (of a quarterly one, per quarter)."""
     parts = []
     for name in INDICATORS:
         frame = indicators.get(name)
         if frame is not None:
             picked = select_present(
                 _placed(frame, (), place), "date", "value", "indicator_name", "unit",
-                ("measured_change", [c for c in [ANNUAL_CHANGE.get(name)] if c]),
+                ("measured_change", [c for c in [ANNUAL_CHANGE.get(name)] if c]), "source",
             )
-            parts.append(picked.withColumn("indicator", F.lit(name)))
+            parts.append(picked.withColumns({"indicator": F.lit(name), "_place": _preference(name, sources)}))
     if not parts:
         return None
-    out = append(*parts)
+    out = append(*parts).withColumn("_month", F.date_trunc("month", "date"))
+    out = one_per(out, ["indicator", "_month"], *_by_source(F.col("_place")), "date", "value")
+    out = out.drop("_month", "_place", "source")
     texts = {c: F.lit(None).cast("string") for c in ("indicator_name", "unit")
              if c not in out.columns}
     if "measured_change" not in out.columns:
@@ -234,12 +263,12 @@ def health_index(latest: DataFrame) -> DataFrame:
 
 
 def macro_dashboard(indicators: Mapping[str, DataFrame], spark: SparkSession, as_of=None,
-                    run_ts=None, place: str = NATIONAL) -> DataFrame:
+                    run_ts=None, place: str = NATIONAL, sources: Sequence[str] = ()) -> DataFrame:
     """Latest state of every indicator and the health index.
 
     Empty below two indicators; without a health line below two of its inputs.
     """
-    long = _long(indicators, place)
+    long = _long(indicators, place, sources)
     if long is None:
         return _empty(spark, MACRO_SCHEMA)
     summary = F.struct(

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from seriema.model import LABOR_SCHEMA, MACRO_SCHEMA, MONTHLY_SCHEMA
 from seriema.plans import gold
@@ -141,3 +142,43 @@ def test_several_rows_of_a_month_are_one(spark, frames):
     doubled = {k: v.unionByName(v) for k, v in frames.items()}
     assert gold.monthly_panel(doubled, spark, RUN).count() == 12
     assert gold.labor_market(doubled, spark, RUN).count() == 4
+
+
+def two_sources(spark, frames):
+    """Each indicator also from another source, with ten times the values and three months more."""
+    def both(name, df):
+        moved = df.withColumns({c: F.col(c) * 10 for c in df.columns if dict(df.dtypes)[c] == "double"})
+        later = moved.withColumn("date", F.add_months("date", 3))
+        other = moved.unionByName(later.filter("date > '2023-12-31'"))
+        return df.withColumn("source", F.lit("bcb")).unionByName(other.withColumn("source", F.lit("ibge")))
+
+    return {name: both(name, df) for name, df in frames.items()}
+
+
+def test_one_source_per_period(spark, frames):
+    alone, both = frames, two_sources(spark, frames)
+    columns = ["year_month", "ipca", "ipca_annual_change", "selic", "cambio", "cambio_volatility"]
+    want = {r.year_month: tuple(r) for r in gold.monthly_panel(alone, spark, RUN).select(*columns).collect()}
+    got = {r.year_month: tuple(r) for r in gold.monthly_panel(both, spark, RUN).select(*columns).collect()}
+    assert len(got) == 15 and all(got[m] == want[m] for m in want)
+    # An order of sources turns it round, and by key each has its own rows.
+    other = {r.year_month: r.selic for r in gold.monthly_panel(both, spark, RUN, sources=("ibge",)).collect()}
+    assert len(other) == 15 and all(other[m] == 10 * want[m][3] for m in want)
+    keyed = gold.monthly_panel(both, spark, RUN, keys=("source",)).groupBy("source").count().collect()
+    assert dict(map(tuple, keyed)) == {"bcb": 12, "ibge": 15}
+    labor = gold.labor_market(both, spark, RUN).collect()
+    assert [r.unemployment_rate for r in labor][:4] == [r.unemployment_rate for r in gold.labor_market(alone, spark, RUN).collect()]
+    assert len(labor) == 5 and [r.gdp for r in labor][:4] == [r.gdp for r in gold.labor_market(alone, spark, RUN).collect()]
+
+
+def test_macro_lines_of_one_source(spark, frames):
+    both = two_sources(spark, frames)
+    # Without the months that only the other source has, all lines are those of the registered one.
+    same = {n: df.filter("date <= '2023-12-31'") for n, df in both.items()}
+    want = sorted(map(tuple, gold.macro_dashboard(frames, spark, TODAY, RUN).collect()))
+    assert sorted(map(tuple, gold.macro_dashboard(same, spark, TODAY, RUN).collect())) == want
+
+
+def test_a_panel_computes_its_inputs_once(spark, frames):
+    text = gold.monthly_panel(frames, spark, RUN)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") + text.count("LocalRelation") == 6  # three sides, and those of the index's ends
