@@ -54,8 +54,31 @@ def workspace(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _open.remove(path)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, store = _place(spark, path)
+        store.delete(folder, True)
+
+
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, whichever store it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text as one object that appears whole, in the place of one of that name."""
+    place, store = _place(spark, path)
+    draft, _ = _place(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    out = store.create(draft, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    store.delete(place, False)
+    if not store.rename(draft, place):
+        raise OSError(f"cannot write {path}")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

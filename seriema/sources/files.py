@@ -3,6 +3,11 @@
 A layer is a Parquet folder partitioned by ``source``, ``indicator`` and ``snapshot_ts``
 (YYYYmmdd_HHMMSS), so that a name never has to be guessed from a file name: the prefix ``pib`` cannot
 match ``pib_ibge``. What a layer holds is read off its folder names; no data file is opened for it.
+
+A snapshot has several files, which appear one after the other. It counts from the moment when its manifest is
+written, last and as one object below ``_commits``: the manifest tells how many files there are, their bytes and a
+sum over their names, and a folder that does not agree with it (being written, or written anew) is not a
+snapshot yet.
 """
 
 from __future__ import annotations
@@ -15,10 +20,15 @@ from pyspark.sql.types import StructType
 
 from ..functions import parse_date, to_number
 from ..operators.cleaning import between_dates, drop_incomplete, rename_present
+from ..operators.spread import null_safe_join
+from ..session import exists
 
 PARTITIONS = ("source", "indicator", "snapshot_ts")
 # Fixed value: how Spark names the folder of a missing partition value.
 _MISSING = "__HIVE_DEFAULT_PARTITION__"
+#: The folder of the manifests; Spark's readers pass over names with an underscore.
+COMMITS = "_commits"
+MANIFEST = "source STRING, indicator STRING, snapshot_ts STRING, files BIGINT, bytes BIGINT, names BIGINT"
 
 
 def read_layer(spark: SparkSession, root: str, schema: StructType | str | None = None,
@@ -41,20 +51,44 @@ def _folder_value(column: str) -> Column:
     return F.when((text != "") & (text != _MISSING), plain).alias(column)
 
 
-def snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """(source, indicator, snapshot_ts, folder) of every snapshot of a layer."""
-    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")
-    found = file_names(spark, root).select(*(_folder_value(c) for c in PARTITIONS), folder)
-    return found.where(F.col("indicator").isNotNull() & F.col("snapshot_ts").isNotNull()).distinct()
+def snapshot_folders(spark: SparkSession, *paths: str) -> DataFrame:
+    """(source, indicator, snapshot_ts, folder, files, bytes, names) of the folders with files below some paths."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    found = reader.option("pathGlobFilter", "*.parquet").load(list(paths)).select("path", "length")
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    placed = found.select(*(_folder_value(c) for c in PARTITIONS), folder.alias("folder"), "length", F.crc32(name).alias("name"))
+    placed = placed.where(F.col("indicator").isNotNull() & F.col("snapshot_ts").isNotNull())
+    return placed.groupBy(*PARTITIONS, "folder").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sum("name").alias("names"))
+
+
+def manifests(spark: SparkSession, root: str) -> DataFrame:
+    """(source, indicator, snapshot_ts, files, bytes, names) of all manifests of a layer."""
+    if not exists(spark, f"{root}/{COMMITS}"):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).json(f"{root}/{COMMITS}/*.json")
+
+
+def snapshots(spark: SparkSession, root: str, committed: bool = True) -> DataFrame:
+    """(source, indicator, snapshot_ts, folder) of every snapshot of a layer.
+
+    Without ``committed``, as for a layer that others write without manifests, every folder is one.
+    """
+    found = snapshot_folders(spark, root)
+    if committed:
+        # One row per snapshot on both sides.
+        found = null_safe_join(found, manifests(spark, root), [*PARTITIONS, "files", "bytes", "names"], "leftsemi")
+    return found.select(*PARTITIONS, "folder")
 
 
 def newest_snapshots(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
-                     sources: Sequence[str] | None = None) -> list[Row]:
+                     sources: Sequence[str] | None = None, committed: bool = True) -> list[Row]:
     """The newest snapshot of each source and indicator (of the asked ones), in order.
 
     One row per pair reaches the driver, which lists the same folders to plan any read.
     """
-    found = snapshots(spark, root)
+    found = snapshots(spark, root, committed)
     if indicators is not None:
         found = found.where(F.col("indicator").isin(*indicators))
     if sources is not None:
@@ -78,10 +112,10 @@ def read_snapshots(spark: SparkSession, root: str, found: Sequence[Row],
 
 def read_latest(spark: SparkSession, root: str, indicators: Sequence[str] | None = None,
                 schema: StructType | str | None = None, merge_schema: bool = False,
-                sources: Sequence[str] | None = None) -> DataFrame:
+                sources: Sequence[str] | None = None, committed: bool = True) -> DataFrame:
     """The newest snapshot of every source and indicator (of the asked ones); absent ones are
     just absent, however many there are."""
-    found = newest_snapshots(spark, root, indicators, sources)
+    found = newest_snapshots(spark, root, indicators, sources, committed)
     return read_snapshots(spark, root, found, schema, merge_schema)
 
 
@@ -117,7 +151,7 @@ def indicator_table(df: DataFrame, indicator: str, date_column: str, value_colum
 
 def discover_indicators(spark: SparkSession, root: str) -> DataFrame:
     """Indicators that a layer holds, from its folder names."""
-    return snapshots(spark, root).select("indicator").distinct()
+    return snapshots(spark, root, committed=False).select("indicator").distinct()
 
 
 def discover_in_file_names(spark: SparkSession, root: str) -> DataFrame:

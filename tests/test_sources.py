@@ -156,3 +156,40 @@ def test_names_in_foreign_layouts(spark, name):
     layer_rows(spark, ("a", 1.0)).write.parquet(f"{root}/{name}")
     found = files.discover_in_file_names(spark, f"{root}")
     assert rows(found) == [("ipca",)]
+
+
+# ---- commits ---------------------------------------------------------------------------------
+
+
+def test_a_half_written_snapshot_is_never_the_newest(spark):
+    root, later = scratch_path(spark, "bronze"), RUN + dt.timedelta(days=1)
+    sinks.write_snapshot(layer_rows(spark, ("a", 1.0), ("b", 2.0)), root, RUN)
+    # As left by a run that ended before its manifest: files, but no manifest.
+    late = layer_rows(spark, ("a", 9.0)).withColumns({"source": F.lit(None).cast("string"), "snapshot_ts": F.lit(sinks.snapshot_id(later))})
+    late.write.mode("append").partitionBy(*files.PARTITIONS).parquet(root)
+    assert {(r.indicator, r.value) for r in files.read_latest(spark, root).collect()} == {("a", 1.0), ("b", 2.0)}
+    assert files.read_latest(spark, root, ["a"], committed=False).first().value == 9.0
+    assert sinks.commit_snapshots(spark, root) == 1 and sinks.commit_snapshots(spark, root) == 0
+    assert files.read_latest(spark, root, ["a"]).first().value == 9.0
+    # A folder that changed after its manifest is not whole either.
+    late.write.mode("append").partitionBy(*files.PARTITIONS).parquet(root)
+    assert files.read_latest(spark, root, ["a"]).first().value == 1.0
+
+
+def test_a_layer_without_manifests_is_adopted(spark):
+    root = scratch_path(spark, "foreign")
+    df = layer_rows(spark, ("a", 1.0)).withColumns({"source": F.lit("x"), "snapshot_ts": F.lit("20240101_000000")})
+    df.write.partitionBy(*files.PARTITIONS).parquet(root)
+    assert files.newest_snapshots(spark, root) == []
+    assert sinks.commit_snapshots(spark, root) == 1
+    assert files.read_latest(spark, root).first().value == 1.0
+
+
+def test_jobs_commit_their_own_folders_only(spark):
+    root = scratch_path(spark, "bronze")
+    sinks.write_snapshot(layer_rows(spark, ("a", 1.0)), root, RUN)
+    other = layer_rows(spark, ("b", 5.0)).withColumns({"source": F.lit(None).cast("string"), "snapshot_ts": F.lit(sinks.snapshot_id(RUN))})
+    other.write.mode("append").partitionBy(*files.PARTITIONS).parquet(root)  # another job is writing this one
+    folder = files.newest_snapshots(spark, root)[0]["folder"]
+    sinks.write_snapshot(layer_rows(spark, ("a", 2.0)), root, RUN, folders=[folder])
+    assert [(r.indicator, r.value) for r in files.read_latest(spark, root).collect()] == [("a", 2.0)]
