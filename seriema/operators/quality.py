@@ -5,10 +5,10 @@ Column checks fold into one aggregation over the data; nothing is counted on the
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,14 +47,11 @@ def _type_matches(df: DataFrame, column: str, expected: str) -> bool:
     return dtype.simpleString() == expected
 
 
-def _column_checks(df: DataFrame, required: Sequence[str], types: Mapping[str, str],
-                   ranges: Mapping[str, tuple[float, float]],
-                   null_threshold: float | None) -> DataFrame:
-    """Presence, types, ranges and null shares from one aggregation.
-
-    An empty frame fails every check except duplicates.
-    """
-    lines: list[tuple[str, str | None, str]] = []  # check, column, metric in SQL
+def _check_lines(df: DataFrame, required: Sequence[str], types: Mapping[str, str],
+                 ranges: Mapping[str, tuple[float, float]],
+                 null_threshold: float | None) -> list[tuple[str, str | None, str]]:
+    """(check, column, metric in SQL) of presence, types, ranges and null shares."""
+    lines: list[tuple[str, str | None, str]] = []
     for name in required:
         found = name in df.columns
         lines.append(("presence", name, f"count_if({str(found).lower()}) > 0"))
@@ -73,7 +70,28 @@ def _column_checks(df: DataFrame, required: Sequence[str], types: Mapping[str, s
         share = f"try_divide(count_if({_missing(df, name)}) * 100.0D, count(1))"
         lines.append(("null_share", name, share))
     lines.append(("rows", None, "count(1)"))
+    return lines
+
 
+def _passes(check: Column, metric: Column, rows: Column, null_threshold: float | None) -> Column:
+    """An empty frame fails every check."""
+    fine = (
+        F.when(check.isin("presence", "type"), metric == 1)
+        .when(check == "range", metric == 0)
+        .when(check == "null_share", F.coalesce(metric, F.lit(0.0)) <= (null_threshold or 0.0))
+        .otherwise(True)
+    )
+    return (rows > 0) & fine
+
+
+def _column_checks(df: DataFrame, required: Sequence[str], types: Mapping[str, str],
+                   ranges: Mapping[str, tuple[float, float]],
+                   null_threshold: float | None) -> DataFrame:
+    """Presence, types, ranges and null shares from one aggregation.
+
+    An empty frame fails every check except duplicates.
+    """
+    lines = _check_lines(df, required, types, ranges, null_threshold)
     one_row = df.agg(
         F.count(F.lit(1)).alias("rows"), _array([m for *_, m in lines], "DOUBLE").alias("metrics")
     )
@@ -82,20 +100,40 @@ def _column_checks(df: DataFrame, required: Sequence[str], types: Mapping[str, s
         [(i, check, column) for i, (check, column, _) in enumerate(lines)],
         (pa.int32(), pa.string(), pa.string()),
     )
-    metric, check = F.col("metric"), F.col("check")
-    fine = (
-        F.when(check.isin("presence", "type"), metric == 1)
-        .when(check == "range", metric == 0)
-        .when(check == "null_share", F.coalesce(metric, F.lit(0.0)) <= (null_threshold or 0.0))
-        .otherwise(True)
-    )
+    passed = _passes(F.col("check"), F.col("metric"), F.col("rows"), null_threshold)
     return (
         one_row.select("rows", F.posexplode("metrics").alias("position", "metric"))
         .join(names, "position")
-        .select("check", "column", "metric", ((F.col("rows") > 0) & fine).alias("passed"))
+        .select("check", "column", "metric", passed.alias("passed"))
     )
 
 
+def observe_checks(df: DataFrame, required: Sequence[str] = (), types: Mapping[str, str] | None = None,
+                   ranges: Mapping[str, tuple[float, float]] | None = None,
+                   null_threshold: float = 5.0) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The frame, and what gives its column checks after an action on it, such as a write.
+
+    The metrics are counted by the tasks of that action, so the rows are not read again. If they are
+    written right behind this frame, each counts once however often tasks are repeated; behind a shuffle those
+    of a lost executor may count twice.
+    """
+    lines = _check_lines(df, required, types or {}, ranges or {}, null_threshold)
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"), _array([m for *_, m in lines], "DOUBLE").alias("metrics"))
+
+    def checks() -> DataFrame:
+        found = seen.get
+        counted = constant_frame(
+            df.sparkSession, ("check", "column", "metric", "rows"),
+            [(check, column, metric, found["rows"]) for (check, column, _), metric in zip(lines, found["metrics"])],
+            (pa.string(), pa.string(), pa.float64(), pa.int64()),
+        )
+        passed = _passes(F.col("check"), F.col("metric"), F.col("rows"), null_threshold)
+        return counted.select("check", "column", "metric", passed.alias("passed"))
+
+    return out, checks
+
+
 def check_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return _column_checks(df, required, {}, {}, None).filter(F.col("check") == "presence")
 
@@ -119,13 +157,24 @@ def check_not_empty(df: DataFrame) -> DataFrame:
     return _column_checks(df, (), {}, {}, None).filter(F.col("check") == "rows")
 
 
+def fingerprint(columns: Sequence[str]) -> Column:
+    """128 bits of a row: two hashes of all columns and of which of them are missing."""
+    cells = ", ".join(map(_name, columns))
+    missing = "concat(" + ", ".join(f"if({_name(c)} IS NULL, '1', '0')" for c in columns) + ")"
+    return F.expr(f"struct(xxhash64({missing}, {cells}) AS a, xxhash64({cells}, {missing}, 1) AS b)")
+
+
 def check_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows after the first of each group of equal rows; NULL equals NULL, empty is valid.
 
-    The group sizes are partial aggregates: a group of any size is one row per task.
+    Fingerprints are grouped, 16 bytes a row however wide it is; only rows whose fingerprint occurs again are
+    compared in full. Group sizes are partial aggregates: a group of any size is one row per task.
     """
     subset = list(subset or df.columns)
-    groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n"))
+    marked = df.select(*map(_name, subset), fingerprint(subset).alias("_mark"))
+    again = marked.groupBy("_mark").count().where("count > 1").select(F.col("_mark").alias("_again"))
+    alike = marked.join(again, F.col("_mark") == F.col("_again"), "leftsemi")
+    groups = alike.groupBy(*map(_name, subset)).agg(F.count(F.lit(1)).alias("n"))
     extra = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"))
     return extra.select(
         F.lit("duplicates").alias("check"), F.lit(None).cast("string").alias("column"),

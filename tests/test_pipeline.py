@@ -1,7 +1,9 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
+from seriema.operators import quality
 from seriema.plans import pipeline, silver
 from seriema.session import scratch_path
 from seriema.sources import files, sinks
@@ -153,3 +155,47 @@ def test_places_are_series_in_a_run(spark):
     assert pipeline.bronze_to_silver(spark, bronze, target, RUN).first().rows == 24
     firsts = spark.read.parquet(target).filter("month(date) = 1")
     assert [r.monthly_change_pct for r in firsts.collect()] == [None, None]
+
+
+def test_members_run_together_under_the_callers_job_group(spark):
+    groups, running, most = [], [], []
+
+    def own(df, keys, style, run_ts, value):
+        groups.append(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+        running.append(1)
+        most.append(len(running))
+        time.sleep(1)
+        running.pop()
+        return silver.standardize(df, value)
+
+    def broken(df, **options):
+        own(df, **options)
+        raise ValueError("no such thing")
+
+    names = ["ipca", "selic", "pib", "cambio", "desemprego"]
+    spark.sparkContext.setJobGroup("nightly", "a run")
+    try:
+        report = pipeline.bronze_to_silver(
+            spark, landed(spark), scratch_path(spark, "silver"), RUN, names, transforms={**dict.fromkeys(names, own), "pib": broken},
+            workers=3).collect()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert [r.indicator for r in report] == sorted(names) and groups == ["nightly"] * 5 and 1 < max(most) <= 3
+    assert {r.indicator for r in report if not r.success} == {"pib"}
+
+
+def test_checks_are_counted_while_writing(spark):
+    """After the write silver is read for duplicates only."""
+    seen, original = [], pipeline.check_duplicates
+    pipeline.check_duplicates = lambda rows, columns: seen.append(rows.count()) or original(rows, columns)
+    try:
+        report = pipeline.bronze_to_silver(spark, landed(spark), scratch_path(spark, "silver"), RUN, ["ipca"])
+    finally:
+        pipeline.check_duplicates = original
+    assert report.first().rows == 12 and seen == [12]
+    df = spark.createDataFrame([("a", 1.0), ("a", None), (None, float("nan"))], "k string, value double")
+    for threshold in (10.0, 70.0):
+        out, checks = quality.observe_checks(df, ["k", "absent"], {"value": "numeric"}, {"value": (2, 3)}, threshold)
+        assert out.count() == 3
+        want = quality.validate(df, ["k", "absent"], {"value": "numeric"}, {"value": (2, 3)}, threshold, duplicates=False)
+        assert sorted(map(tuple, checks().collect()), key=repr) == sorted((tuple(r) for r in want.collect() if r["check"] != "dataset"), key=repr)

@@ -72,3 +72,20 @@ def test_wide_frames_are_planned_in_no_time(spark):
     got = results(q.validate(df.filter("c0 >= 0"), df.columns, {}, ranges))
     assert got["range", "c10"] == (0.0, True) and got["range", "c119"] == (5.0, False)
     assert q.profile(df).count() == 121
+
+
+def test_duplicates_by_fingerprint(spark, monkeypatch):
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("a", None, 1.0), ("b", "c", 0.0), ("b", "c", -0.0), ("b", "c", float("nan")), ("x", "y", None)]
+    df = spark.createDataFrame(rows, "p string, q string, v double")
+    assert q.check_duplicates(df).first()["metric"] == 2.0 and q.check_duplicates(df, ["p"]).first()["metric"] == 3.0
+    # Rows whose fingerprints are equal by chance are told apart.
+    monkeypatch.setattr(q, "fingerprint", lambda columns: F.struct(F.lit(1).alias("a"), F.lit(2).alias("b")))
+    assert q.check_duplicates(df).first()["metric"] == 2.0 and q.check_duplicates(df.limit(0)).first()["passed"]
+
+
+def test_only_fingerprints_are_moved(spark):
+    df = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("wide"))
+    text = q.check_duplicates(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in text
+    first = text[text.index("Join LeftSemi"):]
+    assert "wide" not in [line for line in first.splitlines() if "Aggregate" in line][0]
