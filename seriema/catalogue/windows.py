@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..model import Series
 from ..operators import windows as w
-from ..operators.aggregates import period_ohlc
+from ..operators.aggregates import period_mean, period_ohlc
+from ..operators.ranges import measure_between
 from ..operators.spread import measure
 from .inputs import (
     DAILY,
@@ -112,6 +115,24 @@ def variations(spark, path):
     )
 
 
+@query("g04_last_year_only", f"""
+WITH {MONTHLY_SQL}, v AS (
+  SELECT k, date, value, (value / nullif(lag(value, 1) OVER w, 0) - 1) * 100 AS change,
+         (value / nullif(lag(value, 12) OVER w, 0) - 1) * 100 AS year, avg(value) OVER w6 AS average
+  FROM monthly WINDOW w AS (PARTITION BY k ORDER BY date), w6 AS (PARTITION BY k ORDER BY date ROWS 5 PRECEDING))
+SELECT k, date, round(value, 6) AS value, round(change, 6) AS monthly_change_pct, round(year, 6) AS year_over_year_pct,
+       round(average, 4) AS moving_avg_6
+FROM v WHERE date >= DATE '2000-09-01'""")
+def last_year_only(spark, path):
+    """The last months of the orders, which read one year more than they show."""
+    measures = (w.percent_change(1, "monthly_change_pct", 100), w.year_over_year(12, "year_over_year_pct", 100), w.moving_average(6))
+    out = measure_between(
+        observations(spark, path), MONTHLY, *measures, start=dt.date(2000, 9, 1),
+        reduce=lambda rows: period_mean(rows, RAW, "M").drop("year_month"))
+    out = show(out, "value", "monthly_change_pct", "year_over_year_pct", keep=("k", "date", "moving_avg_6"))
+    return out.withColumn("moving_avg_6", F.round("moving_avg_6", 4))
+
+
 @query("g05_moving_average", f"""
 WITH {DAILY_SQL}
 SELECT k, date,
