@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import date_to_period, period_to_date
 from ..operators import calendar as cal
-from .inputs import EVENTS, OBSERVATIONS_SQL, RAW, events, observations
+from .inputs import EVENTS, OBSERVATIONS_SQL, RAW, events, observations, table
 from .registry import query
 
 
@@ -37,6 +37,21 @@ def named_windows(spark, path):
     return cal.named_windows(observations(spark, path), windows).select("t", "time_window")
 
 
+@query("d02_windows_from_table", f"""
+WITH {OBSERVATIONS_SQL},
+r AS (SELECT DATE '1992-01-01' + CAST(c_custkey * 37 % 3300 AS INTEGER) AS s, c_custkey * 13 % 90 AS n, c_name, c_custkey FROM customer),
+days AS (SELECT DISTINCT date FROM obs),
+best AS (SELECT date, arg_max(c_name, c_custkey) AS name FROM days JOIN r ON date BETWEEN s AND s + CAST(n AS INTEGER) GROUP BY date)
+SELECT t, coalesce(name, 'other') AS time_window FROM obs LEFT JOIN best USING (date)""")
+def windows_from_table(spark, path):
+    """Every customer has a range of up to three months; the later customer wins."""
+    start = F.date_add(F.lit(dt.date(1992, 1, 1)), (F.col("c_custkey") * 37 % 3300).cast("int"))
+    ranges = table(spark, path, "customer").select(
+        start.alias("start"), F.date_add(start, (F.col("c_custkey") * 13 % 90).cast("int")).alias("end"),
+        F.col("c_name").alias("name"), F.col("c_custkey").alias("priority"))
+    return cal.windows_from_table(observations(spark, path), ranges).select("t", "time_window")
+
+
 _ENDS = {
     "D": "s", "W": "s + 6", "M": "CAST(s + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE)",
     "Q": "CAST(s + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..model import REGISTRY
 from ..operators import cleaning as c
-from .inputs import AS_OF, INDICATOR_SQL, OBSERVATIONS_SQL, bronze, observations, table
+from .inputs import AS_OF, INDICATOR_SQL, OBSERVATIONS_SQL, RUN_TS, bronze, observations, table
 from .registry import query
 
 
@@ -201,13 +201,14 @@ REGISTRY_SQL = "registry(source, indicator, indicator_name, unit, frequency) AS
 WITH {OBSERVATIONS_SQL}, {REGISTRY_SQL},
 b AS (SELECT CASE WHEN t % 3 = 0 THEN 'ibge' ELSE 'bcb' END AS source,
              {INDICATOR_SQL} AS indicator, t FROM obs)
-SELECT b.source, b.indicator, t, indicator_name, unit, frequency FROM b
+SELECT b.source, b.indicator, t, indicator_name, unit, frequency, '2024-03-01 12:30:45' AS collected_at FROM b
 LEFT JOIN registry r ON r.source = b.source AND r.indicator = b.indicator""")
 def attach_registry(spark, path):
     """A third of the rows carries a source that does not know the indicator."""
     source = F.when(F.col("t") % 3 == 0, "ibge").otherwise("bcb")
     df = bronze(spark, path).select(source.alias("source"), "indicator", "t")
-    return c.attach_registry(df)
+    out = c.attach_registry(df, collected_at=RUN_TS)
+    return out.withColumn("collected_at", F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("c11_literal_metadata", f"""

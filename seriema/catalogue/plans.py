@@ -7,12 +7,15 @@ The orders play the indicators: monthly means (ipca), daily means (selic, cambio
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import period_mean
 from ..operators.calendar import resample
 from ..operators.joins import append
+from ..operators.quality import CONTRACTS, EXPECTED_INDICATORS, check_contract
 from ..operators.spread import measure
 from ..operators.windows import difference, percent_change, year_to_date_percent
 from ..plans import gold, pipeline, silver
@@ -530,6 +533,50 @@ def economic_health(spark, path):
     )
 
 
+def _contract_sql(table: str, required: Sequence[str], expected: Sequence[str] = ()) -> str:
+    """Lines of a contract over the rows of a SQL table."""
+    lines = [f"SELECT 'presence' AS \"check\", '{c}' AS \"column\", CAST(1 AS DOUBLE) AS metric, true AS passed, 'error' AS severity"
+             for c in required]
+    lines += [f"SELECT 'null_share', '{c}', round(100.0 * (count(*) - count({c})) / count(*), 6), count(*) = count({c}), 'warn' FROM {table}"
+              for c in required]
+    lines += [f"SELECT 'rows', NULL, count(*), count(*) >= 3, 'warn' FROM {table}"]
+    lines += [f"SELECT 'expected_indicator', '{i}', count(*), count(*) > 0, 'warn' FROM {table} WHERE indicator = '{i}'" for i in expected]
+    return " UNION ALL ".join(lines)
+
+
+def _contract(df: DataFrame, table: str) -> DataFrame:
+    return check_contract(df, table).withColumn("metric", F.round("metric", 6))
+
+
+@query("j07_silver_contract", f"""
+WITH {_SILVER_SQL},
+silver AS (SELECT date, value, 'ipca' AS indicator, '%' AS unit, 'monthly' AS frequency FROM s_ipca)
+{_contract_sql("silver", CONTRACTS["silver"])}""")
+def silver_contract(spark, path):
+    return _contract(silver_series(spark, path)["ipca"], "silver")
+
+
+@query("j07_monthly_contract", f"""
+WITH panel AS ({_PANEL_SQL})
+{_contract_sql("panel", CONTRACTS["monthly_indicators"])}""")
+def monthly_contract(spark, path):
+    return _contract(gold.monthly_panel(silver_series(spark, path), spark, RUN_TS), "monthly_indicators")
+
+
+@query("j07_labor_contract", f"""
+WITH labor AS ({_LABOR_SQL})
+{_contract_sql("labor", CONTRACTS["labor_market"])}""")
+def labor_contract(spark, path):
+    return _contract(gold.labor_market(silver_series(spark, path), spark, RUN_TS), "labor_market")
+
+
+@query("j07_macro_contract", f"""
+WITH macro AS ({_LINES_SQL} UNION ALL SELECT 'economic_health', NULL, 1.0, DATE '2001-08-31', NULL, NULL)
+{_contract_sql("macro", CONTRACTS["macro_dashboard"], EXPECTED_INDICATORS)}""")
+def macro_contract(spark, path):
+    return _contract(gold.macro_dashboard(silver_series(spark, path), spark, AS_OF, RUN_TS), "macro_dashboard")
+
+
 # ---- runs ------------------------------------------------------------------------------------
 
 def _landed(spark, path) -> str:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,25 @@ def test_date_features(spark):
     df = spark.createDataFrame([(D(2023, 11, 5),), (None,)], "date date")
     got = {tuple(r) for r in cal.date_features(df).drop("date").collect()}
     assert got == {(2023, 11, 4, "2023-11", "2023Q4"), (None,) * 5}
+
+
+def test_windows_from_a_table(spark):
+    rng = random.Random(8)
+    ranges = []
+    for k in range(300):
+        start = D(1950, 1, 1) + dt.timedelta(days=rng.randrange(0, 30_000))
+        ranges.append((start, start + dt.timedelta(days=rng.choice([-1, 0, 1, 2, 7, 63, 64, 400, 9_000])), f"n{k}", rng.randrange(40)))
+    ranges += [(None, D(2020, 1, 1), "open", 99), (D(2020, 1, 1), None, "open", 99), (D(1, 1, 1), D(1, 1, 3), "first", 1), (D(9999, 12, 30), D(9999, 12, 31), "last", 1)]
+    days = [D(1950, 1, 1) + dt.timedelta(days=rng.randrange(0, 40_000)) for _ in range(2_000)] + [None, D(1, 1, 2), D(9999, 12, 31), D(1, 1, 4)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, date date")
+    out = cal.windows_from_table(df, spark.createDataFrame(ranges, "start date, end date, name string, priority int"))
+    got = {r.i: r.time_window for r in out.collect()}
+
+    def want(day):
+        hits = [(p, n) for s, e, n, p in ranges if day and s and e and s <= day <= e]
+        return max(hits)[1] if hits else "other"
+
+    wrong = [(d, got[i], want(d)) for i, d in enumerate(days) if got[i] != want(d)]
+    assert not wrong and len(got) == len(days) and len(set(got.values())) > 20
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
