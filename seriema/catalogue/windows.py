@@ -156,6 +156,21 @@ def moving_average_raw_rows(spark, path):
     return show(out, "moving_avg_10", keep=("event_type", "ts", "event_id"))
 
 
+@query("g05_window_of_500_rows", """
+SELECT event_type, ts, event_id,
+       round(CASE WHEN count(value) OVER w = 500 THEN avg(value) OVER w END, 6) AS mean_500,
+       round(sum(value) OVER w, 3) AS sum_500,
+       round(CASE WHEN count(value) OVER w = 500 THEN stddev_samp(value) OVER w END, 5) AS std_500
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 499 PRECEDING)""")
+def window_of_500_rows(spark, path):
+    """Wide windows cost as much per row as narrow ones."""
+    out = measure(events(spark, path), EVENTS, w.moving_average(500, "mean_500"),
+                  w.moving_sum(500, "sum_500", min_periods=1), w.moving_std(500, "std_500"))
+    digits = {"mean_500": 6, "sum_500": 3, "std_500": 5}
+    return out.select("event_type", "ts", "event_id", *(F.round(c, n).alias(c) for c, n in digits.items()))
+
+
 @query("g06_moving_average_partial", f"""
 WITH {DAILY_SQL}
 SELECT k, date, round(avg(value) OVER (PARTITION BY k ORDER BY date ROWS 5 PRECEDING), 6) AS ma_6

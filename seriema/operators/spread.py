@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import rounded
 from ..model import Series
 from ..session import stage
 
@@ -44,6 +45,9 @@ UNITS = {
 #: The chunk of rows without a date, which come last.
 UNDATED = (1 << 62)
 CHUNK, HALO, FILLED, TOTAL = "_chunk", "_halo", "_filled", "_total"
+#: Rows of a rolling window from which it is computed by blocks.
+WIDE = 64
+_TEMPORARY = "_rolling_"
 
 
 class Frame:
@@ -53,6 +57,7 @@ class Frame:
         keys = [*series.keys, CHUNK] if chunked else list(series.keys or [F.lit(0)])
         # Halo rows precede a chunk's own rows by construction.
         first = [F.col(HALO).desc()] if chunked else []
+        self.keys = keys
         self.window: WindowSpec = Window.partitionBy(*keys).orderBy(*first, *series.order())
         self.value = F.col(series.value)
         self._chunked = chunked
@@ -90,18 +95,34 @@ class Frame:
         return total if over_gaps else F.when(self.value.isNotNull(), total)
 
 
+@dataclass(frozen=True)
+class Rolling:
+    """``mean``, ``sum`` or ``std`` of the last ``n`` rows; NULL below ``min_periods`` (default all) values."""
+
+    kind: str
+    n: int
+    min_periods: int | None = None
+    round_to: int | None = None
+
+    _PLAIN = {"mean": F.avg, "sum": F.sum, "std": F.stddev_samp}
+
+    def over_frame(self, frame: Frame) -> Column:
+        return rounded(frame.rolling(self._PLAIN[self.kind], self.n, self.min_periods), self.round_to)
+
+
 @dataclass(frozen=True)
 class Measure:
     """A new column of a series.
 
     ``lookback`` is the number of earlier rows it reads; ``carries`` says that it also depends on
-    running values from any distance back.
+    running values from any distance back. A ``rolling`` one may be computed in another way than by ``build``.
     """
 
     column: str
     build: Callable[[Frame], Column]
     lookback: int = 0
     carries: bool = False
+    rolling: Rolling | None = None
 
 
 def measure(df: DataFrame, series: Series, *measures: Measure,
@@ -115,21 +136,58 @@ def measure(df: DataFrame, series: Series, *measures: Measure,
     if not measures:
         return df
     if series.grain is not None:
-        frame = Frame(series, chunked=False)
-        return df.withColumns({m.column: m.build(frame) for m in measures})
+        return _built(df, Frame(series, chunked=False), measures)
     base = chunked(df, series, chunks)
     halo = _halos(base, series, measures)
     own = base.withColumns({
         FILLED: F.lit(None).cast("double"), TOTAL: F.lit(None).cast("double"), HALO: F.lit(False),
     })
-    frame = Frame(series, chunked=True)
-    # The measure columns must not hide an input column that another measure reads.
-    built = own.unionByName(halo, allowMissingColumns=True).withColumns(
-        {m.column: m.build(frame) for m in measures}
-    )
+    built = _built(own.unionByName(halo, allowMissingColumns=True), Frame(series, chunked=True), measures)
     return built.filter(~F.col(HALO)).drop(CHUNK, HALO, FILLED, TOTAL)
 
 
+def _built(df: DataFrame, frame: Frame, measures: Sequence[Measure]) -> DataFrame:
+    """The measures as columns; they must not hide an input column that another measure reads."""
+    wide = {m.column: m.rolling for m in measures if m.rolling and m.rolling.n >= WIDE}
+    df, late = _wide(df, frame, wide)
+    built = {m.column: late[m.column] if m.column in wide else m.build(frame) for m in measures}
+    return df.withColumns(built).drop(*(c for c in df.columns if c.startswith(_TEMPORARY)))
+
+
+def _wide(df: DataFrame, frame: Frame, measures: dict[str, Rolling]) -> tuple[DataFrame, dict[str, Column]]:
+    """Rolling statistics in constant work per row, however wide: temporary columns, and the measures over them.
+
+    Rows are put in blocks of n. A window is the end of one block and the beginning of the next, so running
+    statistics from both sides of the blocks are all that is needed; they are merged, not subtracted, so nothing
+    cancels. A frame of n rows would be evaluated anew for every row.
+    """
+    out: dict[str, Column] = {}
+    for n in sorted({r.n for r in measures.values()}):
+        name = lambda part, n=n: f"{_TEMPORARY}{n}_{part}"
+        place = F.row_number().over(frame.window) - 1
+        df = df.withColumn(name("place"), place % n).withColumn(name("block"), F.floor((place - F.col(name("place"))) / n))
+        blocks = Window.partitionBy(*frame.keys, name("block")).orderBy(name("place"))
+        back = Window.partitionBy(*frame.keys, name("block")).orderBy(F.col(name("place")).desc())
+        parts = {"count": F.count, "sum": F.sum, "mean": F.avg, "var": F.var_pop}
+        df = df.withColumns({name(f"own_{p}"): f(frame.value).over(blocks) for p, f in parts.items()})
+        df = df.withColumns({name(f"end_{p}"): f(frame.value).over(back) for p, f in parts.items()})
+        before = F.col(name("place")) < n - 1
+        df = df.withColumns({name(f"past_{p}"): F.when(before, F.lag(name(f"end_{p}"), n - 1).over(frame.window)) for p in parts})
+        own, past = ({p: F.col(name(f"{side}_{p}")) for p in parts} for side in ("own", "past"))
+        zero = lambda c: F.coalesce(c, F.lit(0.0))
+        a, b = zero(own["count"]), zero(past["count"])
+        count = a + b
+        total = F.when(count > 0, zero(own["sum"]) + zero(past["sum"]))
+        apart = F.when((a > 0) & (b > 0), own["mean"] - past["mean"]).otherwise(0.0)
+        spread = zero(own["var"]) * a + zero(past["var"]) * b + apart * apart * F.try_divide(a * b, count)
+        kinds = {"mean": F.try_divide(total, count), "sum": total, "std": F.when(count > 1, F.sqrt(F.try_divide(spread, count - 1)))}
+        for column, r in measures.items():
+            if r.n == n:
+                enough = count >= (n if r.min_periods is None else r.min_periods)
+                out[column] = rounded(F.when(enough, kinds[r.kind]), r.round_to)
+    return df, out
+
+
 def chunked(df: DataFrame, series: Series, chunks: int | None = None) -> DataFrame:
     """The frame with the number of its chunk, in the order of the series, in ``CHUNK``."""
     unit = None if chunks else fitting_unit(df, series)

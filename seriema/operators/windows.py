@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import percent_of, rounded
 from ..model import Series
 from .joins import attach_scalars
-from .spread import Measure, join_back, measure, running_total
+from .spread import Measure, Rolling, join_back, measure, running_total
 
 # ---- measures --------------------------------------------------------------------------------
 
@@ -56,26 +56,23 @@ def shift(periods: int = 1, column: str | None = None) -> Measure:
     return Measure(column or f"shift_{periods}", lambda frame: frame.lag(periods), periods)
 
 
+def _rolling(kind: str, n: int, column: str, min_periods: int | None = None, round_to: int | None = None) -> Measure:
+    rolling = Rolling(kind, n, min_periods, round_to)
+    return Measure(column, rolling.over_frame, n - 1, rolling=rolling)
+
+
 def moving_average(n: int = 3, column: str | None = None, min_periods: int | None = None,
                    round_to: int | None = None) -> Measure:
     """Mean of the last ``n`` rows; NULL until there are ``min_periods`` (default all) values."""
-    return Measure(
-        column or f"moving_avg_{n}",
-        lambda frame: rounded(frame.rolling(F.avg, n, min_periods), round_to), n - 1,
-    )
+    return _rolling("mean", n, column or f"moving_avg_{n}", min_periods, round_to)
 
 
 def moving_sum(n: int, column: str | None = None, min_periods: int | None = None) -> Measure:
-    return Measure(
-        column or f"moving_sum_{n}", lambda frame: frame.rolling(F.sum, n, min_periods), n - 1
-    )
+    return _rolling("sum", n, column or f"moving_sum_{n}", min_periods)
 
 
 def moving_std(n: int, column: str | None = None, min_periods: int | None = None) -> Measure:
-    return Measure(
-        column or f"volatility_{n}",
-        lambda frame: frame.rolling(F.stddev_samp, n, min_periods), n - 1,
-    )
+    return _rolling("std", n, column or f"volatility_{n}", min_periods)
 
 
 _KINDS = {"pct_change": percent_change, "diff": difference, "year_over_year": year_over_year}

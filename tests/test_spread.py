@@ -167,19 +167,34 @@ def test_calendar_chunks_equal_whole_series(spark, monkeypatch, limit, unit):
     whole = Series(keys=("k",), tie=("t",), grain="D")
     monkeypatch.setattr("seriema.operators.spread.ROWS_PER_CHUNK", limit)
     assert fitting_unit(df, whole) == unit
-    for measures in (MEASURES, (w.percent_change(1, "p1"),), (w.shift(1, "s"), w.difference(1, "d")), (w.percent_change(4, "p4"),),
-                     (w.moving_average(50, "ma50", min_periods=1), w.percent_change(1, "p1"))):
+    for measures in (MEASURES, (w.percent_change(1, "p1"), w.shift(1, "s")), (w.moving_average(50, "ma50", min_periods=1), w.percent_change(1, "p1"))):
         expected = rows(measure(df, whole, *measures), "t")
         got = rows(measure(df, whole.but(grain=None), *measures), "t")
         for a, b in zip(expected, got, strict=True):
             assert a[:5] == b[:5]
             near(b[5:], a[5:])
-    for keys in ((), ("k",)):
-        for over_gaps in (False, True):
-            one = whole.but(keys=keys)
-            a = rows(running_total(df, one, "c", over_gaps), "t")
-            b = rows(running_total(df, one.but(grain=None), "c", over_gaps), "t")
-            near([r[5] for r in b], [r[5] for r in a])
+    for keys, over_gaps in (((), True), (("k",), False)):
+        one = whole.but(keys=keys)
+        a = rows(running_total(df, one, "c", over_gaps), "t")
+        b = rows(running_total(df, one.but(grain=None), "c", over_gaps), "t")
+        near([r[5] for r in b], [r[5] for r in a])
+
+
+def test_wide_windows_in_constant_work(spark, monkeypatch):
+    """Windows by blocks equal frames that are evaluated for each row, with gaps, halos and short series."""
+    df = frame(spark, observations(31, n=400))
+    measures = [f(n, f"{name}{n}_{m}", m) for n in (4, 7, 25) for m in (None, 1, 3)
+                for name, f in (("avg", w.moving_average), ("sum", w.moving_sum), ("std", w.moving_std))]
+    whole = Series(keys=("k",), tie=("t",), grain="D")
+    expected = rows(measure(df, whole, *measures), "t")
+    monkeypatch.setattr("seriema.operators.spread.WIDE", 2)
+    monkeypatch.setattr("seriema.operators.spread.ROWS_PER_CHUNK", 60)
+    for series in (whole, whole.but(grain=None)):
+        got = measure(df, series, *measures)
+        assert got.columns == df.columns + [m.column for m in measures]
+        for a, b in zip(expected, rows(got, "t"), strict=True):
+            assert a[:5] == b[:5]
+            near(b[5:], a[5:], 7)
 
 
 def test_instants_take_finer_units(spark, monkeypatch):
