@@ -273,11 +273,19 @@ def trend(df: DataFrame, series: Series, column: str = "trend") -> DataFrame:
 # ---- scaling ---------------------------------------------------------------------------------
 
 def min_max_scale(df: DataFrame, value: str, keys: Sequence[str] = (),
-                  column: str | None = None, scale: float = 100.0) -> DataFrame:
-    """Scale to 0..``scale`` over all rows (or per key); unchanged where all values are equal."""
-    ends = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    joined = join_back(df, ends, keys) if keys else attach_scalars(df, ends)
+                  column: str | None = None, scale: float = 100.0, grain: str | None = None) -> DataFrame:
+    """Scale to 0..``scale`` over all rows (or per key); unchanged where all values are equal.
+
+    With a ``grain`` the rows of a key are bounded by the calendar: the ends are then taken over a window and ``df`` is
+    computed once. Otherwise they are aggregated and put back.
+    """
     v, low, high = F.col(value), F.col("_low"), F.col("_high")
+    if grain is not None:
+        own = Window.partitionBy(*(keys or [F.lit(0)]))
+        joined = df.withColumns({"_low": F.min(value).over(own), "_high": F.max(value).over(own)})
+    else:
+        ends = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+        joined = join_back(df, ends, keys) if keys else attach_scalars(df, ends)
     return joined.withColumn(
         column or value,
         F.when(high > low, (v - low) / F.nullif(high - low, F.lit(0.0)) * scale).otherwise(v),

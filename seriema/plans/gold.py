@@ -140,7 +140,7 @@ def monthly_panel(indicators: Mapping[str, DataFrame], spark: SparkSession, run_
     index = "economic_pressure_index"
     if set(PRESSURE_WEIGHTS) <= set(panel.columns):
         terms = [(weight, F.col(c)) for c, weight in PRESSURE_WEIGHTS.items()]
-        panel = min_max_scale(panel.withColumn(index, linear_combination(*terms)), index, keys)
+        panel = min_max_scale(panel.withColumn(index, linear_combination(*terms)), index, keys, grain="M")
     else:
         panel = panel.withColumn(index, F.col("selic") + F.col("ipca"))
     return _finish(panel, schema, run_ts).orderBy(F.col("year_month").asc_nulls_last(), *keys)

@@ -181,4 +181,4 @@ def test_macro_lines_of_one_source(spark, frames):
 
 def test_a_panel_computes_its_inputs_once(spark, frames):
     text = gold.monthly_panel(frames, spark, RUN)._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("LogicalRDD") + text.count("LocalRelation") == 6  # three sides, and those of the index's ends
+    assert text.count("LogicalRDD") + text.count("LocalRelation") == 3
