@@ -163,7 +163,7 @@ WITH cut AS (
 @query()
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links between sets of two-word shingles."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, exact=True)
 
 
 WINDOWS_SQL = f"""
