@@ -8,12 +8,11 @@ With 48 bands of 6 rows a pair of similarity 0.8 shares none with probability (1
 Texts with equal sets are one node from the start. In a bucket, every node is only paired with one, its
 hub, so candidates grow with the members of buckets, not with their pairs. Pairs are confirmed on whole
 sets: first one per node, then those between different components. Buckets that still hold several
-components get a new hub, drawn by a hash of bucket and node, round after round; who was hub has met
-all others and leaves the bucket. A round is quiet if fewer than one in ``YIELD`` of its pairs are
-linked; ``QUIET`` of them in a row end the search. So every pair of a bucket of few members is met, and in
-a bucket of many a pair of similarity 0.8, which shares 12 buckets on average, is missed only if neither of
-the two, nor a text that links them, is a hub of any. This is a recall, not a proof: of 800 near copies of one
-text, 235 of them linked, it left one single that has a link (test).
+components get new hubs, about ``HUBS`` a round, drawn by a hash of bucket and node; who was hub has met
+all others and leaves the bucket. A round with fewer than one link among ``YIELD`` pairs is the last one.
+So every pair of a bucket of up to ``HUBS`` members is met in the first round, and in a bucket of many a pair
+of similarity 0.8, which shares 12 buckets on average, is missed only if neither of the two, nor a text that
+links them, is a hub of any. This is a recall, not a proof; a test measures it on a cloud of near copies.
 
 ``exact=True`` goes by prefixes of rare shingles instead of new hubs. No pair that shares a bucket can join
 two components after that, but where many near copies share changed words the candidates grow with the
@@ -43,8 +42,8 @@ SHINGLE = 5
 BANDS, ROWS = 48, 6
 #: Linked from this share in percent: 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Rounds of new hubs end after QUIET in a row with fewer than one link among YIELD pairs.
-YIELD, QUIET = 10_000, 2
+#: New hubs that a bucket gets in a round, on average; rounds end with one of fewer than one link among YIELD pairs.
+HUBS, YIELD = 3, 10_000
 
 
 def shingles(text: str | None, names: Names, k: int) -> np.ndarray:
@@ -175,15 +174,21 @@ def closing_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, percen
     return pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
 
 
-def new_stars(open_: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members (key, node, root, hub, hub_root) of buckets with several components, but for the hub itself."""
-    at = open_.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+def new_stars(members: DataFrame, labels: DataFrame, nth: int) -> DataFrame:
+    """Pairs (a, b) of different components: the new hubs of round ``nth`` with all that were no hub before.
+
+    A member's place in its bucket is a hash in [0, 1); times the members over ``HUBS`` it gives the round in which
+    the member is hub. So hubs need no order within a bucket, and those of two rounds are never the same.
+    """
+    place = F.expr("shiftrightunsigned(xxhash64(key, node), 11) / 9007199254740992D")
+    left = members.where("node <> hub").withColumn("turn", F.floor(place * F.col("c") / HUBS)).where(F.col("turn") >= nth)
+    at = left.join(labels, "node", "left").select("key", "node", "turn", F.coalesce("root", "node").alias("root"))
     at = stage(at, "near-members")
-    hubs = at.groupBy("key").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"),
-        F.min(F.struct(F.xxhash64("key", "node").alias("place"), "node", "root")).alias("h"),
-    ).where("least <> most").select("key", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-    return stage(at.join(hubs, "key").where("node <> hub"), "near-open")
+    open_ = at.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
+    hubs = at.where(F.col("turn") == nth).join(open_.select("key"), "key").select(
+        "key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    new = (F.col("root") != F.col("hub_root")) & ((F.col("turn") > nth) | (F.col("node") > F.col("hub")))
+    return at.join(hubs, "key").where(new).select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
 
 
 def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -206,7 +211,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     ).withColumn("keys", F.coalesce("keys", "any_keys")).drop("any_keys"), "near-nodes")
     spread = nodes.select("node", "n", F.explode("keys").alias("key"))
     hubs = spread.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1")
-    members = stage(spread.join(hubs.select("key", "hub"), "key"), "near-buckets")
+    members = stage(spread.join(hubs, "key"), "near-buckets")
     stars = members.where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("c"))
     stars = stage(stars, "near-stars")
     first = stage(stars.groupBy("a").agg(F.max(F.struct("c", "b"))["b"].alias("b")), "near-first")
@@ -229,17 +234,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
             labels = merged(labels, found)
         return n, linked
 
-    search(between(stars.select("a", "b"), labels))
-    left, quiet = members.where("node <> hub"), 0
-    while not exact and quiet < QUIET:
-        left = new_stars(left, labels)
-        if left.isEmpty():
-            break
-        pairs = left.where("root <> hub_root").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
-        n, linked = search(pairs.distinct())
-        quiet = 0 if linked and linked * YIELD >= n else quiet + 1
+    stars = between(stars.select("a", "b"), labels)
     if exact:
+        search(stars)
         search(closing_pairs(members, sets, labels, percent))
+    else:
+        n, linked = search(stars.unionAll(new_stars(members, labels, 0)).distinct())
+        nth = 1
+        while linked and linked * YIELD >= n:
+            n, linked = search(new_stars(members, labels, nth).distinct())
+            nth += 1
     named = nodes.select("node", "doc").join(labels, "node", "left")
     named = named.select("node", "doc", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("doc").alias("component"))
