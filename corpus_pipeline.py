@@ -7,7 +7,8 @@
 5. packing: what is left becomes pieces in sequences of 1,024 tokens.
 
 NULL texts pass the first three stages and give no words to the mix. Rows with NULL ids pass the stages
-that decide by id. Of repeated rows the second stage keeps one; rows with one id share its verdict.
+that decide by id. Of repeated rows the second stage keeps one; rows with one id share its verdict. Further columns, whatever
+their names, keep their values up to the last stage, which has columns of its own.
 """
 
 from __future__ import annotations
@@ -22,13 +23,21 @@ from seriema.llm import toxicity as severity
 from seriema.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with names for further columns that no operator uses, and how to name them again."""
+    names = {c: f"_further_{k}" for k, c in enumerate(docs.columns) if c not in COLUMNS}
+    return docs.withColumnsRenamed(names), {new: c for c, new in names.items()}
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic; the model learns from labelled documents of the same corpus."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = severity.score(docs, severity.train(docs, labels))
-    return scored.where(~F.col("toxic")).select(docs.columns)
+    own, names = set_aside(docs)
+    scored = severity.score(own, severity.train(own, labels))
+    return scored.where(~F.col("toxic")).select(own.columns).withColumnsRenamed(names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +57,10 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; a last repetition can be a part."""
-    out = mixing.repeated(mixing.mix(docs))
-    return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(docs.columns)
+    own, names = set_aside(docs)
+    out = mixing.repeated(mixing.mix(own))
+    out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(own.columns)
+    return out.withColumnsRenamed(names)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
