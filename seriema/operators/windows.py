@@ -202,22 +202,32 @@ def amplitude(high: Column, low: Column) -> Column:
     return percent_of(high - low, low)
 
 
-def crossover_signal(fast: Column, slow: Column) -> Column:
-    """1 if the fast average is above the slow one, otherwise (or when unknown) -1."""
-    return F.when(fast > slow, 1).otherwise(-1)
+# Fixed value: how far two averages of up to 50 rows that are equal can lie apart by rounding, in mean magnitudes of those rows.
+ROUNDING = 1.5e-14
+
+
+def crossover_signal(fast: Column, slow: Column, slack: Column | float = 0.0) -> Column:
+    """1 if the fast average is above the slow one by more than ``slack``, otherwise (or when unknown) -1."""
+    return F.when(fast > slow + slack, 1).otherwise(-1)
 
 
 def financial_metrics(df: DataFrame, series: Series, high: str = "high", low: str = "low",
                       chunks: int | None = None) -> DataFrame:
-    """Return, 20-row deviation, amplitude, 20- and 50-row averages and their crossover."""
+    """Return, 20-row deviation, amplitude, 20- and 50-row averages and their crossover.
+
+    Averages that are equal but for the rounding of their sums do not cross.
+    """
+    size = Measure("_size", lambda frame: frame.rolling(lambda v: F.avg(F.abs(v)), 50), 49)
     out = measure(
         df, series,
         percent_change(1, "return_pct", 100), moving_std(20, "volatility_20"),
-        moving_average(20, "ma_20"), moving_average(50, "ma_50"), chunks=chunks,
+        moving_average(20, "ma_20"), moving_average(50, "ma_50"), size, chunks=chunks,
     )
     if high in df.columns and low in df.columns:
         out = out.withColumn("amplitude_pct", amplitude(F.col(high), F.col(low)))
-    return out.withColumn("ma_cross_signal", crossover_signal(F.col("ma_20"), F.col("ma_50")))
+    slack = F.col("_size") * ROUNDING
+    slack = F.when(slack < float("inf"), slack).otherwise(0.0)
+    return out.withColumn("ma_cross_signal", crossover_signal(F.col("ma_20"), F.col("ma_50"), slack)).drop("_size")
 
 
 # ---- latest rows -----------------------------------------------------------------------------

@@ -100,6 +100,21 @@ def test_financial_metrics(spark):
     assert "amplitude_pct" not in bare.columns
 
 
+@pytest.mark.parametrize("chunks", [None, 3])
+def test_equal_averages_do_not_cross(spark, chunks):
+    """Sums of 20 and of 50 rows round differently; that is no crossing, a last digit of one row is."""
+    flat = {"a": 147.09, "b": 11.29, "c": -0.07, "d": 1e9 + 0.1, "e": 3e-7, "f": 42.59}
+    data = [(k, dt.date(2023, 1, 1) + dt.timedelta(i), v) for k, v in flat.items() for i in range(90)]
+    data += [(f"up {k}", date, v + (abs(v) * 1e-10 if date.month == 3 else 0)) for k, date, v in data]
+    df = spark.createDataFrame(data, "k string, date date, close double")
+    out = w.financial_metrics(df, Series(keys=("k",), value="close", grain=None if chunks else "D"), chunks=chunks)
+    assert "_size" not in out.columns
+    raised = {r.k for r in out.where("ma_cross_signal = 1").select("k").distinct().collect()}
+    assert raised == {f"up {k}" for k in flat}
+    first = out.where("ma_cross_signal = 1").agg({"date": "min"}).first()[0]
+    assert first == dt.date(2023, 3, 1)
+
+
 def test_latest_trend_and_change(spark):
     data = [("up", dt.date(2023, 1, d), float(d)) for d in range(1, 15)]
     data += [("short", dt.date(2023, 1, 1), 1.0), ("short", dt.date(2023, 1, 2), 2.0)]
