@@ -42,7 +42,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
-    found = minhash.near_duplicates(docs)
+    found = minhash.near_duplicates(docs, exact=True)
     stay = found.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     # Both sides lie by id after the join, so that repeated rows fall together without another shuffle.
     one = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])

@@ -15,8 +15,8 @@ of similarity 0.8, which shares 12 buckets on average, is missed only if neither
 links them, is a hub of any. This is a recall, not a proof; a test measures it on a cloud of near copies.
 
 ``exact=True`` goes by prefixes of rare shingles instead of new hubs. No pair that shares a bucket can join
-two components after that, but where many near copies share changed words the candidates grow with the
-square of their number.
+two components after that. Where many near copies share changed words, those that meet grow with the square
+of their number; a bound on how far they are apart leaves about the links in the join's rows.
 
 Defined cases: a NULL or blank text has no shingles, is linked with nothing and stays; one with fewer
 words than a shingle has one shingle, all its words. Repeated rows share their fate. A row with a NULL
@@ -27,7 +27,9 @@ result: ``doc_id, n_shingles, component_id, kept``.
 
 from __future__ import annotations
 
+from functools import reduce
 from hashlib import blake2b
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ BANDS, ROWS = 48, 6
 PERCENT = 80
 #: New hubs that a bucket gets in a round, on average; rounds end with one of fewer than one link among YIELD pairs.
 HUBS, YIELD = 3, 10_000
+#: Bits of the parities that bound how far two sets are apart; a power of two, a multiple of 64.
+PARITIES = 1_024
 
 
 def shingles(text: str | None, names: Names, k: int) -> np.ndarray:
@@ -100,6 +104,12 @@ def digest(items: np.ndarray) -> bytes:
     return blake2b(items.tobytes(), digest_size=16).digest()
 
 
+def parities(items: np.ndarray) -> np.ndarray:
+    """For every value of the low bits, whether a set holds an odd number of items with it; 64 to a number."""
+    odd = np.bincount((items & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, n_shingles, node, keys): the node is the digest of the set, NULL for an empty one."""
     kind = dict(docs.dtypes)["doc_id"]
@@ -122,7 +132,7 @@ def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, items) for the documents in ``wanted`` (doc_id)."""
+    """(node, items, odd) for the documents in ``wanted`` (doc_id)."""
     def items_of(batches):
         names = Names()
         for batch in batches:
@@ -130,10 +140,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-            ], names=["node", "items"])
+                pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
+            ], names=["node", "items", "odd"])
 
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text")
-    return rows.mapInArrow(items_of, "node binary, items array<long>").where("node IS NOT NULL").dropDuplicates(["node"])
+    return rows.mapInArrow(items_of, "node binary, items array<long>, odd array<long>").where("node IS NOT NULL").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -153,6 +164,10 @@ def closing_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, percen
     that is early in both when items are put from rare to frequent: behind its places i and j there
     must be enough left to share. Copies that differ from a common text each in its own way have their
     own items first, so a large group of them makes no pairs.
+
+    Where many copies share changed words they meet in those, most of them too far apart to be linked. Every parity in
+    which two sets differ is an item that one of them lacks, so the join itself leaves out pairs with too many; this
+    loses no link, and what it gives out is about the links between components.
     """
     at = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     at = stage(at, "near-members")
@@ -167,10 +182,14 @@ def closing_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, percen
     by_node = Window.partitionBy("node")
     placed = items.join(shared, "item").withColumn(
         "i", F.col("n") - F.count("*").over(by_node) + F.row_number().over(by_node.orderBy("c", "item")) - 1)
-    placed = stage(placed.where(f"100 * (n - i) >= {percent} * n").drop("c"), "near-prefixes")
-    x = placed.where("outside").select("item", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("m"), F.col("i").alias("j"))
+    placed = placed.where(f"100 * (n - i) >= {percent} * n").drop("c")
+    placed = stage(placed.join(sets.select("node", "odd"), "node"), "near-prefixes")
+    x = placed.where("outside").select("item", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("m"),
+                                       F.col("i").alias("j"), F.col("odd").alias("x_odd"))
     enough = f"{100 + percent} * (n - i) >= {percent} * (n + m) AND {100 + percent} * (m - j) >= {percent} * (n + m)"
-    pairs = placed.join(x, "item").where((F.col("root") != F.col("x_root")) & F.expr(enough))
+    apart = reduce(add, (F.bit_count(F.get("odd", F.lit(k)).bitwiseXOR(F.get("x_odd", F.lit(k)))) for k in range(PARITIES // 64)))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("m"))
+    pairs = placed.join(x, "item").where((F.col("root") != F.col("x_root")) & F.expr(enough) & near)
     return pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
 
 

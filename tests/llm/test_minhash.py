@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from seriema.llm import minhash
 from seriema.llm.components import components
 from tests.llm.corpora import corpus, frame
@@ -99,6 +100,34 @@ def test_new_hubs_meet_links_by_candidates_in_proportion(spark, monkeypatch):
     assert sum(component[a] == component[b] for a, b in links) >= 0.99 * len(links)
 
 
+def test_parities_bound_how_far_sets_are_apart():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 50, 700, 5_000):
+        items = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
+        a, b = items[: int(1.3 * n)], items[int(0.5 * n):]
+        x, y = (minhash.parities(s) for s in (a, b))
+        assert len(x) == minhash.PARITIES // 64
+        bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64).tolist())
+        assert bits <= len(np.setxor1d(a, b)) and (bits > 0) == (n > 0) and not (x ^ minhash.parities(a.copy())).any()
+
+
+def test_the_exact_search_gives_out_few_pairs_of_a_cloud(spark, monkeypatch):
+    """Where near copies share changed words, most that meet in one are too far apart: they end in the join."""
+    closing = []
+    plain = minhash.closing_pairs
+
+    def counted(*args):
+        pairs = plain(*args)
+        closing.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(minhash, "closing_pairs", counted)
+    rows = cloud(800)
+    got = corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()
+    assert {r.doc_id for r in got} == {i for i, _, _, kept in brute(rows, 5) if kept}
+    assert closing and closing[0] <= 5 * len(rows), closing
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(frame(spark, [(1, "x")]).limit(0)).count() == 0
 
