@@ -81,17 +81,22 @@ def examples(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _expanded(made: DataFrame) -> DataFrame:
+    """(conv_id, example, text, loss_start, loss_chars): every row of ``made`` behind its whole context."""
+    rows = F.array_sort(F.collect_list(F.struct("example", "context_chars", "added", "loss_start", "loss_chars")))
+    whole = made.groupBy("conv_id").agg(rows.alias("rows")).select(
+        "conv_id", "rows", F.array_join(F.transform("rows", lambda r: r["added"]), "").alias("whole"))
+    size = (F.col("context_chars") + F.length("added")).cast("int")
+    return whole.select("conv_id", "whole", F.inline("rows")).select(
+        "conv_id", "example", F.substring("whole", F.lit(1), size).alias("text"), "loss_start", "loss_chars")
+
+
 def written_out(made: DataFrame) -> DataFrame:
     """(conv_id, example, text, loss_start, loss_chars): examples with their whole context; rows without a reply are left out.
 
     A conversation is gathered in one row, and its text is repeated for every reply.
     """
-    rows = F.array_sort(F.collect_list(F.struct("example", "context_chars", "added", "loss_start", "loss_chars")))
-    whole = made.groupBy("conv_id").agg(rows.alias("rows")).select(
-        "conv_id", "rows", F.array_join(F.transform("rows", lambda r: r["added"]), "").alias("whole"))
-    each = whole.select("conv_id", "whole", F.inline("rows")).where(F.col("loss_start").isNotNull())
-    size = (F.col("context_chars") + F.length("added")).cast("int")
-    return each.select("conv_id", "example", F.substring("whole", F.lit(1), size).alias("text"), "loss_start", "loss_chars")
+    return _expanded(made).where(F.col("loss_start").isNotNull())
 
 
 def read_back(added: Column) -> Column:
@@ -105,17 +110,18 @@ def read_back(added: Column) -> Column:
 def digests(made: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from examples.
 
-    The digests of a conversation need its turns in one row.
+    Every example is written out: its reply is what lies under its own loss mask behind the whole context. The last
+    row of a conversation, with or without a reply, holds all turns. The digests need a conversation in one row.
     """
-    reply = F.substring("added", (F.col("loss_start") - F.col("context_chars") + 1).cast("int"), F.col("loss_chars").cast("int"))
+    reply = F.substring("text", (F.col("loss_start") + 1).cast("int"), F.col("loss_chars").cast("int"))
     listed = F.transform(F.col("turns"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    parts = made.withColumn("turns", read_back(F.col("added"))).select(
-        "conv_id", "example", F.size("turns").cast("long").alias("n"), F.length("added").cast("long").alias("chars"),
-        F.array_join(listed, "").alias("listed"), F.coalesce(unescaped(reply), F.lit("")).alias("reply"),
-    )
-    rows = F.array_sort(F.collect_list(F.struct("example", "listed", "reply")))
-    joined = lambda name: F.array_join(F.transform("rows", lambda r: r[name]), "")
-    return parts.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), rows.alias("rows")).select(
-        "conv_id", "n_turns", F.sha2(joined("listed"), 256).alias("turns_sha256"),
-        F.length(joined("reply")).cast("long").alias("loss_chars"), F.sha2(joined("reply"), 256).alias("loss_sha256"), "formatted_chars",
+    parts = _expanded(made).withColumn("reply", F.coalesce(unescaped(reply), F.lit("")))
+    replies = F.array_sort(F.collect_list(F.struct("example", "reply")))
+    found = parts.groupBy("conv_id").agg(F.max_by("text", "example").alias("text"), replies.alias("replies")).select(
+        "conv_id", "text", read_back(F.col("text")).alias("turns"),
+        F.array_join(F.transform("replies", lambda r: r["reply"]), "").alias("loss"))
+    return found.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(listed, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("text").cast("long").alias("formatted_chars"),
     )

@@ -71,6 +71,16 @@ def test_an_example_has_all_turns_before_its_reply(spark):
     assert examples.where("conv_id = 42").agg(F.sum(F.length("added"))).first()[0] < 600 * 60
 
 
+def test_digests_read_the_loss_behind_the_whole_context(spark):
+    """A mask that is off in the whole example must show, also where the part it adds would hide it."""
+    examples = chat.examples(made(spark, [(1, k, "assistant" if k % 2 else "user", f"text {k}.") for k in range(6)]))
+    right = chat.digests(examples).first()
+    assert right.loss_sha256 == sha("text 1.text 3.text 5.")
+    late = F.when(F.col("example") == 2, 1).otherwise(0)
+    off = examples.withColumns({"loss_start": F.col("loss_start") + late, "context_chars": F.col("context_chars") + late})
+    assert chat.digests(off).first().loss_sha256 == sha("text 1.text 3." + "ext 5.<")
+
+
 @pytest.mark.parametrize("text", HARD + ["".join(HARD[:-1]), "".join(reversed(HARD))])
 def test_escapes_are_reversible(spark, text):
     r = spark.createDataFrame([(text,)], "t string").select(chat.escaped(F.col("t")).alias("e"), chat.unescaped(chat.escaped(F.col("t"))).alias("u")).first()
