@@ -59,7 +59,8 @@ def targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     The limit only falls on sources above their share, so rounds end when none is left above.
     """
     cap = F.col("source_size") * F.lit(max_epochs)
-    weight = F.col("weight")
+    # What is left to share becomes a literal, an int below 2^31; by an int weight the product would be one, too.
+    weight = F.col("weight") * F.lit(1).cast("long")
     clamped = F.lit(False)
     total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     left, shared, before = total, 0, -1

@@ -44,6 +44,19 @@ def test_targets(spark, words):
     assert [got[k] for k in range(len(words))] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("words", [
+    [429_496_729], [429_496_730], [587_000_000] + [55_000_000] * 19, [2_147_483_647, 0, 1], [2_147_483_648, 900_000_000],
+    [300, 600_000_000, 5, 700_000_000], [10 ** 11, 1, 10 ** 9, 10 ** 12],
+])
+def test_targets_of_large_sources(spark, words):
+    weights = [(5, 2, 1)[k % 3] for k in range(len(words))]
+    sources = spark.createDataFrame(list(zip(range(len(words)), words, weights)), "k int, source_size long, weight int")
+    out = mixing.targets(sources)
+    assert out.dtypes == [*sources.dtypes, ("target", "double")]
+    got = {r.k: r.target for r in out.collect()}
+    assert [got[k] for k in range(len(words))] == pytest.approx(filled(words, weights), rel=1e-12)
+
+
 def test_repetitions(spark):
     rows = [(k, " ".join(f"w{k}_{j}" for j in range(10))) for k in range(30)]
     mixed = mixing.mix(frame(spark, rows))
