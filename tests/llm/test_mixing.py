@@ -57,6 +57,22 @@ def test_targets_of_large_sources(spark, words):
     assert [got[k] for k in range(len(words))] == pytest.approx(filled(words, weights), rel=1e-12)
 
 
+def test_mix_of_large_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "word_count", lambda text: F.length(text) * F.lit(5_000_000).cast("long"))
+    out = mixing.mix(frame(spark, [(k, "x" * (k % 7 + 1)) for k in range(60)])).collect()
+    sizes = {}
+    for r in out:
+        assert r.size == 5_000_000 * len(r.text) and 0 <= r.taken <= 3 * r.size
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    want = filled([sizes[s] for s in order], [(5, 2, 1)[k % 3] for k in range(len(order))])
+    assert len(out) == 60 and 2 ** 31 / 5 < sum(sizes.values()) < 2 ** 31
+    for s, target in zip(order, want):
+        own = [r for r in out if r.source == s]
+        assert {r.source_size for r in own} == {sizes[s]} and own[0].target == pytest.approx(target, rel=1e-12)
+        assert abs(sum(r.taken for r in own) - target) <= 0.5 + 1e-3
+
+
 def test_repetitions(spark):
     rows = [(k, " ".join(f"w{k}_{j}" for j in range(10))) for k in range(30)]
     mixed = mixing.mix(frame(spark, rows))
